@@ -1,0 +1,541 @@
+"""Avro container files as a Spark data source, for clusters without the Avro module.
+
+Spark partitions the work; a task writes the Arrow batches it is given, one
+container file at a time, and reads files block by block. Task files are staged
+and only moved into place by the commit, so lost executors leave nothing behind.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import re
+import uuid
+import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+from posixpath import basename, dirname
+from urllib.parse import unquote
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
+from pyspark.sql import types as T
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    InputPartition,
+    WriterCommitMessage,
+)
+
+FORMAT = "tablelift_avro"
+MAGIC = b"Obj\x01"
+ROLL_BYTES = 256 * 1024 * 1024
+BLOCK_ROWS = 10_000
+COUNT_FILES = 16
+
+
+# -- schema ---------------------------------------------------------------------
+
+
+def avro_type(data_type: T.DataType) -> object:
+    if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType)):
+        return "int"
+    if isinstance(data_type, T.LongType):
+        return "long"
+    if isinstance(data_type, T.FloatType):
+        return "float"
+    if isinstance(data_type, T.DoubleType):
+        return "double"
+    if isinstance(data_type, T.BooleanType):
+        return "boolean"
+    if isinstance(data_type, T.BinaryType):
+        return "bytes"
+    if isinstance(data_type, T.DecimalType):
+        shape = {"precision": data_type.precision, "scale": data_type.scale}
+        return {"type": "bytes", "logicalType": "decimal", **shape}
+    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        return {"type": "long", "logicalType": "timestamp-micros"}
+    if isinstance(data_type, T.DateType):
+        return {"type": "int", "logicalType": "date"}
+    if isinstance(data_type, T.StringType):
+        return "string"
+    raise ValueError(f"no Avro type for {data_type.simpleString()}; project it to text first")
+
+
+def avro_schema(schema: T.StructType, record: str) -> dict:
+    """Every field a union with null, null by default; field metadata kept as properties."""
+    fields = [
+        {"name": f.name, "type": ["null", avro_type(f.dataType)], "default": None, **f.metadata}
+        for f in schema.fields
+    ]
+    return {"type": "record", "name": record, "fields": fields}
+
+
+def spark_schema(schema: dict) -> T.StructType:
+    plain = {
+        "int": T.IntegerType(),
+        "long": T.LongType(),
+        "float": T.FloatType(),
+        "double": T.DoubleType(),
+        "boolean": T.BooleanType(),
+        "bytes": T.BinaryType(),
+        "string": T.StringType(),
+    }
+    fields = []
+    for entry in schema["fields"]:
+        kind = next(t for t in entry["type"] if t != "null")
+        logical = kind.get("logicalType") if isinstance(kind, dict) else None
+        if logical == "decimal":
+            data_type: T.DataType = T.DecimalType(kind["precision"], kind["scale"])
+        elif logical == "timestamp-micros":
+            data_type = T.TimestampNTZType()
+        elif logical == "date":
+            data_type = T.DateType()
+        else:
+            data_type = plain[kind if isinstance(kind, str) else kind["type"]]
+        kept = {k: v for k, v in entry.items() if k not in ("name", "type", "default")}
+        fields.append(T.StructField(entry["name"], data_type, True, kept))
+    return T.StructType(fields)
+
+
+# -- encoding: whole columns at a time ------------------------------------------
+
+Piece = tuple[np.ndarray, np.ndarray]  # bytes per row, and those bytes back to back
+
+
+def varints(values: np.ndarray) -> Piece:
+    """Zigzag variable-length integers."""
+    values = values.astype(np.int64)
+    rest = ((values << 1) ^ (values >> 63)).astype(np.uint64)
+    shifted = rest[:, None] >> (np.arange(10, dtype=np.uint64) * np.uint64(7))
+    sizes = np.maximum(1, (shifted != 0).sum(axis=1))
+    groups = (shifted & np.uint64(0x7F)).astype(np.uint8)
+    used = np.arange(10) < sizes[:, None]
+    more = np.arange(10) < (sizes - 1)[:, None]
+    groups[more] |= 0x80
+    return sizes, groups[used]
+
+
+def _fixed(matrix: np.ndarray, valid: np.ndarray) -> Piece:
+    return np.where(valid, matrix.shape[1], 0), matrix[valid].reshape(-1)
+
+
+def _variable(column: pa.Array, valid: np.ndarray) -> list[Piece]:
+    column = pc.fill_null(column, b"").cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)
+    offsets = offsets[column.offset : column.offset + len(column) + 1]
+    sizes = np.diff(offsets)
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None else np.empty(0, np.uint8)
+    prefix_sizes, prefix = varints(sizes)
+    kept = np.repeat(valid, prefix_sizes)
+    prefix_sizes = np.where(valid, prefix_sizes, 0)
+    return [(prefix_sizes, prefix[kept]), (sizes, data[offsets[0] : offsets[-1]])]
+
+
+def _column_pieces(column: pa.Array, data_type: T.DataType) -> list[Piece]:
+    n = len(column)
+    valid = np.asarray(column.is_valid())
+    tag = (np.ones(n, np.int64), np.where(valid, 2, 0).astype(np.uint8))
+    if isinstance(data_type, (T.StringType, T.BinaryType)):
+        return [tag, *_variable(column, valid)]
+    if isinstance(data_type, T.DecimalType):
+        column = column.cast(pa.decimal128(data_type.precision, data_type.scale))
+        raw = np.frombuffer(column.buffers()[1], np.uint8)
+        rows = raw.reshape(-1, 16)[column.offset : column.offset + n, ::-1]
+        sized = np.concatenate([np.full((n, 1), 32, np.uint8), rows], axis=1)
+        return [tag, _fixed(sized, valid)]
+    if isinstance(data_type, T.BooleanType):
+        flags = np.asarray(pc.fill_null(column, False).cast(pa.uint8()))
+        return [tag, _fixed(flags.reshape(-1, 1), valid)]
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        numbers = np.ascontiguousarray(pc.fill_null(column, 0.0).to_numpy(zero_copy_only=False))
+        return [tag, _fixed(numbers.view(np.uint8).reshape(n, -1), valid)]
+    if isinstance(data_type, T.DateType):
+        column = column.cast(pa.int32())
+    elif isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+        column = column.cast(pa.timestamp("us", getattr(column.type, "tz", None))).cast(pa.int64())
+    sizes, data = varints(np.asarray(pc.fill_null(column, 0)))
+    kept = np.repeat(valid, sizes)
+    return [tag, (np.where(valid, sizes, 0), data[kept])]
+
+
+def encode_rows(batch: pa.RecordBatch, schema: T.StructType) -> bytes:
+    """All rows of a batch, each the concatenation of its fields."""
+    pieces: list[Piece] = []
+    for f in schema.fields:
+        pieces += _column_pieces(batch.column(f.name), f.dataType)
+    row_sizes = sum((sizes for sizes, _ in pieces), np.zeros(batch.num_rows, np.int64))
+    place = np.concatenate([[0], np.cumsum(row_sizes)[:-1]]).astype(np.int64)
+    out = np.empty(int(row_sizes.sum()), np.uint8)
+    for sizes, data in pieces:
+        before = np.cumsum(sizes) - sizes
+        out[np.repeat(place - before, sizes) + np.arange(len(data))] = data
+        place = place + sizes
+    return out.tobytes()
+
+
+def _long(value: int) -> bytes:
+    return varints(np.array([value]))[1].tobytes()
+
+
+def _block(text: bytes) -> bytes:
+    return _long(len(text)) + text
+
+
+# -- writing ---------------------------------------------------------------------
+
+
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(path if ":/" in path else os.path.abspath(path))
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """Staged files of one task: (staged path, directory below the target)."""
+
+    files: list[tuple[str, str]] = field(default_factory=list)
+
+
+class ContainerFile:
+    def __init__(self, fs: pafs.FileSystem, path: str, schema: T.StructType, codec: str) -> None:
+        self.schema, self.codec, self.sync, self.size = schema, codec, os.urandom(16), 0
+        fs.create_dir(dirname(path), recursive=True)
+        self._stream = fs.open_output_stream(path)
+        record = re.sub(r"\W", "_", basename(path).rsplit(".", 1)[0])
+        text = json.dumps(avro_schema(schema, record)).encode()
+        entries = ((b"avro.schema", text), (b"avro.codec", codec.encode()))
+        pairs = b"".join(_block(key) + _block(value) for key, value in entries)
+        self._write(MAGIC + _long(len(entries)) + pairs + b"\x00" + self.sync)
+
+    def _write(self, data: bytes) -> None:
+        self._stream.write(data)
+        self.size += len(data)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        for start in range(0, batch.num_rows, BLOCK_ROWS):
+            rows = batch.slice(start, BLOCK_ROWS)
+            data = encode_rows(rows, self.schema)
+            if self.codec == "deflate":
+                data = zlib.compress(data)[2:-4]
+            self._write(_long(rows.num_rows) + _block(data) + self.sync)
+
+    def close(self) -> None:
+        self._stream.close()
+
+
+def _runs(batch: pa.RecordBatch, column: str | None) -> Iterator[tuple[str | None, pa.RecordBatch]]:
+    """Stretches of equal ``column`` values; one stretch if there is no such column."""
+    if column is None:
+        yield None, batch
+        return
+    encoded = batch.column(column).dictionary_encode()
+    codes = np.asarray(pc.fill_null(encoded.indices, -1))
+    if (codes < 0).any():
+        raise ValueError(f"rows without a {column}")
+    edges = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+    for start, stop in zip(edges, edges[1:], strict=False):
+        value = encoded.dictionary[int(codes[start])].as_py()
+        yield value, batch.slice(start, stop - start)
+
+
+class ContainerWriter(DataSourceArrowWriter):
+    """Writes ``path``; rows sorted by ``chunk_column`` go to one directory per chunk."""
+
+    def __init__(self, schema: T.StructType, options: dict, overwrite: bool) -> None:
+        self.path = options["path"]
+        self.codec = options.get("codec", "null")
+        self.chunk_column = options.get("chunk_column") or None
+        self.directories = json.loads(options.get("directories", "{}"))
+        self.dynamic = options.get("dynamic", "false") == "true"
+        self.overwrite = overwrite
+        self.staging = f"{self.path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+        self.metadata = json.loads(options.get("metadata", "{}"))
+        fields = [f for f in schema.fields if f.name != self.chunk_column]
+        self.schema = T.StructType(
+            [T.StructField(f.name, f.dataType, True, self.metadata.get(f.name)) for f in fields]
+        )
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        from pyspark import TaskContext
+
+        fs, root = filesystem(self.staging)
+        task, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
+        done, current, chunk = Written(), None, None
+        for batch in iterator:
+            for value, rows in _runs(batch, self.chunk_column):
+                if current and (value != chunk or current.size > ROLL_BYTES):
+                    current.close()
+                    current = None
+                if current is None:
+                    current, chunk = self._open(fs, root, task, attempt, value, done), value
+                current.add(rows)
+        if current is None and task == 0 and not self.chunk_column:
+            current = self._open(fs, root, task, attempt, None, done)
+        if current:
+            current.close()
+        return done
+
+    def _open(self, fs, root, task, attempt, value, done) -> ContainerFile:
+        directory = "" if value is None else self.directories[value]
+        name = f"part-{task:05d}-{len(done.files):05d}-{attempt}.avro"
+        staged = f"{root}/{name}"
+        done.files.append((staged, directory))
+        return ContainerFile(fs, staged, self.schema, self.codec)
+
+    def commit(self, messages: list[Written | None]) -> None:
+        fs, root = filesystem(self.path)
+        files = [f for m in messages if m for f in m.files]
+        if self.overwrite:
+            stale = {d for _, d in files} if self.dynamic else {None}
+            for directory in stale:
+                self._clear(fs, root if directory is None else f"{root}/{directory}", root)
+        for staged, directory in files:
+            target = f"{root}/{directory}" if directory else root
+            fs.create_dir(target, recursive=True)
+            fs.move(staged, f"{target}/{basename(staged)}")
+        self._drop_staging()
+
+    def _clear(self, fs: pafs.FileSystem, directory: str, root: str) -> None:
+        selector = pafs.FileSelector(directory, allow_not_found=True, recursive=directory == root)
+        own = filesystem(self.staging)[1]
+        for info in fs.get_file_info(selector):
+            if info.is_file and not info.path.startswith(own):
+                fs.delete_file(info.path)
+
+    def _drop_staging(self) -> None:
+        fs, root = filesystem(self.staging)
+        if fs.get_file_info(root).type != pafs.FileType.NotFound:
+            fs.delete_dir(root)
+
+    def abort(self, messages: list[Written | None]) -> None:
+        self._drop_staging()
+
+
+# -- reading ---------------------------------------------------------------------
+
+
+class _Blocks:
+    """Header and blocks of one container file, read in order."""
+
+    def __init__(self, stream: pa.NativeFile) -> None:
+        self._stream = stream
+        if stream.read(4) != MAGIC:
+            raise ValueError("not an Avro container file")
+        metadata = {}
+        while count := self.long():
+            for _ in range(abs(count)):
+                key = self.bytes().decode()
+                metadata[key] = self.bytes()
+        self.schema = json.loads(metadata["avro.schema"])
+        self.codec = metadata.get("avro.codec", b"null").decode()
+        self.sync = stream.read(16)
+
+    def long(self) -> int:
+        value, shift = 0, 0
+        while True:
+            byte = self._stream.read(1)
+            if not byte:
+                raise EOFError
+            value |= (byte[0] & 0x7F) << shift
+            shift += 7
+            if byte[0] < 0x80:
+                return (value >> 1) ^ -(value & 1)
+
+    def bytes(self) -> bytes:
+        return self._stream.read(self.long())
+
+    def __iter__(self) -> Iterator[tuple[int, int]]:
+        """(rows, byte size) of each block, positioned at its data."""
+        while True:
+            try:
+                rows = self.long()
+            except EOFError:
+                return
+            yield rows, self.long()
+
+    def data(self, size: int) -> bytes:
+        data = self._stream.read(size)
+        self.end()
+        return zlib.decompress(data, -15) if self.codec == "deflate" else data
+
+    def skip(self, size: int) -> None:
+        self._stream.seek(self._stream.tell() + size)
+        self.end()
+
+    def end(self) -> None:
+        if self._stream.read(16) != self.sync:
+            raise ValueError("damaged Avro block")
+
+
+def decode_rows(data: bytes, rows: int, schema: T.StructType) -> list[list]:
+    """Columns of one block, as Arrow-ready values."""
+    columns: list[list] = [[] for _ in schema.fields]
+    kinds = [f.dataType for f in schema.fields]
+    at = 0
+
+    def long() -> int:
+        nonlocal at
+        value, shift = 0, 0
+        while True:
+            byte = data[at]
+            at += 1
+            value |= (byte & 0x7F) << shift
+            if byte < 0x80:
+                return (value >> 1) ^ -(value & 1)
+            shift += 7
+
+    for _ in range(rows):
+        for column, kind in zip(columns, kinds, strict=True):
+            if long() == 0:
+                column.append(None)
+                continue
+            if isinstance(kind, (T.FloatType, T.DoubleType)):
+                size = 4 if isinstance(kind, T.FloatType) else 8
+                column.append(np.frombuffer(data, f"<f{size}", 1, at)[0].item())
+                at += size
+            elif isinstance(kind, T.BooleanType):
+                column.append(data[at] == 1)
+                at += 1
+            elif isinstance(kind, (T.StringType, T.BinaryType, T.DecimalType)):
+                size = long()
+                column.append(data[at : at + size])
+                at += size
+            else:
+                column.append(long())
+    return columns
+
+
+def _arrow(values: list, data_type: T.DataType) -> pa.Array:
+    if isinstance(data_type, T.StringType):
+        return pa.array(values, pa.binary()).cast(pa.string())
+    if isinstance(data_type, T.DecimalType):
+        from decimal import Context, Decimal
+
+        exact = Context(prec=80)
+        numbers = [
+            None
+            if v is None
+            else Decimal(int.from_bytes(v, "big", signed=True)).scaleb(-data_type.scale, exact)
+            for v in values
+        ]
+        return pa.array(numbers, pa.decimal128(data_type.precision, data_type.scale))
+    if isinstance(data_type, T.TimestampNTZType):
+        return pa.array(values, pa.int64()).cast(pa.timestamp("us"))
+    if isinstance(data_type, T.DateType):
+        return pa.array(values, pa.int32()).cast(pa.date32())
+    plain = {
+        T.IntegerType: pa.int32(),
+        T.LongType: pa.int64(),
+        T.FloatType: pa.float32(),
+        T.DoubleType: pa.float64(),
+        T.BooleanType: pa.bool_(),
+        T.BinaryType: pa.binary(),
+    }
+    return pa.array(values, plain[type(data_type)])
+
+
+@dataclass
+class Files(InputPartition):
+    paths: list[str]
+
+
+class ContainerReader(DataSourceReader):
+    """One task per file; with ``counts`` only block headers, of a few files per task."""
+
+    def __init__(self, paths: list[str], schema: T.StructType, counts: bool) -> None:
+        self.paths, self.schema, self.counts = paths, schema, counts
+
+    def partitions(self) -> list[InputPartition]:
+        files = container_files(self.paths)
+        step = COUNT_FILES if self.counts else 1
+        return [Files(files[i : i + step]) for i in range(0, len(files), step)]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        for path in getattr(partition, "paths", []):
+            fs, root = filesystem(path)
+            with fs.open_input_file(root) as stream:
+                blocks = _Blocks(stream)
+                yield from self._count(path, blocks) if self.counts else self._rows(path, blocks)
+
+    def _count(self, path: str, blocks: _Blocks) -> Iterator[pa.RecordBatch]:
+        total = 0
+        for rows, size in blocks:
+            blocks.skip(size)
+            total += rows
+        yield pa.RecordBatch.from_pydict({"path": [path], "n_rows": pa.array([total], pa.int64())})
+
+    def _rows(self, path: str, blocks: _Blocks) -> Iterator[pa.RecordBatch]:
+        stored = spark_schema(blocks.schema)
+        chunk = chunk_of(path)
+        for rows, size in blocks:
+            columns = decode_rows(blocks.data(size), rows, stored)
+            arrays = {
+                f.name: _arrow(c, f.dataType) for f, c in zip(stored.fields, columns, strict=True)
+            }
+            if chunk is not None:
+                arrays["chunk"] = pa.array([chunk] * rows, pa.string())
+            yield pa.RecordBatch.from_pydict({f.name: arrays[f.name] for f in self.schema.fields})
+
+
+def chunk_of(path: str) -> str | None:
+    name = basename(dirname(path))
+    return unquote(name[len("chunk=") :]) if name.startswith("chunk=") else None
+
+
+def container_files(paths: list[str]) -> list[str]:
+    found = []
+    for path in paths:
+        fs, root = filesystem(path)
+        prefix = path[: path.index(root)] if root in path else ""
+        info = fs.get_file_info(root)
+        if info.is_file:
+            found.append(prefix + root)
+            continue
+        for entry in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
+            hidden = any(p.startswith("_") for p in entry.path[len(root) :].split("/"))
+            if entry.is_file and entry.path.endswith(".avro") and not hidden:
+                found.append(prefix + entry.path)
+    return sorted(found)
+
+
+class AvroContainers(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return FORMAT
+
+    def _paths(self) -> list[str]:
+        return json.loads(self.options["paths"])
+
+    def _counts(self) -> bool:
+        return self.options.get("counts", "false") == "true"
+
+    def schema(self) -> T.StructType | str:
+        if self._counts():
+            return "path string, n_rows bigint"
+        files = container_files(self._paths())
+        if not files:
+            raise ValueError(f"no Avro files under {self._paths()}")
+        fs, path = filesystem(files[0])
+        with fs.open_input_file(path) as stream:
+            schema = spark_schema(_Blocks(stream).schema)
+        return schema.add("chunk", "string") if chunk_of(files[0]) is not None else schema
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return ContainerReader(self._paths(), schema, self._counts())
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> ContainerWriter:
+        return ContainerWriter(schema, self.options, overwrite)
+
+
+def register(spark) -> None:
+    """Make the format known to a session; its code travels with the tasks."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(AvroContainers)
