@@ -16,7 +16,6 @@ from driver_queries.scans import (
     LINE_SQL,
     ORDERS_BY_YEAR,
     YEAR_CUSTOMER,
-    chunk_of,
     year_chunk_sql,
     year_chunks,
 )
@@ -24,7 +23,6 @@ from tablelift import engine
 from tablelift.functions.types import ColumnSpec
 from tablelift.operators import ledger as led
 from tablelift.operators import report, validate
-from tablelift.operators.partitions import MAXVALUE, RangePartitions, assign
 from tablelift.sinks.files import read_output, write_output
 
 
@@ -72,13 +70,8 @@ def convert_table(spark: SparkSession, sf: str) -> DataFrame:
     """Orders by year and customer bucket: every chunk in one job, read back and summed."""
     output = scratch(spark, "convert_table")
     orders = table(spark, sf, "orders")
-    names = [
-        f"subpartition-{i:05d}-{j:05d}-{p}-H{j}"
-        for i, p in enumerate(ORDERS_BY_YEAR.names(), 1)
-        for j in range(1, 5)
-    ]
     source = engine.SourceTable(orders, ORDER_COLUMNS, YEAR_CUSTOMER)
-    results = engine.convert_table(source, _work("ORDERS", "partition", names), output, "parquet")
+    results = engine.convert_table(source, _work("ORDERS", "partition", YEAR_CUSTOMER.labels()), output, "parquet")
     failed = [r.error for r in results if r.error]
     if failed:
         raise RuntimeError("; ".join(failed))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driver_queries.casts import TEXT_DECIMAL
@@ -20,10 +20,10 @@ from tablelift.operators.partitions import (
     RangePartitions,
     assign,
     assign_by_reference,
+    with_chunk,
 )
 from tablelift.operators.project import project_columns
 from tablelift.operators.validate import count_output, count_output_chunks, count_rows
-from tablelift.plans.chunks import partition_chunk, subpartition_chunk
 from tablelift.sinks.files import by_chunk, read_output, write_empty_chunk, write_output
 from tablelift.sinks.metrics import RunMetrics, metrics_by_phase, read_metrics
 from tablelift.sources import tables as sources
@@ -72,21 +72,9 @@ BY_CUSTOMER = HashPartitions(["o_custkey"], ["H1", "H2", "H3", "H4"], integer_ke
 YEAR_CUSTOMER = CompositePartitions(ORDERS_BY_YEAR, BY_CUSTOMER)
 
 
-def chunk_of(df: DataFrame) -> Column:
-    if "subpartition_name" in df.columns:
-        return subpartition_chunk(
-            F.col("partition_position"), F.col("subpartition_position"),
-            F.col("partition_name"), F.col("subpartition_name"),
-        )
-    return partition_chunk(F.col("partition_position"), F.col("partition_name"))
-
-
 def lines_by_year(spark: SparkSession, sf: str) -> DataFrame:
     """Converted line items with their year chunk."""
-    df = assign(table(spark, sf, "lineitem"), BY_YEAR)
-    return project_columns(
-        df, LINE_COLUMNS, [chunk_of(df).alias("chunk"), "partition_name"]
-    )
+    return project_columns(with_chunk(table(spark, sf, "lineitem"), BY_YEAR), LINE_COLUMNS, ["chunk"])
 
 
 def year_chunks() -> list[str]:
@@ -153,7 +141,7 @@ def scan_fileset(spark: SparkSession, sf: str) -> DataFrame:
 @query("sink_parquet", f"SELECT {LINE_SQL}, {year_chunk_sql('l_shipdate')} AS chunk FROM lineitem")
 def sink_parquet(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "sink_parquet")
-    df = lines_by_year(spark, sf).drop("partition_name")
+    df = lines_by_year(spark, sf)
     write_output(by_chunk(df), "parquet", path, chunked=True)
     return shown(read_output(spark, "parquet", path))
 
@@ -161,7 +149,7 @@ def sink_parquet(spark: SparkSession, sf: str) -> DataFrame:
 @query("sink_avro", f"SELECT {LINE_SQL}, {year_chunk_sql('l_shipdate')} AS chunk FROM lineitem")
 def sink_avro(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "sink_avro")
-    df = lines_by_year(spark, sf).drop("partition_name")
+    df = lines_by_year(spark, sf)
     write_output(by_chunk(df), "avro", path, chunked=True, chunk_names=year_chunks())
     return shown(read_output(spark, "avro", path))
 
@@ -199,9 +187,7 @@ def sink_empty(spark: SparkSession, sf: str) -> DataFrame:
         ],
     )
     orders = table(spark, sf, "orders")
-    df = assign(orders, method)
-    df = df.withColumn("chunk", chunk_of(df)).drop("partition_position", "partition_name")
-    write_output(by_chunk(df), "parquet", path, chunked=True)
+    write_output(by_chunk(with_chunk(orders, method)), "parquet", path, chunked=True)
     names = [f"partition-{i:05d}-{n}" for i, n in enumerate(method.names(), 1)]
     filled = {r["chunk"] for r in count_output_chunks(spark, "parquet", path).collect()}
     for name in names:
@@ -270,8 +256,7 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     GROUP BY 1""",
 )
 def count_rows_query(spark: SparkSession, sf: str) -> DataFrame:
-    df = assign(table(spark, sf, "lineitem"), BY_YEAR)
-    return count_rows(df, [chunk_of(df).alias("chunk")])
+    return count_rows(with_chunk(table(spark, sf, "lineitem"), BY_YEAR), ["chunk"])
 
 
 def _count_written(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
@@ -312,9 +297,9 @@ def count_output_csv(spark: SparkSession, sf: str) -> DataFrame:
     FROM lineitem GROUP BY 1""",
 )
 def part_range(spark: SparkSession, sf: str) -> DataFrame:
-    df = assign(table(spark, sf, "lineitem"), BY_YEAR)
+    df = with_chunk(table(spark, sf, "lineitem"), BY_YEAR)
     return shown(
-        df.groupBy(chunk_of(df).alias("chunk")).agg(
+        df.groupBy("chunk").agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("total"),
             F.min("l_shipdate").alias("first_day"),
@@ -334,8 +319,8 @@ def part_list(spark: SparkSession, sf: str) -> DataFrame:
         "c_mktsegment",
         [("P_TECH", ["AUTOMOBILE", "MACHINERY"]), ("P_BUILD", ["BUILDING"]), ("P_REST", None)],
     )
-    df = assign(table(spark, sf, "customer"), method)
-    return df.select("c_custkey", chunk_of(df).alias("chunk"))
+    df = with_chunk(table(spark, sf, "customer"), method)
+    return df.select("c_custkey", "chunk")
 
 
 @query(
@@ -344,8 +329,8 @@ def part_list(spark: SparkSession, sf: str) -> DataFrame:
       AS chunk FROM orders""",
 )
 def part_hash(spark: SparkSession, sf: str) -> DataFrame:
-    df = assign(table(spark, sf, "orders"), BY_CUSTOMER)
-    return df.select("o_orderkey", chunk_of(df).alias("chunk"))
+    df = with_chunk(table(spark, sf, "orders"), BY_CUSTOMER)
+    return df.select("o_orderkey", "chunk")
 
 
 @query(
@@ -357,8 +342,8 @@ def part_hash(spark: SparkSession, sf: str) -> DataFrame:
 )
 def part_interval(spark: SparkSession, sf: str) -> DataFrame:
     method = IntervalPartitions("o_orderdate", "P_INITIAL", datetime.date(1996, 7, 1))
-    df = assign(table(spark, sf, "orders"), method)
-    return df.select("o_orderkey", chunk_of(df).alias("chunk"))
+    df = with_chunk(table(spark, sf, "orders"), method)
+    return df.select("o_orderkey", "chunk")
 
 
 _COMPOSITE_SQL = (
@@ -372,8 +357,8 @@ for _y in _YEARS:
 
 @query("part_composite", f"SELECT o_orderkey, {_COMPOSITE_SQL} AS chunk FROM orders")
 def part_composite(spark: SparkSession, sf: str) -> DataFrame:
-    df = assign(table(spark, sf, "orders"), YEAR_CUSTOMER)
-    return df.select("o_orderkey", chunk_of(df).alias("chunk"))
+    df = with_chunk(table(spark, sf, "orders"), YEAR_CUSTOMER)
+    return df.select("o_orderkey", "chunk")
 
 
 _REFERENCE_SQL = f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
@@ -389,7 +374,7 @@ def join_reference_partition(spark: SparkSession, sf: str) -> DataFrame:
         [("l_orderkey", "o_orderkey")],
         ORDERS_BY_YEAR,
     )
-    return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", chunk_of(df).alias("chunk"))
+    return df.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "chunk")
 
 
 @query(
@@ -407,6 +392,6 @@ def part_reference(spark: SparkSession, sf: str) -> DataFrame:
         [("l_orderkey", "o_orderkey")],
         method,
     )
-    return df.groupBy(chunk_of(df).alias("chunk")).agg(
+    return df.groupBy("chunk").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("l_orderkey").alias("n_parents")
     )

@@ -27,7 +27,7 @@ from tablelift.operators.ledger import (
     ChunkLedger,
     resume_chunks,
 )
-from tablelift.operators.partitions import CompositePartitions, Partitions, assign
+from tablelift.operators.partitions import CompositePartitions, Partitions, with_chunk
 from tablelift.operators.project import project_columns, resolve_overrides
 from tablelift.operators.report import report_entries, write_report
 from tablelift.operators.validate import (
@@ -42,9 +42,7 @@ from tablelift.plans.chunks import (
     existing_only,
     manifest_frames,
     missing_schemas,
-    partition_chunk,
     plan_chunks,
-    subpartition_chunk,
 )
 from tablelift.sinks.files import CHUNK, by_chunk, check_format, write_empty_chunk, write_output
 from tablelift.sinks.metrics import RunMetrics
@@ -163,15 +161,7 @@ def with_chunks(source: SourceTable, strategy: str, chunks: Sequence[Chunk]) ->
         return source.df.withColumn(CHUNK, F.lit(chunks[0].name))
     if source.method is None:
         return _with_planned_chunks(source.df, chunks)
-    df = assign(source.df, source.method)
-    position, name = F.col("partition_position"), F.col("partition_name")
-    if isinstance(source.method, CompositePartitions):
-        sub_position, sub_name = F.col("subpartition_position"), F.col("subpartition_name")
-        chunk = subpartition_chunk(position, sub_position, name, sub_name)
-        named = name.isNotNull() & sub_name.isNotNull()
-    else:
-        chunk, named = partition_chunk(position, name), name.isNotNull()
-    return df.withColumn(CHUNK, F.when(named, chunk))
+    return with_chunk(source.df, source.method)
 
 
 def _with_planned_chunks(df: DataFrame, chunks: Sequence[Chunk]) -> DataFrame:

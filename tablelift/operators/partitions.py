@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -22,34 +22,60 @@ PARTITION = ("partition_position", "partition_name")
 SUBPARTITION = ("subpartition_position", "subpartition_name")
 
 
-def _tree(value: Column, bounds: Sequence[Any], low: int, high: int) -> Column:
-    """Number of ``bounds`` at or below ``value``, by nested halving."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(value < F.lit(bounds[middle]), _tree(value, bounds, low, middle)).otherwise(
-        _tree(value, bounds, middle + 1, high)
-    )
+def _halving(value: Column, bounds: Sequence[Any], choices: Sequence[Any], low: int) -> Column:
+    """The choice after the last bound at or below ``value``, by nested halving.
 
+    A comparison with NULL takes the upper half, so NULL ends at the last choice.
+    """
+    if not bounds:
+        return F.lit(choices[low]) if low < len(choices) else F.lit(None)
+    middle = len(bounds) // 2
+    return F.when(
+        value < F.lit(bounds[middle]), _halving(value, bounds[:middle], choices, low)
+    ).otherwise(_halving(value, bounds[middle + 1 :], choices, low + middle + 1))
 
-def _bounds_passed(value: Column, bounds: Sequence[Any]) -> Column:
-    """How many sorted bounds are at or below the value.
 
-    A few bounds become nested comparisons; many are looked up in two steps
-    (every k-th bound, then the k bounds after it), so the expression stays small.
-    """
-    if len(bounds) <= 64:
-        return _tree(value, bounds, 0, len(bounds))
+def _two_steps(value: Column, bounds: Sequence[Any]) -> Column:
+    """How many sorted bounds are at or below the value: every k-th first, then k of them."""
     step = max(2, int(len(bounds) ** 0.5))
     listed = F.array(*[F.lit(b) for b in bounds])
     coarse = F.array(*[F.lit(b) for b in bounds[step - 1 :: step]])
     skipped = F.size(F.filter(coarse, lambda b: b <= value)) * step
     block = F.slice(listed, skipped + 1, F.lit(step))
-    return skipped + F.size(F.filter(block, lambda b: b <= value))
+    return F.when(value.isNull(), F.lit(len(bounds))).otherwise(
+        skipped + F.size(F.filter(block, lambda b: b <= value))
+    )
+
+
+def _nth(choices: Sequence[Any], index: Column) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in choices]), index)
+
+
+def chunk_label(position: int, name: str) -> str:
+    return f"partition-{position:05d}-{name}"
+
+
+class _Listed:
+    """A method with a fixed list of partitions; ``pick`` gives each row one of as many choices."""
+
+    def names(self) -> list[str]:
+        raise NotImplementedError
+
+    def pick(self, choices: Sequence[Any]) -> Column:
+        raise NotImplementedError
+
+    def position(self) -> Column:
+        return self.pick(range(1, len(self.names()) + 1)).cast("int")
+
+    def name(self) -> Column:
+        return self.pick(self.names())
+
+    def chunk(self) -> Column:
+        return self.pick([chunk_label(i, n) for i, n in enumerate(self.names(), 1)])
 
 
 @dataclass(frozen=True)
-class RangePartitions:
+class RangePartitions(_Listed):
     """``(name, exclusive upper bound)`` in order; MAXVALUE as last bound takes the rest.
 
     NULL sorts above every value, so it falls into the MAXVALUE partition. A row
@@ -62,21 +88,16 @@ class RangePartitions:
     def names(self) -> list[str]:
         return [name for name, _ in self.parts]
 
-    def position(self) -> Column:
+    def pick(self, choices: Sequence[Any]) -> Column:
         bounds = [bound for _, bound in self.parts if bound is not MAXVALUE]
         value = F.col(self.column)
-        # The first comparison must not be taken for NULL keys: they pass every bound.
-        passed = F.when(value.isNull(), F.lit(len(bounds))).otherwise(
-            _bounds_passed(value, bounds)
-        )
-        return F.when(passed < len(self.parts), passed + 1).cast("int")
-
-    def name(self) -> Column:
-        return F.get(F.array(*[F.lit(n) for n in self.names()]), self.position() - 1)
+        if len(bounds) <= 64:
+            return _halving(value, bounds, choices, 0)
+        return _nth(choices, _two_steps(value, bounds))
 
 
 @dataclass(frozen=True)
-class ListPartitions:
+class ListPartitions(_Listed):
     """``(name, values)`` in order; DEFAULT as values takes what no list names."""
 
     column: str
@@ -85,26 +106,23 @@ class ListPartitions:
     def names(self) -> list[str]:
         return [name for name, _ in self.parts]
 
-    def position(self) -> Column:
+    def pick(self, choices: Sequence[Any]) -> Column:
         value = F.col(self.column)
-        chosen = F.lit(None).cast("int")
-        for position, (_, values) in reversed(list(enumerate(self.parts, 1))):
+        rest = [c for c, (_, values) in zip(choices, self.parts, strict=True) if values is DEFAULT]
+        chosen = F.lit(rest[0]) if rest else F.lit(None)
+        for choice, (_, values) in zip(choices, self.parts, strict=True):
             if values is DEFAULT:
                 continue
             known = [v for v in values if v is not None]
-            match = value.isin(*known) if known else F.lit(False)
+            match = F.coalesce(value.isin(*known), F.lit(False)) if known else F.lit(False)
             if None in values:
                 match = match | value.isNull()
-            chosen = F.when(match, F.lit(position)).otherwise(chosen)
-        rest = [i for i, (_, values) in enumerate(self.parts, 1) if values is DEFAULT]
-        return F.coalesce(chosen, F.lit(rest[0])) if rest else chosen
-
-    def name(self) -> Column:
-        return F.get(F.array(*[F.lit(n) for n in self.names()]), self.position() - 1)
+            chosen = F.when(match, F.lit(choice)).otherwise(chosen)
+        return chosen
 
 
 @dataclass(frozen=True)
-class HashPartitions:
+class HashPartitions(_Listed):
     """Stable, total, disjoint buckets; integers by remainder, other keys by hash."""
 
     columns: Sequence[str]
@@ -114,14 +132,11 @@ class HashPartitions:
     def names(self) -> list[str]:
         return list(self.buckets)
 
-    def position(self) -> Column:
+    def pick(self, choices: Sequence[Any]) -> Column:
         key = F.xxhash64(*self.columns)
         if self.integer_key:
             key = F.coalesce(F.col(self.columns[0]).cast("bigint"), F.lit(0))
-        return (F.pmod(key, F.lit(len(self.buckets))) + 1).cast("int")
-
-    def name(self) -> Column:
-        return F.get(F.array(*[F.lit(n) for n in self.buckets]), self.position() - 1)
+        return _nth(choices, F.pmod(key, F.lit(len(self.buckets))).cast("int"))
 
 
 @dataclass(frozen=True)
@@ -144,11 +159,15 @@ class IntervalPartitions:
 
     def name(self) -> Column:
         value = F.col(self.column)
-        return F.when(self.position() == 1, F.lit(self.initial_name)).when(
-            value.isNotNull(),
-            F.format_string("SYS_P%04d%02d", F.year(value), F.month(value)),
+        month = (F.year(value) * 100 + F.month(value)).cast("string")
+        return F.when(value < F.lit(self.initial_bound), F.lit(self.initial_name)).otherwise(
+            F.concat(F.lit("SYS_P"), F.lpad(month, 6, "0"))
         )
 
+    def chunk(self) -> Column:
+        position = F.lpad(self.position().cast("string"), 5, "0")
+        return F.concat(F.lit("partition-"), position, F.lit("-"), self.name())
+
 
 Partitions = RangePartitions | ListPartitions | HashPartitions | IntervalPartitions
 
@@ -157,21 +176,36 @@ Partitions = RangePartitions | ListPartitions | HashPartitions | IntervalPartiti
 class CompositePartitions:
     """Partitions, each split again by the same subpartition method."""
 
-    partitions: Partitions
-    subpartitions: Partitions
+    partitions: RangePartitions | ListPartitions | HashPartitions
+    subpartitions: RangePartitions | ListPartitions | HashPartitions
+
+    def labels(self) -> list[str]:
+        return [
+            f"subpartition-{i:05d}-{j:05d}-{name}-{sub}"
+            for i, name in enumerate(self.partitions.names(), 1)
+            for j, sub in enumerate(self.subpartitions.names(), 1)
+        ]
+
+    def chunk(self) -> Column:
+        width = len(self.subpartitions.names())
+        index = (self.partitions.position() - 1) * width + self.subpartitions.position() - 1
+        return _nth(self.labels(), index)
 
 
 def assign(df: DataFrame, method: Partitions | CompositePartitions) -> DataFrame:
     """``df`` with the position and name of its partition (and subpartition)."""
+    levels = [(method, PARTITION)]
     if isinstance(method, CompositePartitions):
-        return _assign_level(
-            _assign_level(df, method.partitions, PARTITION), method.subpartitions, SUBPARTITION
-        )
-    return _assign_level(df, method, PARTITION)
+        levels = [(method.partitions, PARTITION), (method.subpartitions, SUBPARTITION)]
+    added = {}
+    for level, (position, name) in levels:
+        added.update({position: level.position(), name: level.name()})
+    return df.withColumns(added)
 
 
-def _assign_level(df: DataFrame, method: Partitions, names: tuple[str, str]) -> DataFrame:
-    return df.withColumns({names[0]: method.position(), names[1]: method.name()})
+def with_chunk(df: DataFrame, method: Partitions | CompositePartitions) -> DataFrame:
+    """``df`` with the name of its ``chunk``; NULL for a row no partition takes."""
+    return df.withColumn("chunk", method.chunk())
 
 
 def assign_by_reference(
@@ -180,23 +214,21 @@ def assign_by_reference(
     keys: Sequence[tuple[str, str]],
     method: Partitions | CompositePartitions,
 ) -> DataFrame:
-    """Each child row follows its parent's partition along the foreign key.
+    """Each child row with the ``chunk`` of its parent, along (child, parent) key columns.
 
     When the parent's partition columns are part of the key, the child holds
     them itself and no join is needed. Otherwise it is an inner equi-join that
-    carries only key and partition of the parent; adaptive execution splits a
-    hot key, since every child row meets one parent row at most.
+    carries only key and chunk of the parent; adaptive execution splits a hot
+    key, since every child row meets one parent row at most.
     """
     to_child = {parent_column: child_column for child_column, parent_column in keys}
-    needed = _key_columns(method)
-    if needed <= to_child.keys():
-        return assign(child, _renamed(method, to_child))
-    added = [*PARTITION, *(SUBPARTITION if isinstance(method, CompositePartitions) else ())]
-    owners = assign(parent, method).select(
-        *[F.col(p).alias(f"__{p}") for _, p in keys], *added
+    if _key_columns(method) <= to_child.keys():
+        return with_chunk(child, _renamed(method, to_child))
+    owners = with_chunk(parent, method).select(
+        *[F.col(p).alias(f"__{p}") for _, p in keys], "chunk"
     )
     on = [F.col(c) == F.col(f"__{p}") for c, p in keys]
-    return child.join(owners, on, "inner").select(*child.columns, *added)
+    return child.join(owners, on, "inner").select(*child.columns, "chunk")
 
 
 def _key_columns(method: Partitions | CompositePartitions) -> set[str]:
@@ -208,8 +240,6 @@ def _key_columns(method: Partitions | CompositePartitions) -> set[str]:
 def _renamed(
     method: Partitions | CompositePartitions, names: dict[str, str]
 ) -> Partitions | CompositePartitions:
-    from dataclasses import replace
-
     if isinstance(method, CompositePartitions):
         return CompositePartitions(
             _renamed(method.partitions, names), _renamed(method.subpartitions, names)
