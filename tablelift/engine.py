@@ -8,15 +8,17 @@ what can be read back.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablelift.errors import SPARK_ERRORS, first_line
 from tablelift.functions.naming import partition_directory, table_path
 from tablelift.functions.types import ColumnSpec, is_known_target
 from tablelift.operators.catalog import inspect_catalog
@@ -60,8 +62,8 @@ RESULT_SCHEMA = (
 class SourceTable:
     """A readable table with its declared columns and how it is partitioned.
 
-    Without ``method`` a partitioned table must bring ``partition_name`` (and
-    ``subpartition_name``) columns of its own.
+    Without ``method`` a partitioned table must bring a ``chunk`` column, or
+    ``partition_name`` (and ``subpartition_name``) columns of its own.
     """
 
     df: DataFrame
@@ -101,6 +103,18 @@ class TableWork:
         return f"{self.schema}.{self.table}"
 
 
+@contextmanager
+def exact_names(spark: SparkSession) -> Iterator[None]:
+    """Column names that differ only in case are different columns while this lasts."""
+    key = "spark.sql.caseSensitive"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class ConversionFailed(RuntimeError):
     """Raised at the end of a run in which chunks failed; the others are written."""
 
@@ -159,6 +173,8 @@ def with_chunks(source: SourceTable, strategy: str, chunks: Sequence[Chunk]) ->
     """The source rows with the name of their chunk."""
     if strategy != BY_PARTITION:
         return source.df.withColumn(CHUNK, F.lit(chunks[0].name))
+    if source.method is None and CHUNK in source.df.columns:
+        return source.df
     if source.method is None:
         return _with_planned_chunks(source.df, chunks)
     return with_chunk(source.df, source.method)
@@ -223,22 +239,18 @@ def convert_table(
     with metrics.phase("convert_table", table=work.qualified, chunks=len(todo), format=fmt):
         try:
             return kept + _convert_chunks(df, source, work, todo, path, fmt, bool(kept))
-        except (PySparkException, ValueError) as error:
-            LOGGER.warning("%s: %s; trying chunk by chunk", work.qualified, _first_line(error))
+        except (*SPARK_ERRORS, ValueError) as error:
+            LOGGER.warning("%s: %s; trying chunk by chunk", work.qualified, first_line(error))
         results = list(kept)
         for chunk in todo:
             try:
                 only = df.where(F.col(CHUNK) == chunk.name)
                 results += _convert_chunks(only, source, work, [chunk], path, fmt, True)
-            except (PySparkException, ValueError) as error:
-                results.append(ChunkResult(chunk.name, FAILED, error=_first_line(error)))
+            except (*SPARK_ERRORS, ValueError) as error:
+                results.append(ChunkResult(chunk.name, FAILED, error=first_line(error)))
         return results
 
 
-def _first_line(error: Exception) -> str:
-    return str(error).strip().split("\n", 1)[0]
-
-
 def _convert_chunks(
     df: DataFrame,
     source: SourceTable,
@@ -331,7 +343,6 @@ def convert_plan(
     failed chunk is recorded and the rest goes on; ``raise_failures`` raises at the end.
     """
     check_format(fmt)
-    spark.conf.set("spark.sql.caseSensitive", "true")
     catalog = spark.createDataFrame(list(sources), "schema string, table string")
     supported = plan_df.where(F.col("strategy") != UNSUPPORTED)
     present, missing = existing_only(supported, catalog)
@@ -353,7 +364,7 @@ def convert_plan(
             ledger.append_rows(running)
     rows: list[tuple] = []
     failures: list[str] = []
-    with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
+    with exact_names(spark), ThreadPoolExecutor(max_workers=parallel_tables) as pool:
         jobs = {
             pool.submit(convert_table, sources[(w.schema, w.table)], w, output, fmt, metrics): w
             for w in works

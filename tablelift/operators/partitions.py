@@ -208,6 +208,37 @@ def with_chunk(df: DataFrame, method: Partitions | CompositePartitions) -> DataF
     return df.withColumn("chunk", method.chunk())
 
 
+def partition_catalog(
+    df: DataFrame, owner: str, table: str, method: Partitions | CompositePartitions
+) -> tuple[DataFrame, DataFrame]:
+    """Catalog rows of a table's partitions and subpartitions, for planning.
+
+    Only interval partitions depend on the data: the months that occur.
+    """
+    spark = df.sparkSession
+    first = method.partitions if isinstance(method, CompositePartitions) else method
+    if isinstance(first, IntervalPartitions):
+        seen = df.select(first.name().alias("n"), first.position().alias("p")).distinct()
+    else:
+        listed = [(n, i) for i, n in enumerate(first.names(), 1)]
+        seen = spark.createDataFrame(listed, "n string, p int")
+    keys = [F.lit(owner).alias("table_owner"), F.lit(table).alias("table_name")]
+    partitions = seen.select(
+        *keys, F.col("n").alias("partition_name"), F.col("p").alias("partition_position")
+    )
+    subs = []
+    if isinstance(method, CompositePartitions):
+        subs = [
+            (name, sub, j)
+            for name in first.names()
+            for j, sub in enumerate(method.subpartitions.names(), 1)
+        ]
+    subpartitions = spark.createDataFrame(
+        subs, "partition_name string, subpartition_name string, subpartition_position int"
+    ).select(*keys, "*")
+    return partitions, subpartitions
+
+
 def assign_by_reference(
     child: DataFrame,
     parent: DataFrame,

@@ -7,10 +7,11 @@ import time
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablelift.errors import SPARK_ERRORS, first_line
+
 LOGGER = logging.getLogger(__name__)
 
 
@@ -38,8 +39,8 @@ class RunMetrics:
             schema = "phase string, fields map<string,string>, took_ms double"
             frame = self._spark.createDataFrame(rows, schema).coalesce(1)
             frame.write.mode("append").json(self._path)
-        except PySparkException as error:
-            LOGGER.warning("run metrics not written: %s", error)
+        except SPARK_ERRORS as error:
+            LOGGER.warning("run metrics not written: %s", first_line(error))
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
