@@ -539,3 +539,6 @@ def register(spark) -> None:
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(AvroContainers)
+    # Formats are looked up in the active session of the calling thread, and a pool
+    # thread has none until it makes a frame of its own.
+    spark.createDataFrame([], "c int")

@@ -115,6 +115,10 @@ def exact_names(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+class RowsOutsidePlan(ValueError):
+    """Source rows belong to no chunk of the plan."""
+
+
 class ConversionFailed(RuntimeError):
     """Raised at the end of a run in which chunks failed; the others are written."""
 
@@ -239,6 +243,9 @@ def convert_table(
     with metrics.phase("convert_table", table=work.qualified, chunks=len(todo), format=fmt):
         try:
             return kept + _convert_chunks(df, source, work, todo, path, fmt, bool(kept))
+        except RowsOutsidePlan as error:
+            # The plan does not fit the data: no chunk may pass for the whole table.
+            return kept + [ChunkResult(c.name, FAILED, error=str(error)) for c in todo]
         except (*SPARK_ERRORS, ValueError) as error:
             LOGGER.warning("%s: %s; trying chunk by chunk", work.qualified, first_line(error))
         results = list(kept)
@@ -266,7 +273,7 @@ def _convert_chunks(
     found = {r[CHUNK]: r["input_rows"] for r in counted}
     strays = {k: n for k, n in found.items() if k not in set(names)}
     if strays:
-        raise ValueError(f"{work.qualified}: rows outside the planned chunks: {strays}")
+        raise RowsOutsidePlan(f"{work.qualified}: rows outside the planned chunks: {strays}")
     filled = [n for n in names if found.get(n)]
     if filled:
         exported = project_columns(df, source.columns, [CHUNK])
