@@ -10,9 +10,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from posixpath import basename, dirname
 from urllib.parse import unquote
@@ -373,40 +374,47 @@ class _Blocks:
 
 def decode_rows(data: bytes, rows: int, schema: T.StructType) -> list[list]:
     """Columns of one block, as Arrow-ready values."""
-    columns: list[list] = [[] for _ in schema.fields]
-    kinds = [f.dataType for f in schema.fields]
     at = 0
 
     def long() -> int:
         nonlocal at
-        value, shift = 0, 0
-        while True:
+        byte = data[at]
+        at += 1
+        value, shift = byte & 0x7F, 7
+        while byte >= 0x80:
             byte = data[at]
             at += 1
             value |= (byte & 0x7F) << shift
-            if byte < 0x80:
-                return (value >> 1) ^ -(value & 1)
             shift += 7
+        return (value >> 1) ^ -(value & 1)
 
+    def sized() -> bytes:
+        nonlocal at
+        size = long()
+        at += size
+        return data[at - size : at]
+
+    def fixed(layout: struct.Struct) -> Callable[[], object]:
+        def read() -> object:
+            nonlocal at
+            at += layout.size
+            return layout.unpack_from(data, at - layout.size)[0]
+
+        return read
+
+    readers = {
+        T.FloatType: fixed(struct.Struct("<f")),
+        T.DoubleType: fixed(struct.Struct("<d")),
+        T.BooleanType: fixed(struct.Struct("<?")),
+        T.StringType: sized,
+        T.BinaryType: sized,
+        T.DecimalType: sized,
+    }
+    fields = [([], readers.get(type(f.dataType), long)) for f in schema.fields]
     for _ in range(rows):
-        for column, kind in zip(columns, kinds, strict=True):
-            if long() == 0:
-                column.append(None)
-                continue
-            if isinstance(kind, (T.FloatType, T.DoubleType)):
-                size = 4 if isinstance(kind, T.FloatType) else 8
-                column.append(np.frombuffer(data, f"<f{size}", 1, at)[0].item())
-                at += size
-            elif isinstance(kind, T.BooleanType):
-                column.append(data[at] == 1)
-                at += 1
-            elif isinstance(kind, (T.StringType, T.BinaryType, T.DecimalType)):
-                size = long()
-                column.append(data[at : at + size])
-                at += size
-            else:
-                column.append(long())
-    return columns
+        for column, read in fields:
+            column.append(read() if long() else None)
+    return [column for column, _ in fields]
 
 
 def _arrow(values: list, data_type: T.DataType) -> pa.Array:

@@ -63,12 +63,15 @@ class SourceTable:
     """A readable table with its declared columns and how it is partitioned.
 
     Without ``method`` a partitioned table must bring a ``chunk`` column, or
-    ``partition_name`` (and ``subpartition_name``) columns of its own.
+    ``partition_name`` (and ``subpartition_name``) columns of its own. ``clustered``
+    says that rows of a chunk lie together (files per partition, rows in order of
+    the partition key): then the write needs no shuffle.
     """
 
     df: DataFrame
     columns: Sequence[ColumnSpec]
     method: Partitions | CompositePartitions | None = None
+    clustered: bool = False
 
 
 @dataclass(frozen=True)
@@ -277,7 +280,7 @@ def _convert_chunks(
     filled = [n for n in names if found.get(n)]
     if filled:
         exported = project_columns(df, source.columns, [CHUNK])
-        if len(filled) > 1:
+        if len(filled) > 1 and not source.clustered:
             exported = by_chunk(exported)
         replace = "chunks" if keep_others else "all"
         write_output(exported, fmt, path, chunked=True, chunk_names=filled, replace=replace)

@@ -36,75 +36,75 @@ def to_wide_decimal_text(value: Column, precision: int, scale: int) -> Column:
 
     Works on the digits, so 39 to 76 digit values stay exact; more than
     ``precision`` digits fail the job, as an overflow does for narrow decimals.
+    Values already in plain form with few enough digits are only padded.
     """
-
-    def parts(text: Column) -> Column:
-        exponent = F.regexp_extract(text, r"[eE]([+-]?\d+)$", 1)
-        return F.struct(
-            text.startswith("-").alias("minus"),
-            F.regexp_extract(text, r"^[+-]?(\d*)", 1).alias("whole"),
-            F.regexp_extract(text, r"^[+-]?\d*\.(\d*)", 1).alias("fraction"),
-            F.when(exponent == "", F.lit(0)).otherwise(exponent.cast("int")).alias("exponent"),
-        )
-
-    def shifted(number: Column) -> Column:
-        # All digits, and how many of them stand before the point after scaling.
-        point = F.length(number["whole"]) + number["exponent"] + F.lit(scale)
-        digits = F.concat(number["whole"], number["fraction"])
-        return F.struct(
-            F.concat(F.repeat(F.lit("0"), F.greatest(-point, F.lit(0))), digits).alias("digits"),
-            F.greatest(point, F.lit(0)).alias("point"),
+    text = F.trim(value.cast("string"))
+    return F.when(value.isNotNull(), _let(text, lambda t: _wide_decimal(t, precision, scale)))
+
+
+def _wide_decimal(text: Column, precision: int, scale: int) -> Column:
+    whole = f"(?:0|[1-9]\\d{{0,{precision - scale - 1}}})" if precision > scale else "0"
+    plain = rf"^(?:-(?=.*[1-9]))?{whole}"
+    number = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+    refused = F.raise_error(F.concat(F.lit("not a decimal: "), text)).cast("string")
+    general = F.when(text.rlike(number), _rounded_text(text, precision, scale)).otherwise(refused)
+    if not scale:
+        return F.when(text.rlike(plain + "$"), text).otherwise(general)
+    return (
+        F.when(text.rlike(plain + "$"), F.concat(text, F.lit("." + "0" * scale)))
+        .when(
+            text.rlike(plain + rf"\.\d{{0,{scale}}}$"),
+            F.rpad(text, F.instr(text, ".") + scale, F.lit("0")),
         )
+        .otherwise(general)
+    )
+
+
+def _rounded_text(text: Column, precision: int, scale: int) -> Column:
+    """The same for any notation and any number of digits."""
+    upper = F.upper(text)
+    mantissa = F.ltrim(F.substring_index(upper, "E", 1), F.lit("+-"))
+    exponent = F.when(
+        upper.contains("E"), F.substring_index(upper, "E", -1).cast("int")
+    ).otherwise(0)
+    whole = F.substring_index(mantissa, ".", 1)
+    # The digits without a point, and how many stand before the point after scaling.
+    scaled = F.struct(
+        F.replace(mantissa, F.lit(".")).alias("digits"),
+        (F.length(whole) + exponent + scale).alias("point"),
+    )
 
     def cut(number: Column) -> Column:
-        padded = F.rpad(
-            number["digits"], F.greatest(number["point"] + 1, F.length(number["digits"])), F.lit("0")
-        )
+        point = F.greatest(number["point"], F.lit(0))
+        digits = F.concat(F.repeat(F.lit("0"), -number["point"]), number["digits"])
         return F.struct(
-            F.concat(F.lit("0"), F.substr(padded, F.lit(1), number["point"])).alias("kept"),
-            (F.substr(padded, number["point"] + 1, F.lit(1)) >= "5").alias("up"),
+            F.concat(F.lit("0"), F.rpad(F.substr(digits, F.lit(1), point), point, F.lit("0")))
+            .alias("kept"),
+            (F.substr(digits, point + 1, F.lit(1)) >= "5").alias("up"),
         )
 
     def rounded(number: Column) -> Column:
         # Adding one turns the trailing nines to zeros and bumps the digit before them.
         kept = number["kept"]
-        nines = F.regexp_extract(kept, r"(9*)$", 1)
-        last = F.length(kept) - F.length(nines)
+        head = F.rtrim(kept, F.lit("9"))
         bumped = F.concat(
-            F.substr(kept, F.lit(1), last - 1),
-            (F.substr(kept, last, F.lit(1)).cast("int") + 1).cast("string"),
-            F.translate(nines, "9", "0"),
+            F.substr(head, F.lit(1), F.length(head) - 1),
+            (F.right(head, F.lit(1)).cast("int") + 1).cast("string"),
+            F.repeat(F.lit("0"), F.length(kept) - F.length(head)),
         )
-        return F.regexp_replace(F.when(number["up"], bumped).otherwise(kept), "^0+", "")
+        return F.ltrim(F.when(number["up"], bumped).otherwise(kept), F.lit("0"))
 
     def pointed(digits: Column) -> Column:
-        if not scale:
-            return F.when(digits == "", "0").otherwise(digits)
         sized = F.lpad(digits, F.greatest(F.lit(scale + 1), F.length(digits)), F.lit("0"))
-        return _let(
-            sized,
-            lambda d: F.concat(
-                F.substr(d, F.lit(1), F.length(d) - scale),
-                F.lit("."),
-                F.substr(d, F.length(d) - scale + 1, F.lit(scale)),
-            ),
+        if scale:
+            sized = F.regexp_replace(sized, rf"(\d{{{scale}}})$", ".$1")
+        minus = F.when(text.startswith("-") & (digits != ""), "-").otherwise("")
+        too_wide = F.raise_error(F.concat(F.lit(f"more than {precision} digits: "), text))
+        return F.when(F.length(digits) > precision, too_wide.cast("string")).otherwise(
+            F.concat(minus, sized)
         )
 
-    def rendered(text: Column) -> Column:
-        def signed(digits: Column) -> Column:
-            minus = F.when(text.startswith("-") & (digits != ""), "-").otherwise("")
-            too_wide = F.raise_error(F.concat(F.lit(f"more than {precision} digits: "), text))
-            return F.when(F.length(digits) > precision, too_wide.cast("string")).otherwise(
-                F.concat(minus, pointed(digits))
-            )
-
-        scaled = _let(_let(_let(parts(text), shifted), cut), rounded)
-        is_number = text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
-        refused = F.raise_error(F.concat(F.lit("not a decimal: "), text)).cast("string")
-        return F.when(is_number, _let(scaled, signed)).otherwise(refused)
-
-    text = F.trim(value.cast("string"))
-    return F.when(value.isNotNull(), _let(text, rendered))
+    return _let(_let(_let(scaled, cut), rounded), pointed)
 
 
 def convert(value: Column, source: T.DataType, token: str) -> Column:

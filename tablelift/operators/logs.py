@@ -8,6 +8,8 @@ lines of a file, and a block is bounded in size (see
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,8 +87,14 @@ def forward_fill(
 
 
 def _group(text: Column, pattern: str, group: int) -> Column:
-    """One capture group of the first match, NULL without a match."""
-    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
+    """One capture group of the first match, NULL without a match; no group may be empty."""
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+
+
+def _mentions(text: Column, *words: str) -> Column:
+    """Cheap test that spares most lines the patterns."""
+    upper = F.upper(text)
+    return reduce(or_, [upper.contains(w) for w in words])
 
 
 def _all_groups(text: Column, pattern: str, group: int = 1) -> Column:
@@ -106,7 +114,8 @@ def attribute_errors(lines: DataFrame, *, legacy: bool = False) -> DataFrame:
     line = F.col("line")
     header = _object_name(line, LEGACY_HEADER if legacy else MODERN_HEADER)
     tablespace = F.upper(_group(line, MISSING_TABLESPACE, 1))
-    relevant = lines.select(
+    mentioned = _mentions(line, "ORA-00959", "CREATE" if legacy else "ORA-39083")
+    relevant = lines.where(mentioned).select(
         "file",
         "block",
         "seq",
@@ -155,7 +164,7 @@ def shown_tables(lines: DataFrame) -> DataFrame:
     """
     line = F.trim(F.regexp_replace("line", r"[\t\r]", " "))
     schema, table = _group(line, SHOWN_SCHEMA, 1), _group(line, SHOWN_TABLE, 1)
-    relevant = lines.select(
+    relevant = lines.where(_mentions(F.col("line"), "IMPORTING")).select(
         "file", "block", "seq", schema.alias("__schema"), table.alias("table")
     ).where(F.col("__schema").isNotNull() | F.col("table").isNotNull())
     filled = forward_fill(relevant, F.col("__schema"), "schema")
