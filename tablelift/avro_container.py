@@ -14,6 +14,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from posixpath import basename, dirname
 from urllib.parse import unquote
@@ -36,6 +37,8 @@ MAGIC = b"Obj\x01"
 ROLL_BYTES = 256 * 1024 * 1024
 BLOCK_ROWS = 10_000
 COUNT_FILES = 16
+MOVERS = 16
+STAGING = "_staging-"
 
 
 # -- schema ---------------------------------------------------------------------
@@ -253,7 +256,7 @@ class ContainerWriter(DataSourceArrowWriter):
         self.directories = json.loads(options.get("directories", "{}"))
         self.dynamic = options.get("dynamic", "false") == "true"
         self.overwrite = overwrite
-        self.staging = f"{self.path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+        self.staging = f"{self.path.rstrip('/')}/{STAGING}{uuid.uuid4().hex}"
         self.metadata = json.loads(options.get("metadata", "{}"))
         fields = [f for f in schema.fields if f.name != self.chunk_column]
         self.schema = T.StructType(
@@ -294,10 +297,15 @@ class ContainerWriter(DataSourceArrowWriter):
             stale = {d for _, d in files} if self.dynamic else {None}
             for directory in stale:
                 self._clear(fs, root if directory is None else f"{root}/{directory}", root)
-        for staged, directory in files:
-            target = f"{root}/{directory}" if directory else root
-            fs.create_dir(target, recursive=True)
-            fs.move(staged, f"{target}/{basename(staged)}")
+        for directory in {d for _, d in files}:
+            fs.create_dir(f"{root}/{directory}".rstrip("/"), recursive=True)
+
+        def move(file: tuple[str, str]) -> None:
+            staged, directory = file
+            fs.move(staged, "/".join(filter(None, (root, directory, basename(staged)))))
+
+        with ThreadPoolExecutor(max_workers=MOVERS) as pool:
+            list(pool.map(move, files))
         self._drop_staging()
 
     def _clear(self, fs: pafs.FileSystem, directory: str, root: str) -> None:
@@ -308,9 +316,11 @@ class ContainerWriter(DataSourceArrowWriter):
                 fs.delete_file(info.path)
 
     def _drop_staging(self) -> None:
-        fs, root = filesystem(self.staging)
-        if fs.get_file_info(root).type != pafs.FileType.NotFound:
-            fs.delete_dir(root)
+        """Remove what this write staged, and what an earlier one left when it died."""
+        fs, root = filesystem(self.path)
+        for info in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+            if info.base_name.startswith(STAGING):
+                fs.delete_dir(info.path)
 
     def abort(self, messages: list[Written | None]) -> None:
         self._drop_staging()

@@ -21,10 +21,10 @@ UNKNOWN_OBJECT = "<unknown>"
 # Patterns of the log and DDL texts.
 ORA_CODE = r"(?i)ORA-(\d{4,5})"
 TOOL_CODE = r"(IMP-\d+|ORA-\d+)"
-MODERN_HEADER = r'(?i)ORA-39083:\s+Object\s+type\s+\S+\s*:\s*"([^"]+)"\."([^"]+)"'
+MODERN_HEADER = r'(?i)ORA-39083:\s+Object\s+type\s+\S+\s*:\s*"([^"]+"\."[^"]+)"'
 LEGACY_HEADER = (
     r"(?i)\bCREATE\s+(?:GLOBAL\s+TEMPORARY\s+|PRIVATE\s+TEMPORARY\s+)?TABLE\s+"
-    r'"([^"]+)"\."([^"]+)"'
+    r'"([^"]+"\."[^"]+)"'
 )
 MISSING_TABLESPACE = r"(?i)ORA-00959:\s+tablespace\s+'([^']+)'\s+does\s+not\s+exist"
 MISSING_QUOTA = r"(?i)ORA-01950:\s+no\s+privileges\s+on\s+tablespace\s+'([^']+)'"
@@ -102,7 +102,8 @@ def _all_groups(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def _object_name(line: Column, pattern: str) -> Column:
-    return F.concat(_group(line, pattern, 1), F.lit("."), _group(line, pattern, 2))
+    """``SCHEMA.TABLE`` of a header line, NULL for any other line."""
+    return F.replace(_group(line, pattern, 1), F.lit('"."'), F.lit("."))
 
 
 def attribute_errors(lines: DataFrame, *, legacy: bool = False) -> DataFrame:
@@ -121,7 +122,7 @@ def attribute_errors(lines: DataFrame, *, legacy: bool = False) -> DataFrame:
         "seq",
         header.alias("header"),
         F.when(header.isNull(), tablespace).alias("tablespace"),
-    ).where(F.col("header").isNotNull() | F.col("tablespace").isNotNull())
+    )
     filled = forward_fill(relevant, F.col("header"), "object")
     return filled.where(F.col("tablespace").isNotNull()).select(
         "file", "block", "seq",
@@ -166,7 +167,7 @@ def shown_tables(lines: DataFrame) -> DataFrame:
     schema, table = _group(line, SHOWN_SCHEMA, 1), _group(line, SHOWN_TABLE, 1)
     relevant = lines.where(_mentions(F.col("line"), "IMPORTING")).select(
         "file", "block", "seq", schema.alias("__schema"), table.alias("table")
-    ).where(F.col("__schema").isNotNull() | F.col("table").isNotNull())
+    )
     filled = forward_fill(relevant, F.col("__schema"), "schema")
     found = _user_tables(filled.where(F.col("table").isNotNull() & F.col("schema").isNotNull()))
     return first_seen(found, ["file", "schema", "table"], ["block", "seq"])

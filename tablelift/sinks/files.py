@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tablelift import avro_container
 from tablelift.functions.naming import partition_directory
-from tablelift.sources.avro import has_avro_module, read_avro
+from tablelift.sources.avro import has_avro_module, read_avro, with_utc_instants
 
 # Fixed value: the output formats.
 FORMATS = ("parquet", "avro", "csv")
@@ -103,7 +103,7 @@ def _write_avro(
     data = [f for f in df.schema.fields if not (chunked and f.name == CHUNK)]
     if has_avro_module(df.sparkSession):
         schema = json.dumps(avro_container.avro_schema(T.StructType(data), "Row"))
-        writer = df.write.mode("overwrite").format("avro").option("avroSchema", schema)
+        writer = with_utc_instants(df).write.mode("overwrite").format("avro").option("avroSchema", schema)
         if chunked:
             mode = "dynamic" if replace == "chunks" else "static"
             writer = writer.option("partitionOverwriteMode", mode).partitionBy(CHUNK)

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelift import avro_container
 
@@ -30,9 +31,29 @@ def _containers(spark: SparkSession, path: str | Sequence[str], counts: bool) ->
     )
 
 
+def with_utc_instants(df: DataFrame) -> DataFrame:
+    """Zone-less timestamps as the instants of their UTC reading, as Avro stores them."""
+    fields = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    in_utc = {n: F.concat(F.col(n).cast("string"), F.lit("Z")).cast("timestamp") for n in fields}
+    return df.withColumns(in_utc) if fields else df
+
+
+def without_zone(df: DataFrame) -> DataFrame:
+    """The way back: instants as zone-less timestamps of their UTC reading."""
+    fields = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    local = {
+        n: F.convert_timezone(
+            F.current_timezone(), F.lit("UTC"), F.col(n).cast("timestamp_ntz")
+        )
+        for n in fields
+    }
+    return df.withColumns(local) if fields else df
+
+
 def read_avro(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     if has_avro_module(spark):
-        return spark.read.format("avro").load(path if isinstance(path, str) else list(path))
+        paths = path if isinstance(path, str) else list(path)
+        return without_zone(spark.read.format("avro").load(paths))
     return _containers(spark, path, counts=False)
 
 

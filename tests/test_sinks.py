@@ -140,3 +140,48 @@ def test_metrics_never_fail_the_work(spark, tmp_path):
     with blocked.phase("p"):
         pass
     blocked.flush()
+
+
+def test_hot_chunk_is_written_by_several_tasks(spark, tmp_path):
+    df = spark.range(60000).select(
+        F.col("id"), F.md5(F.col("id").cast("string")).alias("x"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 20))
+        .alias("chunk"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "65536")
+    try:
+        write_output(by_chunk(df.repartition(4)), "parquet", str(tmp_path / "t"), chunked=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "t" / "chunk=hot").glob("*.parquet"))) > 1
+    assert count_output(spark, "parquet", str(tmp_path / "t")) == 60000
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo"])
+def test_timestamps_through_instants(spark, zone):
+    from tablelift.sources.avro import with_utc_instants, without_zone
+
+    df = spark.sql("SELECT timestamp_ntz'1969-12-31 23:59:59.999999' AS t")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        instants = with_utc_instants(df)
+        assert instants.select(F.unix_micros("t")).first()[0] == -1
+        assert without_zone(instants).select(F.col("t").cast("string")).first()[0] == (
+            "1969-12-31 23:59:59.999999"
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_failed_avro_write_leaves_nothing(spark, tmp_path):
+    from tablelift.avro_container import container_files
+
+    (tmp_path / "o").mkdir()
+    df = spark.range(100).select(F.when(F.col("id") < 99, F.col("id")).otherwise(
+        F.raise_error(F.lit("boom")).cast("bigint")).alias("v"))
+    with pytest.raises(Exception, match="boom"):
+        write_output(df, "avro", str(tmp_path / "o"))
+    assert not container_files([str(tmp_path / "o")])
+    write_output(spark.range(3), "avro", str(tmp_path / "o"))
+    assert count_output(spark, "avro", str(tmp_path / "o")) == 3
+    assert not list((tmp_path / "o").glob("_staging*"))
