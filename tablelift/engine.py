@@ -8,6 +8,7 @@ what can be read back.
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from contextlib import contextmanager
@@ -52,6 +53,11 @@ from tablelift.sources.tables import list_files
 
 LOGGER = logging.getLogger(__name__)
 
+# Fixed value: tables recorded together.
+BATCH_TABLES = 20
+BATCH_SECONDS = 30
+EMPTY_WRITERS = 8
+
 RESULT_SCHEMA = (
     "schema string, table string, chunk string, status string, input_rows bigint, "
     "output_rows bigint, output_path string, error string"
@@ -284,10 +290,11 @@ def _convert_chunks(
             exported = by_chunk(exported)
         replace = "chunks" if keep_others else "all"
         write_output(exported, fmt, path, chunked=True, chunk_names=filled, replace=replace)
-    for name in names:
-        if not found.get(name):
-            empty = project_columns(source.df, source.columns)
-            write_empty_chunk(empty, fmt, path, name)
+    empty = project_columns(source.df, source.columns)
+    # Each goes to a directory of its own, so these small jobs may overlap.
+    with ThreadPoolExecutor(max_workers=EMPTY_WRITERS) as pool:
+        unfilled = [n for n in names if not found.get(n)]
+        list(pool.map(lambda name: write_empty_chunk(empty, fmt, path, name), unfilled))
     planned = spark.createDataFrame([(n,) for n in names], "chunk string")
     inputs = spark.createDataFrame(list(found.items()), "chunk string, input_rows bigint")
     written = _read_counts(spark, fmt, path).join(planned, CHUNK, "left_semi")
@@ -379,18 +386,15 @@ def convert_plan(
             pool.submit(convert_table, sources[(w.schema, w.table)], w, output, fmt, metrics): w
             for w in works
         }
-        for job in as_completed(jobs):
-            work = jobs[job]
-            results = job.result()
-            if ledger is not None and work.pending:
-                ledger.append_rows(
-                    (work.qualified, r.chunk, r.status, r.input_rows, r.output_rows, r.error)
-                    for r in results
-                )
-            for r in results:
-                rows.append((work.schema, work.table, *_as_tuple(r)))
-                if r.status == FAILED:
-                    failures.append(f"{work.qualified} {r.chunk}: {r.error}")
+        with _LedgerBatches(ledger) as finished:
+            for job in as_completed(jobs):
+                work, results = jobs[job], job.result()
+                if work.pending:
+                    finished.add(work, results)
+                for r in results:
+                    rows.append((work.schema, work.table, *_as_tuple(r)))
+                    if r.status == FAILED:
+                        failures.append(f"{work.qualified} {r.chunk}: {r.error}")
     if metrics is not None:
         metrics.flush()
     results_df = spark.createDataFrame(rows, RESULT_SCHEMA)
@@ -399,6 +403,38 @@ def convert_plan(
     return results_df
 
 
+class _LedgerBatches:
+    """Records finished tables in batches, so that many small tables are few ledger writes.
+
+    A crash loses at most the batch at hand, whose chunks are then done again.
+    """
+
+    def __init__(self, ledger: ChunkLedger | None) -> None:
+        self._ledger = ledger
+        self._rows: list[tuple] = []
+        self._tables, self._since = 0, time.monotonic()
+
+    def __enter__(self) -> _LedgerBatches:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self._flush()
+
+    def add(self, work: TableWork, results: Sequence[ChunkResult]) -> None:
+        self._rows += [
+            (work.qualified, r.chunk, r.status, r.input_rows, r.output_rows, r.error)
+            for r in results
+        ]
+        self._tables += 1
+        if self._tables >= BATCH_TABLES or time.monotonic() - self._since > BATCH_SECONDS:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self._ledger is not None and self._rows:
+            self._ledger.append_rows(self._rows)
+        self._rows, self._tables, self._since = [], 0, time.monotonic()
+
+
 def _as_tuple(r: ChunkResult) -> tuple:
     return r.chunk, r.status, r.input_rows, r.output_rows, r.output_path, r.error
 

@@ -22,6 +22,13 @@ PARTITION = ("partition_position", "partition_name")
 SUBPARTITION = ("subpartition_position", "subpartition_name")
 
 
+def literal(value: Any) -> Column:
+    """A bound or list value; a datetime means its own reading, in whatever zone this runs."""
+    if isinstance(value, datetime.datetime):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def _halving(value: Column, bounds: Sequence[Any], choices: Sequence[Any], low: int) -> Column:
     """The choice after the last bound at or below ``value``, by nested halving.
 
@@ -31,15 +38,15 @@ def _halving(value: Column, bounds: Sequence[Any], choices: Sequence[Any], low:
         return F.lit(choices[low]) if low < len(choices) else F.lit(None)
     middle = len(bounds) // 2
     return F.when(
-        value < F.lit(bounds[middle]), _halving(value, bounds[:middle], choices, low)
+        value < literal(bounds[middle]), _halving(value, bounds[:middle], choices, low)
     ).otherwise(_halving(value, bounds[middle + 1 :], choices, low + middle + 1))
 
 
 def _two_steps(value: Column, bounds: Sequence[Any]) -> Column:
     """How many sorted bounds are at or below the value: every k-th first, then k of them."""
     step = max(2, int(len(bounds) ** 0.5))
-    listed = F.array(*[F.lit(b) for b in bounds])
-    coarse = F.array(*[F.lit(b) for b in bounds[step - 1 :: step]])
+    listed = F.array(*[literal(b) for b in bounds])
+    coarse = F.array(*[literal(b) for b in bounds[step - 1 :: step]])
     skipped = F.size(F.filter(coarse, lambda b: b <= value)) * step
     block = F.slice(listed, skipped + 1, F.lit(step))
     return F.when(value.isNull(), F.lit(len(bounds))).otherwise(
@@ -113,7 +120,7 @@ class ListPartitions(_Listed):
         for choice, (_, values) in zip(choices, self.parts, strict=True):
             if values is DEFAULT:
                 continue
-            known = [v for v in values if v is not None]
+            known = [literal(v) for v in values if v is not None]
             match = F.coalesce(value.isin(*known), F.lit(False)) if known else F.lit(False)
             if None in values:
                 match = match | value.isNull()

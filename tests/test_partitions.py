@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import time
 from bisect import bisect_right
 
 from pyspark.sql import functions as F
@@ -104,3 +105,24 @@ def test_reference_by_join_and_without(spark):
     local = assign_by_reference(wide, parent, [("fk", "pid"), ("fv", "v")], method)
     assert "Join" not in local._jdf.queryExecution().toString()
     assert {r.chunk for r in local.collect()} == {"partition-00001-A"}
+
+
+def test_bounds_do_not_depend_on_the_zone_of_the_machine(spark, monkeypatch):
+    df = spark.sql("SELECT timestamp_ntz'2019-12-31 23:59:59' AS v UNION ALL "
+                   "SELECT timestamp_ntz'2020-01-01 00:00:00'")
+    bound = datetime.datetime(2020, 1, 1)
+    many = [(f"P{i}", datetime.datetime(1900 + i, 1, 1)) for i in range(120)]
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        few = assign(df, RangePartitions("v", [("A", bound), ("M", MAXVALUE)]))
+        assert [r.partition_name for r in few.collect()] == ["A", "M"]
+        more = assign(df, RangePartitions("v", [*many, ("A", bound), ("M", MAXVALUE)]))
+        assert [r.partition_name for r in more.collect()] == ["A", "M"]
+        listed = assign(df, ListPartitions("v", [("L", [bound]), ("R", None)]))
+        assert [r.partition_name for r in listed.collect()] == ["R", "L"]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
