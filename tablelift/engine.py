@@ -35,7 +35,6 @@ from tablelift.operators.project import project_columns, resolve_overrides
 from tablelift.operators.report import report_entries, write_report
 from tablelift.operators.validate import (
     CountMismatch,
-    compare_counts,
     count_output_chunks,
     count_rows,
 )
@@ -295,20 +294,17 @@ def _convert_chunks(
     with ThreadPoolExecutor(max_workers=EMPTY_WRITERS) as pool:
         unfilled = [n for n in names if not found.get(n)]
         list(pool.map(lambda name: write_empty_chunk(empty, fmt, path, name), unfilled))
-    planned = spark.createDataFrame([(n,) for n in names], "chunk string")
-    inputs = spark.createDataFrame(list(found.items()), "chunk string, input_rows bigint")
-    written = _read_counts(spark, fmt, path).join(planned, CHUNK, "left_semi")
+    written = {r[CHUNK]: r["output_rows"] for r in _read_counts(spark, fmt, path).collect()}
     results = []
-    for r in compare_counts(planned, inputs, written).collect():
-        target = f"{path}/{partition_directory(CHUNK, r['chunk'])}"
-        if not r["valid"]:
+    for name in names:
+        imported, output = found.get(name, 0), written.get(name, 0)
+        if imported != output:
             raise CountMismatch(
-                f"row count mismatch for {work.qualified} {r['chunk']}: "
-                f"imported={r['input_rows']}, output={r['output_rows']}"
+                f"row count mismatch for {work.qualified} {name}: "
+                f"imported={imported}, output={output}"
             )
-        results.append(
-            ChunkResult(r["chunk"], COMPLETED, r["input_rows"], r["output_rows"], target)
-        )
+        target = f"{path}/{partition_directory(CHUNK, name)}"
+        results.append(ChunkResult(name, COMPLETED, imported, output, target))
     return results
 
 
