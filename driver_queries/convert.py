@@ -30,8 +30,8 @@ def _work(table_name: str, strategy: str, chunks: list[str]) -> engine.TableWork
     return engine.TableWork("SALES", table_name, strategy, [engine.Chunk(c) for c in chunks])
 
 
-def _fresh(spark: SparkSession, name: str) -> str:
-    return f"{scratch(spark, name)}-{datetime.datetime.now().timestamp():.6f}"
+def _fresh(spark: SparkSession, sf: str, name: str) -> str:
+    return f"{scratch(spark, sf, name)}-{datetime.datetime.now().timestamp():.6f}"
 
 
 def convert_lines(spark: SparkSession, sf: str, output: str) -> DataFrame:
@@ -54,7 +54,7 @@ _LINES_SQL = f"""SELECT {year_chunk_sql("l_shipdate")} AS chunk, 'completed' AS
 
 @query("convert_lineitem", _LINES_SQL)
 def convert_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    return convert_lines(spark, sf, scratch(spark, "convert_lineitem"))
+    return convert_lines(spark, sf, scratch(spark, sf, "convert_lineitem"))
 
 
 @query(
@@ -68,7 +68,7 @@ def convert_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 )
 def convert_table(spark: SparkSession, sf: str) -> DataFrame:
     """Orders by year and customer bucket: every chunk in one job, read back and summed."""
-    output = scratch(spark, "convert_table")
+    output = scratch(spark, sf, "convert_table")
     orders = table(spark, sf, "orders")
     source = engine.SourceTable(orders, ORDER_COLUMNS, YEAR_CUSTOMER)
     results = engine.convert_table(source, _work("ORDERS", "partition", YEAR_CUSTOMER.labels()), output, "parquet")
@@ -146,7 +146,7 @@ _PLAN_SQL = f"""SELECT 'LINEITEM' AS table_name, {year_chunk_sql("l_shipdate")}
 def convert_plan(spark: SparkSession, sf: str) -> DataFrame:
     plan = _plan(spark)
     results = engine.convert_plan(
-        spark, plan, _sources(spark, sf), scratch(spark, "convert_plan"), "parquet"
+        spark, plan, _sources(spark, sf), scratch(spark, sf, "convert_plan"), "parquet"
     )
     return report.report_entries(plan, results).select(
         F.col("table").alias("table_name"), "outcome", "chunk", "output_rows"
@@ -156,7 +156,7 @@ def convert_plan(spark: SparkSession, sf: str) -> DataFrame:
 @query("resume_skip_completed", f"SELECT *, chunk = 'whole' AS redone FROM ({_PLAN_SQL})")
 def resume_skip_completed(spark: SparkSession, sf: str) -> DataFrame:
     """A run is repeated after the ledger lost two chunks: only those are done again."""
-    output = _fresh(spark, "resume")
+    output = _fresh(spark, sf, "resume")
     ledger = led.ChunkLedger(spark, f"{output}/ledger")
     plan, sources = _plan(spark), _sources(spark, sf)
     engine.convert_plan(spark, plan, sources, f"{output}/data", ledger=ledger)
@@ -185,7 +185,7 @@ def resume_skip_completed(spark: SparkSession, sf: str) -> DataFrame:
 )
 def reload_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     """Converted twice; the rows are there once."""
-    output = scratch(spark, "reload")
+    output = scratch(spark, sf, "reload")
     convert_lines(spark, sf, output)
     convert_lines(spark, sf, output)
     return shown(read_output(spark, "parquet", f"{output}/SALES/LINEITEM"))
@@ -204,7 +204,7 @@ def reload_idempotent(spark: SparkSession, sf: str) -> DataFrame:
 )
 def validate_counts(spark: SparkSession, sf: str) -> DataFrame:
     """An output that lost its dearest orders is caught, chunk by chunk."""
-    path = scratch(spark, "validate_counts")
+    path = scratch(spark, sf, "validate_counts")
     orders = table(spark, sf, "orders").withColumn("chunk", F.col("o_orderstatus"))
     write_output(orders.where("o_totalprice <= 490000"), "parquet", path, chunked=True)
     planned = spark.createDataFrame([("F",), ("O",), ("P",), ("X",)], "chunk string")
@@ -242,7 +242,7 @@ def ledger_latest(spark: SparkSession, sf: str) -> DataFrame:
 )
 def ledger_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Two batches: every chunk running, then those with filled orders completed."""
-    ledger = led.ChunkLedger(spark, _fresh(spark, "ledger_upsert"))
+    ledger = led.ChunkLedger(spark, _fresh(spark, sf, "ledger_upsert"))
     number = F.lit(None).cast("bigint")
     none = F.lit(None).cast("string").alias("error")
     ledger.append(
@@ -276,7 +276,7 @@ def ledger_upsert(spark: SparkSession, sf: str) -> DataFrame:
 )
 def ledger_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """Records of all chunks; the ledger knows only chunks of customers in debt, as failed."""
-    ledger = led.ChunkLedger(spark, _fresh(spark, "ledger_reconcile"))
+    ledger = led.ChunkLedger(spark, _fresh(spark, sf, "ledger_reconcile"))
     debtors = table(spark, sf, "customer").where("c_acctbal < 0")
     keys = table(spark, sf, "orders").groupBy("o_custkey", "o_orderpriority").count()
     states = keys.select(
@@ -424,7 +424,7 @@ def materialize_view(spark: SparkSession, sf: str) -> DataFrame:
     view = customer.join(per_customer, "c_custkey", "left").withColumn(
         "n_orders", F.coalesce("n_orders", F.lit(0).cast("bigint"))
     )
-    return shown(engine.materialize_view(view, scratch(spark, "view_summary")))
+    return shown(engine.materialize_view(view, scratch(spark, sf, "view_summary")))
 
 
 @query(
@@ -434,7 +434,7 @@ def materialize_view(spark: SparkSession, sf: str) -> DataFrame:
 def materialize_view_filter(spark: SparkSession, sf: str) -> DataFrame:
     view = table(spark, sf, "orders").where("o_orderstatus = 'F'")
     view = view.select("o_orderkey", "o_custkey", "o_totalprice")
-    return engine.materialize_view(view, scratch(spark, "view_filter"))
+    return engine.materialize_view(view, scratch(spark, sf, "view_filter"))
 
 
 @query(
@@ -454,7 +454,7 @@ def materialize_view_details(spark: SparkSession, sf: str) -> DataFrame:
             "n_name", "r_name", "c_acctbal",
         )
     )
-    return engine.materialize_view(view, scratch(spark, "view_details"))
+    return engine.materialize_view(view, scratch(spark, sf, "view_details"))
 
 
 @query(
@@ -468,4 +468,4 @@ def materialize_view_accounts(spark: SparkSession, sf: str) -> DataFrame:
         "c_custkey", "c_name", "o_orderkey",
         F.col("o_orderstatus").alias("account_status"), "o_totalprice",
     )
-    return engine.materialize_view(view, scratch(spark, "view_accounts"))
+    return engine.materialize_view(view, scratch(spark, sf, "view_accounts"))

@@ -76,12 +76,12 @@ def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="tablelift-")
 
 
-def scratch(spark: SparkSession, name: str) -> str:
+def scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder for written tables: the cluster's shared one, a local one only if none is named."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    context = spark.sparkContext
-    return f"{shared or _own_folder()}/tablelift/{context.applicationId}/{name}"
+    data = sf_dir.rstrip("/").rsplit("/", 1)[-1]
+    return f"{shared or _own_folder()}/tablelift/{spark.sparkContext.applicationId}/{data}/{name}"
 
 
 def shown(df: DataFrame) -> DataFrame:

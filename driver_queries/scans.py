@@ -94,7 +94,7 @@ def scan_table(spark: SparkSession, sf: str) -> DataFrame:
 )
 def scan_partition(spark: SparkSession, sf: str) -> DataFrame:
     """One partition of a dataset laid out by partition: only its directory is read."""
-    path = scratch(spark, "scan_partition")
+    path = scratch(spark, sf, "scan_partition")
     df = assign(table(spark, sf, "lineitem"), BY_YEAR).drop("partition_position")
     df.hint("rebalance", F.col("partition_name")).write.mode("overwrite").partitionBy(
         "partition_name"
@@ -109,7 +109,7 @@ def scan_partition(spark: SparkSession, sf: str) -> DataFrame:
 )
 def scan_subpartition(spark: SparkSession, sf: str) -> DataFrame:
     """The subpartition name wins: it is read in whichever partition it lies."""
-    path = scratch(spark, "scan_subpartition")
+    path = scratch(spark, sf, "scan_subpartition")
     df = assign(table(spark, sf, "orders"), YEAR_CUSTOMER)
     df = df.drop("partition_position", "subpartition_position")
     df.hint("rebalance", F.col("partition_name"), F.col("subpartition_name")).write.mode(
@@ -127,7 +127,7 @@ def scan_subpartition(spark: SparkSession, sf: str) -> DataFrame:
 )
 def scan_fileset(spark: SparkSession, sf: str) -> DataFrame:
     """All files of one directory, named one by one."""
-    path = scratch(spark, "scan_fileset")
+    path = scratch(spark, sf, "scan_fileset")
     table(spark, sf, "orders").repartition(4).write.mode("overwrite").parquet(path)
     files = [r["path"] for r in sources.list_files(spark, path).collect()]
     parts = [f for f in files if f.endswith(".parquet")]
@@ -140,7 +140,7 @@ def scan_fileset(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sink_parquet", f"SELECT {LINE_SQL}, {year_chunk_sql('l_shipdate')} AS chunk FROM lineitem")
 def sink_parquet(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "sink_parquet")
+    path = scratch(spark, sf, "sink_parquet")
     df = lines_by_year(spark, sf)
     write_output(by_chunk(df), "parquet", path, chunked=True)
     return shown(read_output(spark, "parquet", path))
@@ -148,7 +148,7 @@ def sink_parquet(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sink_avro", f"SELECT {LINE_SQL}, {year_chunk_sql('l_shipdate')} AS chunk FROM lineitem")
 def sink_avro(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, "sink_avro")
+    path = scratch(spark, sf, "sink_avro")
     df = lines_by_year(spark, sf)
     write_output(by_chunk(df), "avro", path, chunked=True, chunk_names=year_chunks())
     return shown(read_output(spark, "avro", path))
@@ -157,7 +157,7 @@ def sink_avro(spark: SparkSession, sf: str) -> DataFrame:
 @query("sink_csv", "SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5 FROM documents")
 def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts with line breaks and quotes survive the round trip."""
-    path = scratch(spark, "sink_csv")
+    path = scratch(spark, sf, "sink_csv")
     docs = table(spark, sf, "documents")
     write_output(docs, "csv", path)
     back = read_output(spark, "csv", path, docs.schema)
@@ -177,7 +177,7 @@ def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sink_empty(spark: SparkSession, sf: str) -> DataFrame:
     """A chunk without rows is still a readable file with the columns."""
-    path = scratch(spark, "sink_empty")
+    path = scratch(spark, sf, "sink_empty")
     method = RangePartitions(
         "o_orderdate",
         [
@@ -231,7 +231,7 @@ def sink_layout(spark: SparkSession, sf: str) -> DataFrame:
 )
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Phases of a small run: one record per timed phase, rolled up by name."""
-    path = f"{scratch(spark, 'run_metrics')}-{datetime.datetime.now().timestamp():.6f}"
+    path = f"{scratch(spark, sf, 'run_metrics')}-{datetime.datetime.now().timestamp():.6f}"
     orders = table(spark, sf, "orders")
     metrics = RunMetrics(spark, path)
     rows = {"count_status": 0}
@@ -260,7 +260,7 @@ def count_rows_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _count_written(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
-    path = scratch(spark, f"count_output_{fmt}")
+    path = scratch(spark, sf, f"count_output_{fmt}")
     docs = table(spark, sf, "documents").withColumn("chunk", F.concat(F.lit("p-"), "lang"))
     names = [r[0] for r in docs.select("chunk").distinct().collect()]
     write_output(by_chunk(docs), fmt, path, chunked=True, chunk_names=names)
