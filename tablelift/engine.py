@@ -16,12 +16,13 @@ from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.errors import SPARK_ERRORS, first_line
 from tablelift.functions.naming import partition_directory, table_path
-from tablelift.functions.types import ColumnSpec, is_known_target
+from tablelift.functions.text_forms import has_bad_utf8
+from tablelift.functions.types import ColumnSpec, is_known_target, is_known_type
 from tablelift.operators.catalog import inspect_catalog
 from tablelift.operators.ledger import (
     COMPLETED,
@@ -31,7 +32,12 @@ from tablelift.operators.ledger import (
     resume_chunks,
 )
 from tablelift.operators.partitions import CompositePartitions, Partitions, with_chunk
-from tablelift.operators.project import project_columns, resolve_overrides
+from tablelift.operators.project import (
+    lossy_text_columns,
+    project_columns,
+    quoted,
+    resolve_overrides,
+)
 from tablelift.operators.report import report_entries, write_report
 from tablelift.operators.validate import (
     CountMismatch,
@@ -171,8 +177,11 @@ def table_columns(
     declared: dict[tuple[str, str], list[ColumnSpec]] = {}
     rows = columns.orderBy("schema", "table", "ordinal").toLocalIterator()
     for r in rows:
+        place = f"{r['schema']}.{r['table']}.{r['column_name']}"
         if r["target"] and not is_known_target(r["target"]):
-            LOGGER.warning("unknown target type %r, exporting as text", r["target"])
+            LOGGER.warning("%s: unknown target type %r, exported as text", place, r["target"])
+        elif not r["target"] and not is_known_type(r["data_type"]):
+            LOGGER.warning("%s: unknown type %r, exported as text", place, r["data_type"])
         spec = ColumnSpec(
             r["column_name"], r["data_type"], r["precision"], r["scale"],
             r["comment"], r["expression"], r["target"],
@@ -284,11 +293,22 @@ def _convert_chunks(
         raise RowsOutsidePlan(f"{work.qualified}: rows outside the planned chunks: {strays}")
     filled = [n for n in names if found.get(n)]
     if filled:
+        lossy = lossy_text_columns(df, source.columns)
+        observed = Observation()
+        if lossy:
+            damaged = [F.count_if(has_bad_utf8(F.col(quoted(n)))).alias(n) for n in lossy]
+            df = df.observe(observed, *damaged)
         exported = project_columns(df, source.columns, [CHUNK])
         if len(filled) > 1 and not source.clustered:
             exported = by_chunk(exported)
         replace = "chunks" if keep_others else "all"
         write_output(exported, fmt, path, chunked=True, chunk_names=filled, replace=replace)
+        for name, rows in (observed.get if lossy else {}).items():
+            if rows:
+                LOGGER.warning(
+                    "%s.%s: bytes that are no UTF-8 replaced in about %d rows (data may be lost)",
+                    work.qualified, name, rows,
+                )
     empty = project_columns(source.df, source.columns)
     # Each goes to a directory of its own, so these small jobs may overlap.
     with ThreadPoolExecutor(max_workers=EMPTY_WRITERS) as pool:

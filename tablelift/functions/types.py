@@ -153,10 +153,16 @@ def type_token_col(
     return F.coalesce(F.when(target != "", target), chain)
 
 
-def is_known_type_col(data_type: Column) -> Column:
+_KNOWN_NAMES = ("NUMBER", *(n for _, names in _KNOWN for n in names))
+
+
+def is_known_type(data_type: str) -> bool:
     """False for a type that is exported as text only for want of a better rule."""
-    names = ["NUMBER", *(n for _, group in _KNOWN for n in group)]
-    return normalize_type_col(data_type).isin(*names)
+    return normalize_type(data_type) in _KNOWN_NAMES
+
+
+def is_known_type_col(data_type: Column) -> Column:
+    return normalize_type_col(data_type).isin(*_KNOWN_NAMES)
 
 
 def is_known_target(token: str) -> bool:

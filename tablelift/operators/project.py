@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelift.functions.casts import convert, convert_declared
 from tablelift.functions.types import ColumnSpec, field_metadata, normalize_type, type_token
@@ -35,6 +36,17 @@ def project_columns(
     return df.select(*[export_column(df, c) for c in columns], *keep)
 
 
+def lossy_text_columns(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[str]:
+    """Byte columns that become text and so may lose malformed sequences."""
+    return [
+        c.name
+        for c in columns
+        if not c.expression
+        and isinstance(df.schema[c.name].dataType, T.BinaryType)
+        and type_token(c.data_type, c.precision, c.scale, c.target) == "string"
+    ]
+
+
 def resolve_overrides(df: DataFrame, overrides: DataFrame, key: Column) -> DataFrame:
     """Left join of an override frame (column ``key`` plus values) on exact, then upper-cased key.
 

@@ -240,3 +240,54 @@ def test_fingerprint_of_inputs_changes_the_ledger(spark):
     same = engine.input_fingerprint(plan, sources)
     assert engine.input_fingerprint(plan, sources) == same
     assert engine.input_fingerprint(plan_of(spark, *CHUNKS[:2]), sources) != same
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "avro"])
+def test_replaced_bytes_are_reported(spark, tmp_path, caplog, fmt):
+    df = spark.createDataFrame(
+        [(1, bytearray(b"ok")), (2, bytearray(b"\xff")), (3, bytearray(b"a\xc3"))],
+        "v int, t binary",
+    )
+    plan = plan_of(spark, "whole", strategy="whole_table")
+    with caplog.at_level("WARNING", "tablelift.engine"):
+        engine.convert_plan(spark, plan, {("S", "T"): engine.SourceTable(df, COLUMNS)},
+                            str(tmp_path / "o"), fmt)
+    assert "S.T.t: bytes that are no UTF-8 replaced in about 2 rows" in caplog.text
+    back = read_output(spark, fmt, f"{tmp_path}/o/S/T")
+    assert {r["t"] for r in back.collect()} == {"ok", "�", "a�"}
+
+
+def test_unknown_types_are_reported(spark, caplog):
+    manifest = engine.inspect(
+        {**catalog(spark), "tab_cols": spark.createDataFrame(
+            [("S", "T", "A", "ROWID", 1, "Y", None, None, 0, None, None, "NO"),
+             ("S", "T", "B", "NUMBER", 2, "Y", 5, 0, 0, None, None, "NO")],
+            catalog(spark)["tab_cols"].schema),
+         "tables": spark.createDataFrame([("S", "T", 1, 1, "N")], catalog(spark)["tables"].schema)})
+    over = spark.createDataFrame([("S.T.B", None, "nonsense")],
+                                 "key string, expression string, target string")
+    with caplog.at_level("WARNING", "tablelift.engine"):
+        columns = engine.table_columns(manifest, over)["S", "T"]
+    assert "S.T.A: unknown type 'ROWID'" in caplog.text
+    assert "S.T.B: unknown target type 'nonsense'" in caplog.text
+    assert [c.target for c in columns] == [None, "nonsense"]
+
+
+def test_overrides_reach_the_output(spark, tmp_path):
+    table_over = spark.createDataFrame([("FINANCE.TRANSACTION_DETAILS", "whole")], "key string, strategy string")
+    column_over = spark.createDataFrame(
+        [("HRDATA.JOBS.JOB_TITLE", "upper(trim({column}))", None),
+         ("HRDATA.JOBS.MIN_SALARY", None, "int32")],
+        "key string, expression string, target string")
+    wanted = [("HRDATA", "JOBS"), ("FINANCE", "TRANSACTION_DETAILS")]
+    some = {k: v for k, v in frames(spark).items() if k in wanted}
+    parts = catalog(spark)
+    names = spark.createDataFrame(wanted, "owner string, table_name string")
+    parts["tables"] = parts["tables"].join(names, ["owner", "table_name"], "left_semi")
+    engine.run(spark, parts, some, str(tmp_path), table_overrides=table_over,
+               column_overrides=column_over)
+    jobs = read_output(spark, "parquet", table_path(f"{tmp_path}/data", "HRDATA", "JOBS"))
+    assert jobs.schema["MIN_SALARY"].dataType.simpleString() == "int"
+    assert jobs.where("JOB_TITLE IS NOT NULL AND JOB_TITLE <> upper(JOB_TITLE)").count() == 0
+    details = Path(table_path(f"{tmp_path}/data", "FINANCE", "TRANSACTION_DETAILS"))
+    assert [p.name for p in details.glob("chunk=*")] == ["chunk=whole"]

@@ -8,29 +8,34 @@ from tablelift.operators import logs
 from tablelift.sources.text import read_ddl_statements, read_log_lines
 
 MODERN = """
-ORA-39083: Object type TABLE:"HR"."EMPLOYEES" failed to create
-ORA-00959: tablespace 'HR_DATA' does not exist
-ORA-39083: Object type TABLE:"FINANCE"."ACCOUNTS" failed to create
-ORA-00959: tablespace 'FIN_DATA' does not exist
-ORA-00959: tablespace 'fin_idx' does not exist
+Import job started
+ORA-39083: Object type TABLE:"SALES"."INVOICES" failed to create with error:
+ORA-00959: tablespace 'BILLING' does not exist
+ora-39083: object type INDEX: "Stock"."Bin Index" failed to create with error:
+Failing sql is: CREATE INDEX
+ORA-00959: tablespace 'cold_store' does not exist
+ORA-00959: tablespace 'Fast_Store' does not exist
+ORA-39083: Object type TABLE:"SALES"."INVOICES" failed to create with error:
+ORA-00959: tablespace 'ARCHIVE' does not exist
 """.strip()
 LEGACY = """
-. about to import HR's tables ...
-"CREATE TABLE "HR"."EMPLOYEES" (...)"
-IMP-00003: ORACLE error 959 encountered
-ORA-00959: tablespace 'HR_DATA' does not exist
-"CREATE TABLE "FINANCE"."ACCOUNTS" (...)"
-ORA-00959: tablespace 'FIN_DATA' does not exist
+ORA-00959: tablespace 'EARLY' does not exist
+CREATE TABLE "SALES"."INVOICES" ("NR" NUMBER)
+IMP-00017: following statement failed with ORACLE error 959:
+ORA-00959: tablespace 'BILLING' does not exist
+create global temporary table "SALES"."SCRATCH" ("NR" NUMBER)
+ORA-00959: tablespace 'temp2' does not exist
 """.strip()
 SHOW = """
-. . importing table "EARLY" 1 rows
-. importing SRC's objects into SRC
-. . importing table                    "EMPLOYEES"         107 rows
-. . importing table                    "EMPLOYEES"         107 rows
+. . importing table "ORPHAN" 1 rows
+. importing SALES's objects into STAGE
+. . importing table "INVOICES" 12 rows imported
+. . importing table         "INVOICES" 12 rows imported
 . importing SYSTEM's objects into SYSTEM
-. . importing table                    "HELP"              1 rows
-  . importing OPS's objects into OPS
-. . importing table                    "EMPLOYEES"         3 rows
+. . importing table "HELP"
+   . Importing STOCK's objects into STAGE
+. . importing table   "BINS"  0 rows imported
+. . importing table "INVOICES"
 """.strip()
 
 
@@ -48,10 +53,10 @@ def objects(df):
 
 def test_modern_and_legacy_attribution(spark):
     assert objects(logs.missing_tablespaces(lines(spark, MODERN))) == {
-        "HR.EMPLOYEES": {"HR_DATA"}, "FINANCE.ACCOUNTS": {"FIN_DATA", "FIN_IDX"},
+        "SALES.INVOICES": {"BILLING", "ARCHIVE"}, "Stock.Bin Index": {"COLD_STORE", "FAST_STORE"},
     }
     assert objects(logs.missing_tablespaces(lines(spark, LEGACY), legacy=True)) == {
-        "HR.EMPLOYEES": {"HR_DATA"}, "FINANCE.ACCOUNTS": {"FIN_DATA"},
+        "<unknown>": {"EARLY"}, "SALES.INVOICES": {"BILLING"}, "SALES.SCRATCH": {"TEMP2"},
     }
 
 
@@ -87,7 +92,7 @@ def test_forward_fill_sorts_no_whole_file(spark):
 
 def test_show_log(spark):
     got = {(r["schema"], r["table"]) for r in logs.shown_tables(lines(spark, SHOW)).collect()}
-    assert got == {("SRC", "EMPLOYEES"), ("OPS", "EMPLOYEES")}
+    assert got == {("SALES", "INVOICES"), ("STOCK", "BINS"), ("STOCK", "INVOICES")}
 
 
 def ddl(spark, *texts):
@@ -117,7 +122,7 @@ def test_plain_names_when_only_system_ones_are_quoted(spark):
 def test_import_log_is_the_last_resort(spark):
     log = lines(spark, SHOW).withColumn("file", F.lit("ddl"))
     assert tables(logs.ddl_tables(ddl(spark, "nothing here"), log)) == [
-        ("SRC", "EMPLOYEES"), ("OPS", "EMPLOYEES"),
+        ("SALES", "INVOICES"), ("STOCK", "BINS"), ("STOCK", "INVOICES"),
     ]
 
 
