@@ -104,29 +104,36 @@ class ChunkResult:
 
 @dataclass
 class TableWork:
-    """What is left to do for one table."""
+    """The planned chunks of one table, and those a ledger holds as completed."""
 
     schema: str
     table: str
     strategy: str
-    pending: list[Chunk] = field(default_factory=list)
+    chunks: list[Chunk] = field(default_factory=list)
     done: list[ChunkResult] = field(default_factory=list)
 
     @property
     def qualified(self) -> str:
         return f"{self.schema}.{self.table}"
 
+    @property
+    def pending(self) -> list[Chunk]:
+        completed = {r.chunk for r in self.done}
+        return [c for c in self.chunks if c.name not in completed]
+
 
 @contextmanager
-def exact_names(spark: SparkSession) -> Iterator[None]:
-    """Column names that differ only in case are different columns while this lasts."""
-    key = "spark.sql.caseSensitive"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
+def strict_session(spark: SparkSession) -> Iterator[None]:
+    """While this lasts, overflow fails and names that differ only in case are different."""
+    wanted = {"spark.sql.caseSensitive": "true", "spark.sql.ansi.enabled": "true"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 class RowsOutsidePlan(ValueError):
@@ -239,40 +246,54 @@ def convert_table(
     fmt: str,
     metrics: RunMetrics | None = None,
 ) -> list[ChunkResult]:
-    """Write the pending chunks of one table and check them; never raises for a chunk.
+    """Write the pending chunks of one table and check them; failures are results, not errors.
 
     All chunks go in one job. If that job fails, every chunk is tried by itself,
     so that one bad chunk does not take the others with it.
     """
-    spark = source.df.sparkSession
-    path = table_path(output, work.schema, work.table)
-    planned = [*work.pending, *(Chunk(r.chunk) for r in work.done)]
-    stale = _present_chunks(spark, path) - {partition_directory(CHUNK, c.name) for c in planned}
     if not work.pending:
         return list(work.done)
-    metrics = metrics or RunMetrics(spark, None)
-    df = with_chunks(source, work.strategy, planned)
-    # Chunks of another plan would double the rows: then the whole table is redone.
-    todo = planned if stale or not work.done else work.pending
-    kept = [] if stale else list(work.done)
+    metrics = metrics or RunMetrics(source.df.sparkSession, None)
+    with metrics.phase(
+        "convert_table", table=work.qualified, chunks=len(work.pending), format=fmt
+    ):
+        try:
+            return _convert_pending(source, work, output, fmt)
+        except Exception as error:  # noqa: BLE001 - other tables must go on, whatever this was
+            LOGGER.warning("%s failed: %s", work.qualified, first_line(error))
+            failed = [ChunkResult(c.name, FAILED, error=first_line(error)) for c in work.pending]
+            return [*work.done, *failed]
+
+
+def _convert_pending(
+    source: SourceTable, work: TableWork, output: str, fmt: str
+) -> list[ChunkResult]:
+    path = table_path(output, work.schema, work.table)
+    df = with_chunks(source, work.strategy, work.chunks)
+    planned = {partition_directory(CHUNK, c.name) for c in work.chunks}
+    if _present_chunks(df.sparkSession, path) - planned:
+        # Chunks of another plan would double the rows: the whole table is redone.
+        work.done.clear()
+        nothing = project_columns(df, source.columns, [CHUNK]).limit(0)
+        write_output(nothing, fmt, path, chunked=True)
+    todo, kept = work.pending, list(work.done)
     if kept:
         df = df.where(F.col(CHUNK).isNull() | ~F.col(CHUNK).isin([r.chunk for r in kept]))
-    with metrics.phase("convert_table", table=work.qualified, chunks=len(todo), format=fmt):
+    try:
+        return kept + _convert_chunks(df, source, work, todo, path, fmt)
+    except RowsOutsidePlan:
+        # The plan does not fit the data: no chunk may pass for the whole table.
+        raise
+    except (*SPARK_ERRORS, ValueError) as error:
+        LOGGER.warning("%s: %s; trying chunk by chunk", work.qualified, first_line(error))
+    results = kept
+    for chunk in todo:
         try:
-            return kept + _convert_chunks(df, source, work, todo, path, fmt, bool(kept))
-        except RowsOutsidePlan as error:
-            # The plan does not fit the data: no chunk may pass for the whole table.
-            return kept + [ChunkResult(c.name, FAILED, error=str(error)) for c in todo]
+            only = df.where(F.col(CHUNK) == chunk.name)
+            results += _convert_chunks(only, source, work, [chunk], path, fmt)
         except (*SPARK_ERRORS, ValueError) as error:
-            LOGGER.warning("%s: %s; trying chunk by chunk", work.qualified, first_line(error))
-        results = list(kept)
-        for chunk in todo:
-            try:
-                only = df.where(F.col(CHUNK) == chunk.name)
-                results += _convert_chunks(only, source, work, [chunk], path, fmt, True)
-            except (*SPARK_ERRORS, ValueError) as error:
-                results.append(ChunkResult(chunk.name, FAILED, error=first_line(error)))
-        return results
+            results.append(ChunkResult(chunk.name, FAILED, error=first_line(error)))
+    return results
 
 
 def _convert_chunks(
@@ -282,7 +303,6 @@ def _convert_chunks(
     chunks: Sequence[Chunk],
     path: str,
     fmt: str,
-    keep_others: bool,
 ) -> list[ChunkResult]:
     spark = df.sparkSession
     names = [c.name for c in chunks]
@@ -301,8 +321,7 @@ def _convert_chunks(
         exported = project_columns(df, source.columns, [CHUNK])
         if len(filled) > 1 and not source.clustered:
             exported = by_chunk(exported)
-        replace = "chunks" if keep_others else "all"
-        write_output(exported, fmt, path, chunked=True, chunk_names=filled, replace=replace)
+        write_output(exported, fmt, path, chunked=True, chunk_names=filled, replace="chunks")
         for name, rows in (observed.get if lossy else {}).items():
             if rows:
                 LOGGER.warning(
@@ -348,9 +367,8 @@ def _work_list(plan_df: DataFrame, ledger: ChunkLedger | None, output: str) -> l
     for r in rows:
         key = (r["schema"], r["table"])
         work = works.setdefault(key, TableWork(*key, r["strategy"]))
-        if r["redo"]:
-            work.pending.append(Chunk(r["chunk"], r["partition_name"], r["subpartition_name"]))
-        else:
+        work.chunks.append(Chunk(r["chunk"], r["partition_name"], r["subpartition_name"]))
+        if not r["redo"]:
             target = f"{table_path(output, *key)}/{partition_directory(CHUNK, r['chunk'])}"
             work.done.append(
                 ChunkResult(r["chunk"], COMPLETED, r["imported_rows"], r["output_rows"], target)
@@ -397,7 +415,7 @@ def convert_plan(
             ledger.append_rows(running)
     rows: list[tuple] = []
     failures: list[str] = []
-    with exact_names(spark), ThreadPoolExecutor(max_workers=parallel_tables) as pool:
+    with strict_session(spark), ThreadPoolExecutor(max_workers=parallel_tables) as pool:
         jobs = {
             pool.submit(convert_table, sources[(w.schema, w.table)], w, output, fmt, metrics): w
             for w in works

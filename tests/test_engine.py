@@ -37,7 +37,7 @@ def test_golden_counts(spark, converted):
         if table in SKIPPED:
             assert not Path(path).exists()
         else:
-            with engine.exact_names(spark):
+            with engine.strict_session(spark):
                 assert count_output(spark, "parquet", path) == n, table
 
 
@@ -84,7 +84,7 @@ def test_types_and_exact_values(spark, converted):
     ]
     assert [int(r["UNBOUNDED"]) for r in edge.orderBy("ROW_ID").collect()] == [1, 2, 3]
     assert "INTERNAL_NOTE" not in read("FINANCE", "ACCOUNTS").columns
-    with engine.exact_names(spark):
+    with engine.strict_session(spark):
         mixed = read("HRDATA", "MixedCase_Table")
     assert read("HRDATA", "JOBS").schema["JOB_ID"].metadata["oracle_comment"] == "the key"
     assert mixed.columns[:3] == ["CamelCase_Col", "SELECT", "camelcase_col"]
@@ -182,6 +182,45 @@ def test_changed_chunk_set_leaves_no_stale_rows(spark, tmp_path, fmt):
     assert count_output(spark, fmt, f"{out}/S/T") == 25
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "avro"])
+def test_stale_chunks_go_even_if_a_chunk_fails(spark, tmp_path, fmt):
+    out = str(tmp_path / "o")
+    whole = plan_of(spark, "whole", strategy="whole_table")
+    engine.convert_plan(spark, whole, {("S", "T"): source(spark)}, out, fmt)
+    results = engine.convert_plan(
+        spark, plan_of(spark, *CHUNKS), {("S", "T"): source(spark, bad=15)}, out, fmt,
+        raise_failures=False)
+    assert {r["chunk"]: r["status"] for r in results.collect()} == dict(
+        zip(CHUNKS, ("completed", "failed", "completed"), strict=True))
+    assert count_output(spark, fmt, f"{out}/S/T") == 30
+
+
+def test_overflow_fails_even_in_a_lenient_session(spark, tmp_path):
+    df = spark.sql("SELECT '123456789' AS v, 'x' AS t")
+    columns = (ColumnSpec("v", "NUMBER", 20, 14), ColumnSpec("t", "VARCHAR2(9)"))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        results = engine.convert_plan(
+            spark, plan_of(spark, "whole", strategy="whole_table"),
+            {("S", "T"): engine.SourceTable(df, columns)}, str(tmp_path), raise_failures=False)
+        assert spark.conf.get("spark.sql.ansi.enabled") == "false"
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    (row,) = results.collect()
+    assert (row["status"], "NUMERIC_VALUE_OUT_OF_RANGE" in row["error"]) == ("failed", True)
+
+
+def test_a_table_that_cannot_be_read_does_not_stop_the_others(spark, tmp_path):
+    plan = spark.createDataFrame(
+        [("S", t, "whole_table", None, "whole", None, None) for t in ("T", "NOCOL")],
+        plan_of(spark, "x").schema)
+    sources = {("S", "T"): source(spark),
+               ("S", "NOCOL"): engine.SourceTable(spark.range(3), COLUMNS)}
+    results = engine.convert_plan(spark, plan, sources, str(tmp_path), raise_failures=False)
+    assert {r["table"]: r["status"] for r in results.collect()} == {
+        "T": "completed", "NOCOL": "failed"}
+
+
 def test_chunk_that_becomes_empty_loses_its_rows(spark, tmp_path):
     out = str(tmp_path / "o")
     for n in (40, 15):
@@ -217,10 +256,14 @@ def test_partition_columns_of_the_source(spark, tmp_path):
          ("S", "T", "partition", None, "partition-00002-B", "B", None)],
         plan_of(spark, "x").schema,
     )
-    results = engine.convert_plan(spark, plan, {("S", "T"): engine.SourceTable(df, COLUMNS)},
-                                  str(tmp_path / "o"))
-    assert {r["chunk"]: r["output_rows"] for r in results.collect()} == {
-        "partition-00001-A": 7, "partition-00002-B": 33}
+    ledger = led.ChunkLedger(spark, str(tmp_path / "l"))
+    sources = {("S", "T"): engine.SourceTable(df, COLUMNS, clustered=True)}
+    for _ in range(2):
+        results = engine.convert_plan(spark, plan, sources, str(tmp_path / "o"), ledger=ledger)
+        assert {r["chunk"]: r["output_rows"] for r in results.collect()} == {
+            "partition-00001-A": 7, "partition-00002-B": 33}
+        ledger.append_rows([("S.T", "partition-00002-B", led.RUNNING, None, None, None)])
+    assert count_output(spark, "parquet", f"{tmp_path}/o/S/T") == 40
 
 
 def test_one_chunk_with_a_third_of_all_rows(spark, tmp_path):
