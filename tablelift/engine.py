@@ -318,9 +318,11 @@ def _convert_chunks(
         if lossy:
             damaged = [F.count_if(has_bad_utf8(F.col(quoted(n)))).alias(n) for n in lossy]
             df = df.observe(observed, *damaged)
-        exported = project_columns(df, source.columns, [CHUNK])
+        # Shuffled before the conversion: source values are narrower than their text forms,
+        # and the conversion then runs in as many tasks as the write.
         if len(filled) > 1 and not source.clustered:
-            exported = by_chunk(exported)
+            df = by_chunk(df)
+        exported = project_columns(df, source.columns, [CHUNK])
         write_output(exported, fmt, path, chunked=True, chunk_names=filled, replace="chunks")
         for name, rows in (observed.get if lossy else {}).items():
             if rows:

@@ -278,6 +278,23 @@ def test_one_chunk_with_a_third_of_all_rows(spark, tmp_path):
     assert sum(r["output_rows"] for r in results.collect()) == 6000
 
 
+def test_hot_chunk_is_split_over_tasks(spark, tmp_path):
+    df = spark.range(0, 60000, 1, 4).select(
+        F.col("id").alias("v"), F.md5(F.col("id").cast("string")).alias("t"), F.lit("x").alias("u"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 8).alias("g"))
+    method = RangePartitions("g", [("HOT", 1), ("M", MAXVALUE)])
+    names = ("partition-00001-HOT", "partition-00002-M")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "65536")
+    try:
+        engine.convert_plan(spark, plan_of(spark, *names),
+                            {("S", "T"): engine.SourceTable(df, COLUMNS, method)}, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    hot = Path(tmp_path, "S", "T", "chunk=partition-00001-HOT")
+    assert len(list(hot.glob("*.parquet"))) > 1
+    assert count_output(spark, "parquet", f"{tmp_path}/S/T") == 60000
+
+
 def test_fingerprint_of_inputs_changes_the_ledger(spark):
     plan, sources = plan_of(spark, *CHUNKS), {("S", "T"): source(spark)}
     same = engine.input_fingerprint(plan, sources)
