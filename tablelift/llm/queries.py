@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tablelift.llm import exact_dedup
+from tablelift.llm.exact_dedup import op8_exact_dedup
 from tablelift.llm.packing import op3_packing
 from tablelift.llm.token_counts import op2_token_counts
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_packing)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_packing, op8_exact_dedup)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_exact_dedup": exact_dedup.SQL}
