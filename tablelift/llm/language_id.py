@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelift.llm import common
 
@@ -95,7 +96,7 @@ def identify(docs: DataFrame, languages: Languages, text: str = "text") -> DataF
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "lang_pred", "score", "accepted"])
 
     plain = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = plain.schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
+    schema = T.StructType([*plain.schema.fields]).add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
     return plain.mapInArrow(run, schema)
 
 
