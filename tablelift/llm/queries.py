@@ -5,9 +5,10 @@ from __future__ import annotations
 from tablelift.llm import exact_dedup
 from tablelift.llm.exact_dedup import op8_exact_dedup
 from tablelift.llm.language_id import op5_language_id
+from tablelift.llm.mixing import op6_source_mixing
 from tablelift.llm.packing import op3_packing
 from tablelift.llm.token_counts import op2_token_counts
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_packing, op5_language_id, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_packing, op5_language_id, op6_source_mixing, op8_exact_dedup)}
 
 ORACLES: dict[str, str] = {"op8_exact_dedup": exact_dedup.SQL}
