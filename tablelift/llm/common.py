@@ -133,5 +133,6 @@ def components(edges: DataFrame) -> DataFrame:
         stars = written(small.distinct(), "small")
         state = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
-            return stars.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
+            ends = stars.unionByName(stars.select(F.col("v").alias("u"), "v"))
+            return ends.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
         seen = state
