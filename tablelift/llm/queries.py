@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tablelift.llm import exact_dedup
+from tablelift.llm.embedding_dedup import op9_embedding_near_dedup
 from tablelift.llm.exact_dedup import op8_exact_dedup
 from tablelift.llm.language_id import op5_language_id
 from tablelift.llm.mixing import op6_source_mixing
@@ -10,6 +11,6 @@ from tablelift.llm.near_dedup import op7_minhash_near_dedup
 from tablelift.llm.packing import op3_packing
 from tablelift.llm.token_counts import op2_token_counts
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_packing, op5_language_id, op6_source_mixing, op7_minhash_near_dedup, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_token_counts, op3_packing, op5_language_id, op6_source_mixing, op7_minhash_near_dedup, op8_exact_dedup, op9_embedding_near_dedup)}
 
 ORACLES: dict[str, str] = {"op8_exact_dedup": exact_dedup.SQL}
