@@ -64,6 +64,18 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def parts(texts: list[bytes], limit: int = 4_000_000):
+    """Bounds of runs of texts of about ``limit`` bytes."""
+    lo = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= limit:
+            yield lo, i + 1
+            lo, size = i + 1, 0
+    if lo < len(texts):
+        yield lo, len(texts)
+
+
 class Forest:
     """Disjoint sets over 0..n-1."""
 

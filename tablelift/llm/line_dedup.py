@@ -6,16 +6,15 @@ two lines as similar as asked share one of them.
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.llm import common
-from tablelift.llm.near_dedup import _runs, _words, by_key
+from tablelift.llm.common import mix64, parts
+from tablelift.llm.near_dedup import _words, by_key
 
 
 @dataclass(frozen=True)
@@ -29,22 +28,57 @@ class Lines:
         """Least number of common words of lines with n and m words: the smallest o with 100 * o >= percent * (n + m - o)."""
         return -(-self.percent * (n + m) // (100 + self.percent))
 
-    def prefix(self, n: int) -> int:
+    def prefix(self, n):
         """Words under which a line of n words is listed."""
         return n - -(-self.percent * n // 100) + 1
 
 
-def words_of(line: bytes) -> np.ndarray:
-    """Sorted distinct word hashes of a line."""
-    return np.unique(np.array([_words[w] for w in line.lower().split()], np.uint64))
-
-
-def line_class(words: np.ndarray) -> int:
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(words.tobytes()))))
+class Sets:
+    """The word sets of all lines of some texts, as flat arrays: ``words`` holds the distinct words of line after line, by hash."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        counts, flat = [], []
+        self.lines = np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            parts = text.lower().split(b"\n")
+            self.lines[i] = len(parts)
+            for line in parts:
+                words = line.split()
+                counts.append(len(words))
+                flat += words
+        h = np.fromiter(map(_words.__getitem__, flat), np.uint64, len(flat))
+        of = np.repeat(np.arange(len(counts)), counts)
+        order = np.lexsort((h, of))
+        h, of = h[order], of[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+        self.words, self.of = h[new], of[new]
+        self.size = np.bincount(self.of, minlength=len(counts))
+        self.start = np.cumsum(self.size) - self.size
+        self.doc = np.repeat(np.arange(len(texts)), self.lines)
+        self.number = np.arange(len(counts)) - np.repeat(np.cumsum(self.lines) - self.lines, self.lines)
+        self.full = np.flatnonzero(self.size)  # lines with words
+
+    def reduce(self, how: np.ufunc, values: np.ndarray) -> np.ndarray:
+        """``values`` of the words combined per line with words."""
+        return how.reduceat(values, self.start[self.full]) if len(self.full) else values[:0]
+
+    def classes(self) -> np.ndarray:
+        """A 64-bit name of the word set of every line with words."""
+        total = self.reduce(np.add, mix64(self.words))
+        return mix64(total + self.size[self.full].astype(np.uint64)).view(np.int64)
+
+
+def _sets(batch, column: int):
+    """(rows of the batch, their Sets), a few megabytes of text at a time."""
+    texts = batch.column(column).to_pylist()
+    for lo, hi in parts(texts):
+        yield range(lo, hi), Sets(texts[lo:hi])
 
 
 def _texts(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_bytes(text).alias("text"))
+    """Ids and texts; rows without id or text have no lines."""
+    return docs.filter(F.col("doc_id").isNotNull() & F.col(text).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
 
 
 def _by_class(batches):
@@ -52,71 +86,78 @@ def _by_class(batches):
     import pyarrow as pa
 
     for batch in batches:
-        rows = []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for i, line in enumerate(text.split(b"\n")):
-                w = words_of(line)
-                if len(w):
-                    rows.append((line_class(w), doc, i, len(w)))
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["class", "doc_id", "line", "size"])
+        ids = batch.column(0).to_numpy()
+        for rows, sets in _sets(batch, 1):
+            columns = (sets.classes(), ids[rows.start + sets.doc[sets.full]], sets.number[sets.full], sets.size[sets.full])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["class", "doc_id", "line", "size"])
 
 
 def _counted(batches):
-    """(word, lines that hold it) of every task."""
+    """(word, lines that hold it), summed up for some millions of words at a time."""
     import pyarrow as pa
 
-    seen: Counter[int] = Counter()
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def merged():
+        words, at = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+        return words, np.bincount(at, np.concatenate([c for _, c in held])).astype(np.int64)
 
     def out():
-        keys = np.fromiter(seen.keys(), np.uint64, len(seen)).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.fromiter(seen.values(), np.int64, len(seen)))], names=["word", "lines"])
+        words, count = merged()
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(count)], names=["word", "lines"])
 
     for batch in batches:
-        for text in batch.column(1).to_pylist():
-            for line in text.lower().split(b"\n"):
-                seen.update({_words[w] for w in line.split()})
-            if len(seen) > 1_000_000:
-                yield out()
-                seen.clear()
-    yield out()
-
-
-def bitmap(words: np.ndarray) -> np.ndarray:
-    """128 bits, each the parity of the words that fall on it."""
-    odd = np.bincount((words & np.uint64(127)).astype(np.int64), minlength=128) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+        for _, sets in _sets(batch, 1):
+            held.append(np.unique(sets.words, return_counts=True))
+            if sum(len(w) for w, _ in held) > 4_000_000:
+                held[:] = [merged()]
+                if len(held[0][0]) > 2_000_000:
+                    yield out()
+    if held:
+        yield out()
 
 
 def _listed(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, how: Lines, text: str) -> DataFrame:
-    """A row per listed word of every distinct line of a task: word, class, size, place of the word, first position, bitmap."""
+    """A row per listed word of every distinct line of a task: word, class, size, place of the word, first position, and a bitmap of 128
+    bits, each the parity of the words that fall on it."""
     import pyarrow as pa
 
+    names = ["word", "class", "size", "place", "doc_id", "line", "low", "high"]
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+
     def run(batches):
         done: set[int] = set()
         for batch in batches:
-            rows, maps = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if doc is None:
-                    continue
-                for i, line in enumerate(text.split(b"\n")):
-                    w = words_of(line)
-                    if not len(w) or (name := line_class(w)) in done:
-                        continue
-                    if len(done) > 500_000:
-                        done.clear()
-                    done.add(name)
-                    place = np.searchsorted(frequent, w)
-                    place[place == len(frequent)] = 0
-                    order = np.lexsort((w, np.where(frequent[place] == w, rank[place], 0) if len(frequent) else np.zeros(len(w))))
-                    bits = bitmap(w)
-                    for k, word in enumerate(w[order[: how.prefix(len(w))]].view(np.int64).tolist()):
-                        rows.append((word, name, len(w), k, doc, i))
-                        maps.append(bits)
-            bits = np.array(maps, np.uint64).reshape(-1, 2).view(np.int64)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(bits[:, 0]), pa.array(bits[:, 1])], names=["word", "class", "size", "place", "doc_id", "line", "low", "high"])
+            ids = batch.column(0).to_numpy()
+            for rows, sets in _sets(batch, 1):
+                name = sets.classes()
+                fresh = np.zeros(len(name), bool)
+                for i, x in enumerate(name.tolist()):
+                    if x not in done:
+                        done.add(x)
+                        fresh[i] = True
+                if len(done) > 500_000:
+                    done.clear()
+                bit = np.uint64(1) << (sets.words & np.uint64(63))
+                upper = (sets.words & np.uint64(64)) > 0
+                low = sets.reduce(np.bitwise_xor, np.where(upper, np.uint64(0), bit))
+                high = sets.reduce(np.bitwise_xor, np.where(upper, bit, np.uint64(0)))
+                order = np.zeros(len(sets.words), np.int64)
+                if len(frequent):
+                    place = np.minimum(np.searchsorted(frequent, sets.words), len(frequent) - 1)
+                    order = np.where(frequent[place] == sets.words, rank[place], 0)
+                by = np.lexsort((sets.words, order, sets.of))
+                place = np.arange(len(by)) - sets.start[sets.of]
+                line = np.zeros(len(sets.size), np.int64)
+                line[sets.full] = np.arange(len(sets.full))
+                line = line[sets.of]
+                at = np.flatnonzero((place < how.prefix(sets.size[sets.of])) & fresh[line])
+                line = line[at]
+                own = sets.full[line]
+                columns = (sets.words[by[at]].view(np.int64), name[line], sets.size[own], place[at], ids[rows.start + sets.doc[own]], sets.number[own], low.view(np.int64)[line], high.view(np.int64)[line])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return _texts(docs, text).mapInArrow(run, "word long, class long, size int, place int, doc_id long, line int, low long, high long")
 
@@ -141,39 +182,59 @@ def candidates(listed: DataFrame, how: Lines, only: DataFrame | None) -> DataFra
     def run(batches):
         for table in by_key(batches, "key"):
             c = {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names}
-            later, earlier, more = [], [], []
-            for a, b in _runs(c["key"]):
-                if b - a > 1:
-                    _group({n: x[a:b] for n, x in c.items()}, how, limit, later, earlier, more)
+            later, earlier, more = _table({n: x.view(np.uint64) if n in ("low", "high") else x for n, x in c.items()}, how, limit)
             yield pa.RecordBatch.from_pydict({"later": pa.array(later, pa.int64()), "earlier": pa.array(earlier, pa.int64()), "more": pa.array(more, pa.bool_())})
 
     return spread.repartition("key").sortWithinPartitions("key").mapInArrow(run, "later long, earlier long, more boolean")
 
 
-def _group(c: dict[str, np.ndarray], how: Lines, limit: int | None, later: list, earlier: list, more: list) -> None:
-    """The candidates under one word."""
-    order = np.lexsort((c["class"], c["line"], c["doc_id"]))
-    names, first = np.unique(c["class"][order], return_index=True)  # each class at its first position
-    if len(names) < 2:
-        return
-    order = order[np.sort(first)]
-    name, size, place, low, high, asked = (c[n][order] for n in ("class", "size", "place", "low", "high", "asked"))
-    low, high = low.view(np.uint64), high.view(np.uint64)
-    n, p = size.astype(np.int64), place.astype(np.int64)
-    for j in np.flatnonzero(asked[1:]) + 1:
-        i = slice(0, j)
-        need = how.overlap(n[i], n[j])
-        fit = (100 * n[i] >= how.percent * n[j]) & (100 * n[j] >= how.percent * n[i])
-        fit &= np.minimum(n[i] - p[i], n[j] - p[j]) + np.minimum(p[i], p[j]) >= need
-        apart = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
-        fit &= (n[i] + n[j] - apart) // 2 >= need
-        found = np.flatnonzero(fit)
-        rest = limit is not None and len(found) > limit
-        if rest:
-            found = found[np.argsort(apart[found], kind="stable")[:limit]]
-        later += [int(name[j])] * len(found)
-        earlier += name[found].tolist()
-        more += [rest] * len(found)
+SMALL = 48
+
+
+def _fits(c: dict[str, np.ndarray], i, j, how: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """Whether lines i and j may be as similar as asked, i before j and j asked for; and how far apart their bitmaps are."""
+    n, m, p, q = c["size"][i], c["size"][j], c["place"][i], c["place"][j]
+    need = how.overlap(n, m)
+    fit = (100 * n >= how.percent * m) & (100 * m >= how.percent * n) & (np.minimum(n - p, m - q) + np.minimum(p, q) >= need)
+    apart = np.bitwise_count(c["low"][i] ^ c["low"][j]).astype(np.int64) + np.bitwise_count(c["high"][i] ^ c["high"][j])
+    fit &= ((n + m - apart) // 2 >= need) & c["asked"][j]
+    return fit & ((c["doc_id"][i] != c["doc_id"][j]) | (c["line"][i] != c["line"][j])), apart
+
+
+def _table(c: dict[str, np.ndarray], how: Lines, limit: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The candidates under all words of a table: later and earlier classes, and whether the later one has others under the word."""
+    order = np.lexsort((c["line"], c["doc_id"], c["class"], c["key"]))
+    key, name = c["key"][order], c["class"][order]
+    first = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
+    order = order[first]  # each class at its first position
+    order = order[np.lexsort((c["class"][order], c["line"][order], c["doc_id"][order], c["key"][order]))]
+    c = {n: x[order].astype(np.int64) if n in ("size", "place") else x[order] for n, x in c.items()}
+    key, found = c["key"], []
+    cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+    sizes = np.repeat(np.diff(cuts), np.diff(cuts))
+    small = sizes <= SMALL
+    for d in range(1, min(SMALL, len(key))):  # words with few lines: all of the table at once, at one distance after the other
+        i = np.flatnonzero((key[d:] == key[:-d]) & small[d:])
+        if not len(i):
+            break
+        fit, apart = _fits(c, i, i + d, how)
+        found.append((i[fit] + d, i[fit], apart[fit]))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if b - a > SMALL:
+            for j in (np.flatnonzero(c["asked"][a + 1 : b]) + a + 1).tolist():
+                fit, apart = _fits(c, slice(a, j), slice(j, j + 1), how)
+                i = np.flatnonzero(fit)
+                found.append((np.full(len(i), j), i + a, apart[i]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    j, i, apart = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((i, apart, j))
+    j, i = j[order], i[order]
+    starts = np.flatnonzero(np.concatenate([[True], j[1:] != j[:-1]])) if len(j) else np.empty(0, np.int64)
+    turn = np.arange(len(j)) - np.repeat(starts, np.diff(np.append(starts, len(j))))
+    count = np.repeat(np.diff(np.append(starts, len(j))), np.diff(np.append(starts, len(j))))
+    keep = turn < (limit or len(j) + 1)
+    return c["class"][j[keep]], c["class"][i[keep]], (count > (limit or len(j) + 1))[keep]
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Lines, text: str) -> DataFrame:
@@ -185,15 +246,18 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Lines,
 
     def lines(batches):
         for batch in batches:
-            names, sets = [], []
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts = text.split(b"\n")
-                for w in wanted:
-                    # an id that occurs twice has two texts; only the line meant has this class
-                    if w["line"] < len(parts) and line_class(own := words_of(parts[w["line"]])) == w["class"]:
-                        names.append(w["class"])
-                        sets.append(own.tobytes())
-            yield pa.RecordBatch.from_pydict({"class": pa.array(names, pa.int64()), "words": pa.array(sets, pa.binary())})
+            wanted, names, found = batch.column(1).to_pylist(), [], []
+            for rows, sets in _sets(batch, 0):
+                name = dict(zip(sets.full.tolist(), sets.classes().tolist(), strict=True))
+                first = np.cumsum(sets.lines) - sets.lines
+                for i, row in enumerate(rows):
+                    for w in wanted[row]:
+                        at = int(first[i]) + w["line"]
+                        # an id that occurs twice has two texts; only the line meant has this class
+                        if w["line"] < sets.lines[i] and name.get(at) == w["class"]:
+                            names.append(w["class"])
+                            found.append(sets.words[sets.start[at] : sets.start[at] + sets.size[at]].tobytes())
+            yield pa.RecordBatch.from_pydict({"class": pa.array(names, pa.int64()), "words": pa.array(found, pa.binary())})
 
     sets = _texts(docs, text).join(wanted, "doc_id").select("text", "wanted").mapInArrow(lines, "class long, words binary")
     sets = common.written(sets.dropDuplicates(["class"]), "sets")
@@ -221,7 +285,7 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
     Rows that repeat an id hold lines at the same positions, which are not before each other; their removed lines are one list. Null ids
     take no part. Lines with equal word sets are told by 64-bit hashes, as are words. An empty table gives no row.
     """
-    lines = common.written(_texts(docs, text).filter("doc_id is not null").mapInArrow(_by_class, "class long, doc_id long, line int, size int"), "lines")
+    lines = common.written(_texts(docs, text).mapInArrow(_by_class, "class long, doc_id long, line int, size int"), "lines")
     classes = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first")).select("class", "first.doc_id", "first.line")
     classes = common.written(classes, "classes")
     counts = _texts(docs, text).mapInArrow(_counted, "word long, lines long").groupBy("word").agg(F.sum("lines").alias("lines"))
@@ -250,10 +314,10 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
 
 def cleaned(docs: DataFrame, removed: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without the removed lines; columns as they are."""
-    parts = F.filter(F.split(F.col(text), "\n", -1), lambda line, i: ~F.coalesce(F.array_contains("removed", i), F.lit(False)))
+    left = F.filter(F.split(F.col(text), "\n", -1), lambda line, i: ~F.coalesce(F.array_contains("removed", i), F.lit(False)))
     marks = removed.filter("n_removed > 0").select(F.col("doc_id").alias("_own"), "removed").dropDuplicates(["_own"])
     out = docs.join(marks, F.col("doc_id") == F.col("_own"), "left")
-    shorter = F.when(F.col("removed").isNotNull(), F.array_join(parts, "\n")).otherwise(F.col(text)).alias(text)
+    shorter = F.when(F.col("removed").isNotNull(), F.array_join(left, "\n")).otherwise(F.col(text)).alias(text)
     return out.select(*[shorter if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -278,7 +278,7 @@ def tag(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = [(t or "").encode("utf-8", "replace") for t in batch.column(at).to_pylist()]
             scores, spans, offending = [], [], []
-            for lo, hi in _parts(texts):
+            for lo, hi in common.parts(texts):
                 words = [t.split() for t in texts[lo:hi]]
                 lengths = np.array([len(w) for w in words])
                 u = np.array([emit[w] for doc in words for w in doc], np.float64)
@@ -298,18 +298,6 @@ def tag(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
     return plain.mapInArrow(run, T.StructType([*plain.schema.fields, *added.fields]))
 
 
-def _parts(texts: list[bytes], limit: int = 4_000_000):
-    """Bounds of runs of texts of about ``limit`` bytes."""
-    lo = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= limit:
-            yield lo, i + 1
-            lo, size = i + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
-
-
 def _spans(text: bytes, tokens: list[int]) -> list[dict[str, int]]:
     """Character offsets of the given tokens, neighbours joined."""
     wanted, found = set(tokens), []
