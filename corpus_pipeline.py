@@ -5,8 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablelift.llm import common, packing
+from tablelift.llm import common, exact_dedup, language_id, mixing, near_dedup, packing
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told by a clear margin; dictionaries come from the documents that name their language."""
+    found = language_id.identify(docs, language_id.learn(docs))
+    return found.filter("accepted").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts; of rows that repeat its id and text, one."""
+    found = exact_dedup.groups(docs, F.pmod(F.xxhash64("doc_id"), F.lit(3)), 3)
+    stay = found.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    plain = F.translate(F.coalesce("text", F.lit("")), exact_dedup.SPACE.decode(), "")
+    named = docs.withColumn("_own", F.sha2(plain.cast("binary"), 256))
+    kept = named.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")))
+    return kept.dropDuplicates(["_id", "_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links by four fifths of its five-word shingles."""
+    stay = near_dedup.near_groups(docs, near_dedup.Join(width=5)).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    mixed = mixing.mix(docs).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,6 +44,10 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language", identify_language),
+    ("exact copies", drop_copies),
+    ("near copies", drop_near_copies),
+    ("mixture", mix_sources),
     ("packing", pack_sequences),
 ]
 
@@ -26,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each returns is written and reread before the next."""
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = common.written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = common.written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)
