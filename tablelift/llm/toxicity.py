@@ -23,9 +23,9 @@ EDGES = b".,;:!?\"'()[]{}<>|*-_#/\\"
 
 
 def features(word: bytes) -> tuple[bytes, ...]:
-    """The word without signs around it, lower case, and its beginnings of three to six bytes."""
+    """The word without signs around it, lower case, and its beginnings of three to eight bytes."""
     plain = word.strip(EDGES).decode("utf-8", "replace").lower().encode()
-    return (b"=" + plain, *(plain[:k] for k in (3, 4, 5, 6) if len(plain) > k))
+    return (b"=" + plain, *(plain[:k] for k in (3, 4, 5, 6, 7, 8) if len(plain) > k))
 
 
 class Blocks:
@@ -181,7 +181,7 @@ def fit(texts: list[bytes], labels: list[int], rounds: int = 40, odds: float = 3
     number = {f: i + 1 for i, f in enumerate(dict.fromkeys([*sorted(toxic), *common_ones]))}
     lengths = np.array([len(d) for d in words])
     blocks = Blocks(lengths)
-    width = 5
+    width = 7
     # words with the same known features are one kind
     kinds: dict[tuple[int, ...], int] = {}
     of_word = {w: kinds.setdefault(tuple(number[f] for f in fs if f in number), len(kinds)) for w, fs in known.items()}
