@@ -22,8 +22,8 @@ from driver_queries import QUERIES  # noqa: E402
 HEADLINE = (
     "scan_table", "project_columns", "cast_decimal", "cast_wide_decimal", "utf8_lossy",
     "part_range", "part_composite", "join_reference_partition", "count_rows",
-    "convert_lineitem", "convert_table", "convert_plan", "sink_parquet", "sink_csv", "sink_avro",
-    "count_output_parquet", "count_output_csv", "count_output_avro", "inspect_catalog",
+    "convert_lineitem", "convert_table", "convert_plan", "sink_parquet", "sink_csv",
+    "count_output_parquet", "count_output_csv", "inspect_catalog",
     "plan_chunks", "ledger_latest", "filter_pending_chunks", "join_plan_results",
     "log_missing_tablespaces", "log_show_tables", "scan_ddl_tables", "materialize_view",
 )
@@ -39,7 +39,6 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.maxConcurrentOutputFileWriters", "32")
         .getOrCreate()
     )
 

@@ -192,7 +192,8 @@ def override_lookup(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "cast_string",
     """SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS VARCHAR) AS number_text,
-      CAST(l_quantity AS VARCHAR) AS double_text, md5(l_returnflag || l_linestatus) AS bytes_md5
+      CAST(l_quantity AS VARCHAR) AS double_text, CAST(l_quantity * 1e7 AS VARCHAR) AS large_text,
+      CAST(l_quantity / 131072 AS VARCHAR) AS small_text, md5(l_returnflag || l_linestatus) AS bytes_md5
     FROM lineitem""",
 )
 def cast_string(spark: SparkSession, sf: str) -> DataFrame:
@@ -202,6 +203,8 @@ def cast_string(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey",
         casts.convert(F.col("l_linenumber"), T.IntegerType(), "string").alias("number_text"),
         casts.convert(F.col("l_quantity"), T.DoubleType(), "string").alias("double_text"),
+        casts.convert(F.col("l_quantity") * 1e7, T.DoubleType(), "string").alias("large_text"),
+        casts.convert(F.col("l_quantity") / 131072, T.DoubleType(), "string").alias("small_text"),
         F.md5(casts.convert(both, T.BinaryType(), "string")).alias("bytes_md5"),
     )
 
@@ -403,12 +406,22 @@ def fmt_interval_ym(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "json_serialize",
     """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
-      '{{"k":' || json_extract_string(props, '$.k') || '}}' AS text FROM events""",
+      '{{"k":' || json_extract_string(props, '$.k') || '}}' AS text,
+      '{{"n": 1234567890123456789012345678901234567890.50, "n": 1.10, "in": [' || props || ']}}' AS passed
+    FROM events""",
 )
 def json_serialize(spark: SparkSession, sf: str) -> DataFrame:
-    text = text_forms.json_text(F.col("props"))
+    text = text_forms.json_text(F.col("props"), canonical=True)
+    long = F.concat(
+        F.lit('{"n": 1234567890123456789012345678901234567890.50, "n": 1.10, "in": ['),
+        "props",
+        F.lit("]}"),
+    )
     return table(spark, sf, "events").select(
-        "event_id", F.get_json_object(text, "$.k").cast("bigint").alias("k"), text.alias("text")
+        "event_id",
+        F.get_json_object(text, "$.k").cast("bigint").alias("k"),
+        text.alias("text"),
+        text_forms.json_text(long).alias("passed"),
     )
 
 

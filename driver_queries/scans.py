@@ -146,14 +146,6 @@ def sink_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return shown(read_output(spark, "parquet", path))
 
 
-@query("sink_avro", f"SELECT {LINE_SQL}, {year_chunk_sql('l_shipdate')} AS chunk FROM lineitem")
-def sink_avro(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch(spark, sf, "sink_avro")
-    df = lines_by_year(spark, sf)
-    write_output(by_chunk(df), "avro", path, chunked=True, chunk_names=year_chunks())
-    return shown(read_output(spark, "avro", path))
-
-
 @query("sink_csv", "SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5 FROM documents")
 def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts with line breaks and quotes survive the round trip."""
@@ -278,11 +270,6 @@ def count_output_parquet(spark: SparkSession, sf: str) -> DataFrame:
     return _count_written(spark, sf, "parquet")
 
 
-@query("count_output_avro", _WRITTEN_SQL)
-def count_output_avro(spark: SparkSession, sf: str) -> DataFrame:
-    return _count_written(spark, sf, "avro")
-
-
 @query("count_output_csv", _WRITTEN_SQL)
 def count_output_csv(spark: SparkSession, sf: str) -> DataFrame:
     return _count_written(spark, sf, "csv")

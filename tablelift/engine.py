@@ -8,18 +8,21 @@ what can be read back.
 from __future__ import annotations
 
 import logging
+import threading
 import time
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from dataclasses import replace as dataclass_replace
 from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.errors import SPARK_ERRORS, first_line
+from tablelift.errors import SPARK_ERRORS, first_line, message
 from tablelift.functions.naming import partition_directory, table_path
 from tablelift.functions.text_forms import has_bad_utf8
 from tablelift.functions.types import ColumnSpec, is_known_target, is_known_type
@@ -42,7 +45,6 @@ from tablelift.operators.report import report_entries, write_report
 from tablelift.operators.validate import (
     CountMismatch,
     count_output_chunks,
-    count_rows,
 )
 from tablelift.plans.chunks import (
     BY_PARTITION,
@@ -54,7 +56,7 @@ from tablelift.plans.chunks import (
 )
 from tablelift.sinks.files import CHUNK, by_chunk, check_format, write_empty_chunk, write_output
 from tablelift.sinks.metrics import RunMetrics
-from tablelift.sources.tables import list_files
+from tablelift.sources.tables import file_states, list_files
 
 LOGGER = logging.getLogger(__name__)
 
@@ -76,13 +78,16 @@ class SourceTable:
     Without ``method`` a partitioned table must bring a ``chunk`` column, or
     ``partition_name`` (and ``subpartition_name``) columns of its own. ``clustered``
     says that rows of a chunk lie together (files per partition, rows in order of
-    the partition key): then the write needs no shuffle.
+    the partition key): then the write needs no shuffle. ``version`` names the state of a
+    source without files, such as a database: a resumed run redoes such a table unless the
+    version is given and the same.
     """
 
     df: DataFrame
     columns: Sequence[ColumnSpec]
     method: Partitions | CompositePartitions | None = None
     clustered: bool = False
+    version: str | None = None
 
 
 @dataclass(frozen=True)
@@ -122,18 +127,33 @@ class TableWork:
         return [c for c in self.chunks if c.name not in completed]
 
 
+_STRICT = {"spark.sql.caseSensitive": "true", "spark.sql.ansi.enabled": "true"}
+_strict_lock = threading.Lock()
+_strict_users = 0
+_strict_before: dict[str, str] = {}
+
+
 @contextmanager
 def strict_session(spark: SparkSession) -> Iterator[None]:
-    """While this lasts, overflow fails and names that differ only in case are different."""
-    wanted = {"spark.sql.caseSensitive": "true", "spark.sql.ansi.enabled": "true"}
-    before = {key: spark.conf.get(key) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
+    """While this lasts, overflow fails and names that differ only in case are different.
+
+    Runs that overlap in time share the settings: the first one makes them, the last one restores what was before.
+    """
+    global _strict_users
+    with _strict_lock:
+        if not _strict_users:
+            _strict_before.update({key: spark.conf.get(key) for key in _STRICT})
+            for key, value in _STRICT.items():
+                spark.conf.set(key, value)
+        _strict_users += 1
     try:
         yield
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        with _strict_lock:
+            _strict_users -= 1
+            if not _strict_users:
+                for key, value in _strict_before.items():
+                    spark.conf.set(key, value)
 
 
 class RowsOutsidePlan(ValueError):
@@ -144,7 +164,9 @@ class ConversionFailed(RuntimeError):
     """Raised at the end of a run in which chunks failed; the others are written."""
 
     def __init__(self, failures: list[str], results: DataFrame) -> None:
-        super().__init__(f"{len(failures)} chunk(s) failed: " + "; ".join(failures[:20]))
+        shown = failures[:20]
+        more = "" if len(shown) == len(failures) else f" (the first {len(shown)} of {len(failures)}; all are in .results)"
+        super().__init__(f"{len(failures)} chunk(s) failed{more}: " + "; ".join(shown))
         self.results = results
 
 
@@ -245,11 +267,14 @@ def convert_table(
     output: str,
     fmt: str,
     metrics: RunMetrics | None = None,
+    replace: bool = False,
 ) -> list[ChunkResult]:
     """Write the pending chunks of one table and check them; failures are results, not errors.
 
     All chunks go in one job. If that job fails, every chunk is tried by itself,
-    so that one bad chunk does not take the others with it.
+    so that one bad chunk does not take the others with it. Chunks of other plans in the same
+    output stay, unless ``replace`` asks for their removal; they go only after the chunks of this
+    plan have been written and checked.
     """
     if not work.pending:
         return list(work.done)
@@ -258,24 +283,39 @@ def convert_table(
         "convert_table", table=work.qualified, chunks=len(work.pending), format=fmt
     ):
         try:
-            return _convert_pending(source, work, output, fmt)
+            with strict_session(source.df.sparkSession):
+                return _convert_pending(source, work, output, fmt, replace)
         except Exception as error:  # noqa: BLE001 - other tables must go on, whatever this was
             LOGGER.warning("%s failed: %s", work.qualified, first_line(error))
-            failed = [ChunkResult(c.name, FAILED, error=first_line(error)) for c in work.pending]
+            failed = [ChunkResult(c.name, FAILED, error=message(error)) for c in work.pending]
             return [*work.done, *failed]
 
 
 def _convert_pending(
-    source: SourceTable, work: TableWork, output: str, fmt: str
+    source: SourceTable, work: TableWork, output: str, fmt: str, replace: bool
 ) -> list[ChunkResult]:
     path = table_path(output, work.schema, work.table)
     df = with_chunks(source, work.strategy, work.chunks)
     planned = {partition_directory(CHUNK, c.name) for c in work.chunks}
-    if _present_chunks(df.sparkSession, path) - planned:
-        # Chunks of another plan would double the rows: the whole table is redone.
-        work.done.clear()
-        nothing = project_columns(df, source.columns, [CHUNK]).limit(0)
-        write_output(nothing, fmt, path, chunked=True)
+    others = _present_chunks(df.sparkSession, path) - planned
+    if others and not replace:
+        LOGGER.warning("%s: the output keeps %d chunk(s) of other plans", work.qualified, len(others))
+    results = _convert_todo(df, source, work, path, fmt)
+    if replace and any(r.status == COMPLETED for r in results):
+        for name in others:
+            _remove(df.sparkSession, f"{path}/{name}")
+    return results
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete one directory, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _convert_todo(
+    df: DataFrame, source: SourceTable, work: TableWork, path: str, fmt: str
+) -> list[ChunkResult]:
     todo, kept = work.pending, list(work.done)
     if kept:
         df = df.where(F.col(CHUNK).isNull() | ~F.col(CHUNK).isin([r.chunk for r in kept]))
@@ -292,7 +332,7 @@ def _convert_pending(
             only = df.where(F.col(CHUNK) == chunk.name)
             results += _convert_chunks(only, source, work, [chunk], path, fmt)
         except (*SPARK_ERRORS, ValueError) as error:
-            results.append(ChunkResult(chunk.name, FAILED, error=first_line(error)))
+            results.append(ChunkResult(chunk.name, FAILED, error=message(error)))
     return results
 
 
@@ -306,11 +346,21 @@ def _convert_chunks(
 ) -> list[ChunkResult]:
     spark = df.sparkSession
     names = [c.name for c in chunks]
-    counted = count_rows(df, [CHUNK], "input_rows").collect()
-    found = {r[CHUNK]: r["input_rows"] for r in counted}
-    strays = {k: n for k, n in found.items() if k not in set(names)}
-    if strays:
-        raise RowsOutsidePlan(f"{work.qualified}: rows outside the planned chunks: {strays}")
+    # One row per planned chunk and one for all others together, whatever the source holds.
+    planned = F.when(F.col(CHUNK).isin(names), F.col(CHUNK))
+    chunk = F.col(CHUNK).cast("string")
+    counted = (
+        df.groupBy(planned.alias("planned"))
+        .agg(F.count(F.lit(1)).alias("input_rows"), F.min(chunk).alias("low"), F.max(chunk).alias("high"))
+        .collect()
+    )
+    for r in counted:
+        if r["planned"] is None:
+            span = r["low"] if r["low"] == r["high"] else f"{r['low']} to {r['high']}"
+            raise RowsOutsidePlan(
+                f"{work.qualified}: rows outside the planned chunks: {{{span}: {r['input_rows']}}}"
+            )
+    found = {r["planned"]: r["input_rows"] for r in counted}
     filled = [n for n in names if found.get(n)]
     if filled:
         lossy = lossy_text_columns(df, source.columns)
@@ -323,7 +373,7 @@ def _convert_chunks(
         if len(filled) > 1 and not source.clustered:
             df = by_chunk(df)
         exported = project_columns(df, source.columns, [CHUNK])
-        write_output(exported, fmt, path, chunked=True, chunk_names=filled, replace="chunks")
+        write_output(exported, fmt, path, chunked=True, replace="chunks")
         for name, rows in (observed.get if lossy else {}).items():
             if rows:
                 LOGGER.warning(
@@ -389,11 +439,14 @@ def convert_plan(
     metrics: RunMetrics | None = None,
     parallel_tables: int = 4,
     raise_failures: bool = True,
+    replace: bool = False,
 ) -> DataFrame:
     """Convert every supported table of the plan; returns one row per chunk tried.
 
     Tables the plan names but ``sources`` lacks are left out with a warning. A
-    failed chunk is recorded and the rest goes on; ``raise_failures`` raises at the end.
+    failed chunk is recorded and the rest goes on; ``raise_failures`` raises at the end. States
+    that the ledger has lost are first restored from its rowcount records. ``replace`` removes
+    chunks of other plans from tables that are converted whole.
     """
     check_format(fmt)
     catalog = spark.createDataFrame(list(sources), "schema string, table string")
@@ -408,6 +461,8 @@ def convert_plan(
         )
     for r in missing.collect():
         LOGGER.warning("skipping %s.%s: not in the source", r["schema"], r["table"])
+    if ledger is not None:
+        ledger.reconcile()
     works = _work_list(present, ledger, output)
     if ledger is not None:
         running = [
@@ -419,7 +474,7 @@ def convert_plan(
     failures: list[str] = []
     with strict_session(spark), ThreadPoolExecutor(max_workers=parallel_tables) as pool:
         jobs = {
-            pool.submit(convert_table, sources[(w.schema, w.table)], w, output, fmt, metrics): w
+            pool.submit(convert_table, sources[(w.schema, w.table)], w, output, fmt, metrics, replace): w
             for w in works
         }
         with _LedgerBatches(ledger) as finished:
@@ -467,7 +522,7 @@ class _LedgerBatches:
 
     def _flush(self) -> None:
         if self._ledger is not None and self._rows:
-            self._ledger.append_rows(self._rows)
+            self._ledger.append_rows(self._rows, record=True)
         self._rows, self._tables, self._since = [], 0, time.monotonic()
 
 
@@ -475,25 +530,42 @@ def _as_tuple(r: ChunkResult) -> tuple:
     return r.chunk, r.status, r.input_rows, r.output_rows, r.output_path, r.error
 
 
-def input_fingerprint(plan_df: DataFrame, sources: Mapping[tuple[str, str], SourceTable]) -> str:
-    """SHA-256 over plan and source schemas: another input never meets an old ledger."""
+def _digest(df: DataFrame) -> str:
+    """SHA-256 over all rows of ``df``, in whatever order: rows are hashed, gathered by the first digits of their hash, and the
+    hashes of those groups are hashed again."""
+    row = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    groups = df.select(row.alias("h")).groupBy(F.substring("h", 1, 2).alias("g"))
+    parts = groups.agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("h"))
+    return parts.agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256)).first()[0]
+
+
+def input_fingerprint(
+    plan_df: DataFrame, sources: Mapping[tuple[str, str], SourceTable], fmt: str = "parquet"
+) -> str:
+    """SHA-256 over all that decides the output: plan, format, every field of the columns, partition methods with their bounds,
+    and the data, by path, size and time of each file. A source without files counts by its ``version``, and without one it is
+    never the same twice."""
     from hashlib import sha256
 
-    lines = [
-        chr(31).join(str(v) for v in row)
-        for row in plan_df.select("schema", "table", "strategy", "chunk").toLocalIterator()
-    ]
-    for key, source in sources.items():
-        columns = [f"{c.name} {c.data_type} {c.precision} {c.scale}" for c in source.columns]
-        lines.append(chr(31).join([*key, source.df.schema.simpleString(), *columns]))
-        lines.append(chr(31).join([*key, *sorted(source.df.inputFiles())]))
-    return sha256("\n".join(sorted(lines)).encode()).hexdigest()
+    lines = [fmt, _digest(plan_df.select("schema", "table", "strategy", "chunk"))]
+    for key, source in sorted(sources.items()):
+        files = sorted(source.df.inputFiles())
+        state = source.version
+        if state is None:
+            spark = source.df.sparkSession
+            state = _digest(file_states(spark, files)) if files else uuid.uuid4().hex
+        columns = [repr(c) for c in source.columns]
+        lines.append(chr(31).join([*key, source.df.schema.json(), *columns, repr(source.method), state]))
+    return sha256("\n".join(lines).encode()).hexdigest()
 
 
 def run(
     spark: SparkSession,
     catalog: Mapping[str, DataFrame],
-    frames: Mapping[tuple[str, str], tuple[DataFrame, Partitions | CompositePartitions | None]],
+    frames: Mapping[
+        tuple[str, str],
+        SourceTable | tuple[DataFrame, Partitions | CompositePartitions | None],
+    ],
     work_dir: str,
     fmt: str = "parquet",
     *,
@@ -502,20 +574,21 @@ def run(
 ) -> dict:
     """Inspect, plan, convert and report in one go; a second call resumes the first.
 
-    ``frames``: the readable rows of each table and their partition method. Returns
-    the report summary; manifest, plan, data, ledger, metrics and report lie in
+    ``frames``: the readable rows of each table and their partition method, or a ``SourceTable``
+    (whose columns, if empty, come from the catalog). A run with another format, plan, override,
+    bound or data redoes the work and removes what the former one left. Returns the report summary; manifest, plan, data, ledger, metrics and report lie in
     ``work_dir``.
     """
     started = datetime.now(UTC)
     manifest = inspect(catalog, f"{work_dir}/manifest")
     plan_df = plan(manifest, table_overrides, f"{work_dir}/plan")
     columns = table_columns(manifest, column_overrides)
-    sources = {
-        key: SourceTable(df, columns[key], method)
-        for key, (df, method) in frames.items()
-        if key in columns
-    }
-    ledger = ChunkLedger(spark, f"{work_dir}/ledger/{input_fingerprint(plan_df, sources)[:16]}")
+    sources = {}
+    for key, given in frames.items():
+        if key in columns:
+            table = given if isinstance(given, SourceTable) else SourceTable(given[0], (), given[1])
+            sources[key] = table if table.columns else dataclass_replace(table, columns=columns[key])
+    ledger = ChunkLedger(spark, f"{work_dir}/ledger/{input_fingerprint(plan_df, sources, fmt)}")
     metrics = RunMetrics(spark, f"{work_dir}/metrics")
     results = convert_plan(
         spark,
@@ -526,6 +599,7 @@ def run(
         ledger=ledger,
         metrics=metrics,
         raise_failures=False,
+        replace=True,
     )
     return write_report(
         report_entries(plan_df, results),

@@ -8,11 +8,16 @@ from pyspark.errors import PySparkException
 SPARK_ERRORS = (PySparkException, Py4JJavaError)
 
 
-def first_line(error: Exception) -> str:
-    """The telling line of an error, without the Java stack."""
+def message(error: Exception) -> str:
+    """The whole message of an error, without the Java stack: what is stored."""
     if isinstance(error, Py4JJavaError):
         cause = error.java_exception
         while cause.getCause() is not None:
             cause = cause.getCause()
-        return str(cause.toString()).strip().split("\n", 1)[0]
-    return str(error).strip().split("\n", 1)[0]
+        return str(cause.toString()).strip()
+    return str(error).strip()
+
+
+def first_line(error: Exception) -> str:
+    """The first line of an error, for the log."""
+    return message(error).split("\n", 1)[0]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelift.functions import text_forms
-from tablelift.functions.types import DECIMAL_DIGITS, decimal_shape, spark_type
+from tablelift.functions.types import DECIMAL_DIGITS, decimal_shape, normalize_type, spark_type
 
 
 def to_text(value: Column, source: T.DataType) -> Column:
@@ -17,6 +18,8 @@ def to_text(value: Column, source: T.DataType) -> Column:
         return text_forms.utf8_lossy(value)
     if isinstance(source, (T.StructType, T.ArrayType, T.MapType)):
         return text_forms.nested_json(value, source)
+    if isinstance(source, (T.DoubleType, T.FloatType)):
+        return text_forms.plain_number(value)
     return value.cast("string")
 
 
@@ -125,11 +128,17 @@ def convert(value: Column, source: T.DataType, token: str) -> Column:
 
 
 def convert_declared(value: Column, source: T.DataType, declared: str, token: str) -> Column:
-    """``convert`` after the declared type's own text form, where it has one."""
+    """``convert`` after the declared type's own text form, where it has one.
+
+    ``declared`` is the type as written, with its digits; intervals are shown with as many.
+    """
+    parts = {name: int(n) for name, n in re.findall(r"(DAY|YEAR|SECOND) ?\((\d+)\)", declared.upper())}
+    declared = normalize_type(declared)
     if isinstance(source, T.DayTimeIntervalType):
-        value, source = text_forms.day_second_text(value), T.StringType()
+        value = text_forms.day_second_text(value, parts.get("DAY", 2), parts.get("SECOND", 6))
+        source = T.StringType()
     elif isinstance(source, T.YearMonthIntervalType):
-        value, source = text_forms.year_month_text(value), T.StringType()
+        value, source = text_forms.year_month_text(value, parts.get("YEAR", 2)), T.StringType()
     elif declared == "TIMESTAMP WITH TIME ZONE" and isinstance(source, T.TimestampType):
         value, source = text_forms.iso_instant(value), T.StringType()
     elif declared in ("TIMESTAMP WITH TIME ZONE", "TIMESTAMP WITH LOCAL TIME ZONE") and isinstance(

@@ -16,6 +16,35 @@ def has_bad_utf8(value: Column) -> Column:
     return ~F.is_valid_utf8(value.cast("string"))
 
 
+def plain_number(value: Column) -> Column:
+    """Text of a floating number: plain digits from 1e-4 up to below 1e16, an exponent of two digits beyond, ``nan`` and ``inf``."""
+    text = value.cast("string")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    bare = F.ltrim(text, F.lit("-"))
+    mantissa = F.substring_index(bare, "E", 1)
+    exponent = F.substring_index(bare, "E", -1).try_cast("int")
+    digits = F.regexp_replace(F.replace(mantissa, F.lit(".")), "(?<=.)0$", "")
+    zeros = F.repeat(F.lit("0"), F.greatest(exponent + 1 - F.length(digits), F.lit(0)))
+    whole = F.concat(F.substr(digits, F.lit(1), exponent + 1), zeros)
+    fraction = F.substr(digits, exponent + 2)
+    large = F.concat(whole, F.lit("."), F.when(fraction == "", "0").otherwise(fraction))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    power = F.concat(
+        F.regexp_replace(mantissa, r"\.0$", ""),
+        F.lit("e"),
+        F.when(exponent < 0, "-").otherwise("+"),
+        F.lpad(F.abs(exponent).cast("string"), F.greatest(F.length(F.abs(exponent).cast("string")), F.lit(2)), F.lit("0")),
+    )
+    finite = (
+        F.when(~bare.contains("E"), bare)
+        .when((exponent >= 0) & (exponent < 16), large)
+        .when((exponent < 0) & (exponent >= -4), small)
+        .otherwise(power)
+    )
+    special = F.when(bare == "NaN", "nan").when(bare == "Infinity", "inf")
+    return F.when(value.isNotNull(), F.concat(sign, F.coalesce(special, finite)))
+
+
 def iso_local(ts: Column) -> Column:
     """``YYYY-MM-DDTHH:MI:SS.fffffffff`` of a zone-less timestamp.
 
@@ -77,9 +106,16 @@ def year_month_text(interval: Column, year_digits: int = 2) -> Column:
     )
 
 
-def json_text(value: Column) -> Column:
-    """JSON document text in canonical form (compact, keys sorted)."""
-    return F.to_json(F.parse_json(value))
+def json_text(value: Column, canonical: bool = False) -> Column:
+    """JSON document text as it is, whatever its numbers and repeated keys; text that is no JSON fails the job.
+
+    ``canonical`` gives the compact form with sorted keys instead, for documents whose numbers Spark can hold.
+    """
+    if canonical:
+        return F.to_json(F.parse_json(value))
+    valid = F.get_json_object(value, "$").isNotNull() | (F.trim(value) == "null")
+    refused = F.raise_error(F.concat(F.lit("not JSON: "), value)).cast("string")
+    return F.when(value.isNull() | valid, value).otherwise(refused)
 
 
 def xml_text(value: Column, data_type: T.DataType, row_tag: str = "ROW") -> Column:
@@ -92,41 +128,54 @@ def xml_text(value: Column, data_type: T.DataType, row_tag: str = "ROW") -> Colu
 def geometry_wkt(geometry: Column) -> Column:
     """Well-Known Text of a spatial struct ``(gtype, elem_info, ordinates)``.
 
-    ``gtype`` is ``d00t``: ``d`` ordinates per point, ``t`` 1 point, 2 line,
-    3 polygon. ``elem_info`` holds triplets whose first entry is the 1-based
-    start of each ring. Other shapes fail the chunk rather than lose data.
+    ``gtype`` is ``d00t``: ``d`` ordinates per point, ``t`` 1 point, 2 line, 3 polygon. ``elem_info`` holds triplets: the 1-based
+    start of each element, its type, whose last digit is that of the shape, and its interpretation: 1 for straight lines, 3 for a
+    rectangle given by two corners, which is written out. Circles, arcs and other shapes fail the job rather than lose data.
     """
     dims = F.floor(geometry.gtype / 1000).cast("int")
     ordinates = geometry.ordinates
+    kind = geometry.gtype % 1000
+
+    def joined(values: Column) -> Column:
+        return F.array_join(F.transform(values, lambda v: plain_number(v.cast("double"))), " ")
 
     def points(start: Column, stop: Column) -> Column:
         starts = F.sequence(start, stop - dims, dims)
-        return F.array_join(
-            F.transform(
-                starts,
-                lambda i: F.array_join(F.slice(ordinates, i, dims).cast("array<string>"), " "),
-            ),
-            ", ",
-        )
+        return F.array_join(F.transform(starts, lambda i: joined(F.slice(ordinates, i, dims))), ", ")
+
+    def rectangle(start: Column) -> Column:
+        x, y, right, top = (F.get(ordinates, start - 1 + i) for i in range(4))
+        corners = [(x, y), (right, y), (right, top), (x, top), (x, y)]
+        return F.concat_ws(", ", *[joined(F.array(a, b)) for a, b in corners])
 
     end = F.size(ordinates) + 1
-    rings = F.filter(geometry.elem_info, lambda _, i: i % 3 == 0)
-    ring_text = F.transform(
-        rings,
-        lambda start, i: F.concat(
-            F.lit("("), points(start, F.coalesce(F.get(rings, i + 1), end)), F.lit(")")
+    info = geometry.elem_info
+    elements = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.floor(F.size(info) / 3).cast("int") - 1, F.lit(0))),
+        lambda i: F.struct(
+            F.get(info, 3 * i).alias("start"),
+            F.get(info, 3 * i + 1).alias("type"),
+            F.get(info, 3 * i + 2).alias("way"),
+            F.coalesce(F.get(info, 3 * i + 3), end).alias("stop"),
         ),
     )
-    kind = geometry.gtype % 1000
+
+    def ring(e: Column) -> Column:
+        text = F.when(e["way"] == 3, rectangle(e["start"])).otherwise(points(e["start"], e["stop"]))
+        return F.concat(F.lit("("), text, F.lit(")"))
+
+    box = (kind == 3) & (dims == 2)
+    known = F.forall(elements, lambda e: (e["type"] % 1000 == kind) & ((e["way"] == 1) | (box & (e["way"] == 3))))
+    single = F.size(info) == 3
     first = F.lit(1)
     return (
         F.when(geometry.isNull(), F.lit(None).cast("string"))
-        .when(kind == 1, F.concat(F.lit("POINT ("), points(first, end), F.lit(")")))
-        .when(kind == 2, F.concat(F.lit("LINESTRING ("), points(first, end), F.lit(")")))
-        .when(kind == 3, F.concat(F.lit("POLYGON ("), F.array_join(ring_text, ", "), F.lit(")")))
+        .when(known & single & (kind == 1), F.concat(F.lit("POINT ("), points(first, end), F.lit(")")))
+        .when(known & single & (kind == 2), F.concat(F.lit("LINESTRING ("), points(first, end), F.lit(")")))
+        .when(known & (kind == 3), F.concat(F.lit("POLYGON ("), F.array_join(F.transform(elements, ring), ", "), F.lit(")")))
         .otherwise(
             F.raise_error(
-                F.concat(F.lit("unsupported geometry type "), geometry.gtype.cast("string"))
+                F.concat(F.lit("unsupported geometry: type "), geometry.gtype.cast("string"), F.lit(", elements "), F.array_join(info.cast("array<string>"), ","))
             )
         )
     )
@@ -154,7 +203,8 @@ def _json_ready(value: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.DecimalType):
         return value.cast("string")
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.regexp_replace(value.cast("string"), " ", "T")
+        text = F.regexp_replace(value.cast("string"), " ", "T")
+        return F.when(text.contains("."), F.rpad(text, 26, "0")).otherwise(text)
     if isinstance(data_type, T.DateType):
         return value.cast("string")
     return value

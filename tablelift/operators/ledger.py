@@ -127,9 +127,12 @@ class ChunkLedger:
         mark = self._spark.range(batch, batch + 1, 1, 1).select(F.col("id").alias("batch"))
         mark.write.mode("append").parquet(f"{self.path}/commits")
 
-    def append_rows(self, rows: Iterable[tuple]) -> None:
-        states = self._spark.createDataFrame(list(rows), STATE_SCHEMA)
-        self.append(states.coalesce(1))
+    def append_rows(self, rows: Iterable[tuple], record: bool = False) -> None:
+        """Insert states; with ``record`` those of completed chunks are also kept as rowcount records."""
+        states = self._spark.createDataFrame(list(rows), STATE_SCHEMA).coalesce(1)
+        self.append(states)
+        if record:
+            self.write_records(states.where(F.col("status") == COMPLETED))
 
     def latest(self) -> DataFrame:
         states = self._read("states", f"{STATE_SCHEMA}, batch bigint, seq bigint")

@@ -42,18 +42,6 @@ def _halving(value: Column, bounds: Sequence[Any], choices: Sequence[Any], low:
     ).otherwise(_halving(value, bounds[middle + 1 :], choices, low + middle + 1))
 
 
-def _two_steps(value: Column, bounds: Sequence[Any]) -> Column:
-    """How many sorted bounds are at or below the value: every k-th first, then k of them."""
-    step = max(2, int(len(bounds) ** 0.5))
-    listed = F.array(*[literal(b) for b in bounds])
-    coarse = F.array(*[literal(b) for b in bounds[step - 1 :: step]])
-    skipped = F.size(F.filter(coarse, lambda b: b <= value)) * step
-    block = F.slice(listed, skipped + 1, F.lit(step))
-    return F.when(value.isNull(), F.lit(len(bounds))).otherwise(
-        skipped + F.size(F.filter(block, lambda b: b <= value))
-    )
-
-
 def _nth(choices: Sequence[Any], index: Column) -> Column:
     return F.get(F.array(*[F.lit(c) for c in choices]), index)
 
@@ -97,10 +85,7 @@ class RangePartitions(_Listed):
 
     def pick(self, choices: Sequence[Any]) -> Column:
         bounds = [bound for _, bound in self.parts if bound is not MAXVALUE]
-        value = F.col(self.column)
-        if len(bounds) <= 64:
-            return _halving(value, bounds, choices, 0)
-        return _nth(choices, _two_steps(value, bounds))
+        return _halving(F.col(self.column), bounds, choices, 0)
 
 
 @dataclass(frozen=True)
@@ -114,18 +99,19 @@ class ListPartitions(_Listed):
         return [name for name, _ in self.parts]
 
     def pick(self, choices: Sequence[Any]) -> Column:
+        # One flat case expression, so that no number of partitions nests; of a value named twice the last counts.
         value = F.col(self.column)
         rest = [c for c, (_, values) in zip(choices, self.parts, strict=True) if values is DEFAULT]
-        chosen = F.lit(rest[0]) if rest else F.lit(None)
-        for choice, (_, values) in zip(choices, self.parts, strict=True):
-            if values is DEFAULT:
-                continue
+        listed = [(c, v) for c, (_, v) in zip(choices, self.parts, strict=True) if v is not DEFAULT]
+        chosen = None
+        for choice, values in reversed(listed):
             known = [literal(v) for v in values if v is not None]
             match = F.coalesce(value.isin(*known), F.lit(False)) if known else F.lit(False)
             if None in values:
                 match = match | value.isNull()
-            chosen = F.when(match, F.lit(choice)).otherwise(chosen)
-        return chosen
+            chosen = F.when(match, F.lit(choice)) if chosen is None else chosen.when(match, F.lit(choice))
+        last = F.lit(rest[0]) if rest else F.lit(None)
+        return last if chosen is None else chosen.otherwise(last)
 
 
 @dataclass(frozen=True)
@@ -158,6 +144,12 @@ class IntervalPartitions:
     initial_name: str
     initial_bound: datetime.date
 
+    def __post_init__(self) -> None:
+        if self.initial_bound.day != 1:
+            raise ValueError(
+                f"monthly intervals start on the first of a month, not on {self.initial_bound}"
+            )
+
     def position(self) -> Column:
         value = F.col(self.column)
         first = self.initial_bound.year * 12 + self.initial_bound.month

@@ -24,8 +24,7 @@ def export_column(df: DataFrame, column: ColumnSpec) -> Column:
         exported = convert(value, df.select(value).schema[0].dataType, token)
     else:
         value = F.col(quoted(column.name))
-        declared = normalize_type(column.data_type)
-        exported = convert_declared(value, df.schema[column.name].dataType, declared, token)
+        exported = convert_declared(value, df.schema[column.name].dataType, column.data_type, token)
     return exported.alias(column.name, metadata=field_metadata(column, token))
 
 

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelift import avro_container
 from tablelift.functions.naming import partition_directory
-from tablelift.sources.avro import has_avro_module, read_avro, with_utc_instants
+from tablelift.sources.avro import need_avro_module, read_avro, with_utc_instants
 
 # Fixed value: the output formats.
 FORMATS = ("parquet", "avro", "csv")
@@ -45,7 +43,7 @@ def csv_ready(df: DataFrame) -> DataFrame:
     """Binary columns as base64 text, said so in the field metadata.
 
     The writer drops a line that would be empty, so the NULLs of a one-column table
-    are written as empty strings.
+    are written as empty strings, which the field metadata says too.
     """
     columns = []
     only = len(df.columns) == 1
@@ -54,7 +52,8 @@ def csv_ready(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.BinaryType):
             value = F.base64(value).alias(f.name, metadata={**f.metadata, "encoding": "base64"})
         if only:
-            value = F.coalesce(value.cast("string"), F.lit("")).alias(f.name, metadata=f.metadata)
+            how = {**f.metadata, "encoding": "base64"} if isinstance(f.dataType, T.BinaryType) else f.metadata
+            value = F.coalesce(value.cast("string"), F.lit("")).alias(f.name, metadata={**how, "null": "empty string"})
         columns.append(value)
     return df.select(*columns)
 
@@ -74,20 +73,19 @@ def write_output(
     path: str,
     *,
     chunked: bool = False,
-    chunk_names: Sequence[str] = (),
     replace: str = "all",
 ) -> None:
     """Write ``df``; a chunked one by its ``chunk`` column.
 
     ``replace``: ``all`` rewrites the whole dataset, ``chunks`` only the chunks that
-    ``df`` has rows of. ``chunk_names``: the chunks to expect, needed for Avro.
+    ``df`` has rows of.
     """
     check_format(fmt)
     if fmt == "csv":
         df = csv_ready(df)
     if fmt == "avro":
-        _write_avro(df, path, chunked, chunk_names, replace)
-        return
+        need_avro_module(df.sparkSession)
+        df = with_utc_instants(df)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.options(**_CSV_WRITE)
@@ -97,35 +95,6 @@ def write_output(
     writer.save(path)
 
 
-def _write_avro(
-    df: DataFrame, path: str, chunked: bool, chunk_names: Sequence[str], replace: str
-) -> None:
-    data = [f for f in df.schema.fields if not (chunked and f.name == CHUNK)]
-    if has_avro_module(df.sparkSession):
-        schema = json.dumps(avro_container.avro_schema(T.StructType(data), "Row"))
-        writer = with_utc_instants(df).write.mode("overwrite").format("avro").option("avroSchema", schema)
-        if chunked:
-            mode = "dynamic" if replace == "chunks" else "static"
-            writer = writer.option("partitionOverwriteMode", mode).partitionBy(CHUNK)
-        writer.save(path)
-        return
-    avro_container.register(df.sparkSession)
-    options: Mapping[str, str] = {
-        "path": path,
-        "metadata": json.dumps({f.name: f.metadata for f in data if f.metadata}),
-        "dynamic": str(replace == "chunks").lower(),
-    }
-    if chunked:
-        df = df.sortWithinPartitions(CHUNK)
-        directories = {name: partition_directory(CHUNK, name) for name in chunk_names}
-        options = {
-            **options,
-            "chunk_column": CHUNK,
-            "directories": json.dumps(directories),
-        }
-    df.write.format(avro_container.FORMAT).mode("overwrite").options(**options).save()
-
-
 def write_empty_chunk(df: DataFrame, fmt: str, table_path: str, chunk: str) -> None:
     """A readable file with the schema and no rows for a chunk that got none."""
     empty = df.drop(CHUNK).limit(0).coalesce(1)

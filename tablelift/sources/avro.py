@@ -1,8 +1,7 @@
-"""Avro reads: Spark's own module where it is deployed, else container files directly."""
+"""Avro reads with Spark's own module; where it is not deployed, a clear error."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelift import avro_container
-
 
 def has_avro_module(spark: SparkSession) -> bool:
     try:
@@ -21,14 +18,9 @@ def has_avro_module(spark: SparkSession) -> bool:
     return True
 
 
-def _containers(spark: SparkSession, path: str | Sequence[str], counts: bool) -> DataFrame:
-    avro_container.register(spark)
-    paths = [path] if isinstance(path, str) else list(path)
-    return (
-        spark.read.format(avro_container.FORMAT)
-        .options(paths=json.dumps(paths), counts=str(counts).lower())
-        .load()
-    )
+def need_avro_module(spark: SparkSession) -> None:
+    if not has_avro_module(spark):
+        raise ValueError("the format avro needs Spark's Avro module (spark-avro) on the class path of driver and executors")
 
 
 def with_utc_instants(df: DataFrame) -> DataFrame:
@@ -51,17 +43,6 @@ def without_zone(df: DataFrame) -> DataFrame:
 
 
 def read_avro(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    if has_avro_module(spark):
-        paths = path if isinstance(path, str) else list(path)
-        return without_zone(spark.read.format("avro").load(paths))
-    return _containers(spark, path, counts=False)
-
-
-def count_avro_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``(path, n_rows)`` per file, from block headers alone."""
-    return _containers(spark, path, counts=True)
-
-
-def count_avro(spark: SparkSession, path: str | Sequence[str]) -> int:
-    total = count_avro_files(spark, path).agg(F.sum("n_rows")).first()[0]
-    return total or 0
+    need_avro_module(spark)
+    paths = path if isinstance(path, str) else list(path)
+    return without_zone(spark.read.format("avro").load(paths))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from posixpath import dirname
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,3 +103,9 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
         .select("path", "length")
     )
+
+
+def file_states(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """``path``, ``length`` and ``modificationTime`` of the files a frame reads; contents are not read."""
+    listing = spark.read.format("binaryFile").load([unquote(f) for f in files])
+    return listing.select("path", "length", "modificationTime")

@@ -200,3 +200,49 @@ def test_partition_directory_is_what_spark_writes(spark, tmp_path):
     df.write.partitionBy("chunk").parquet(str(tmp_path / "t"))
     found = {p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("chunk=")}
     assert found == {naming.partition_directory("chunk", n) for n in names}
+
+
+@pytest.mark.parametrize(
+    "value", [1e7, 123456789.5, 0.0005, 0.0001, 1e-5, 1.5e-7, 1e15, 1e16, 1.25e17, -1e7, -0.00012, 0.0, -0.0, 100.5, float("nan"), float("-inf"), 1e100]
+)
+def test_floating_numbers_as_text(one, value):
+    assert one(casts.to_text(F.lit(value).cast("double"), T.DoubleType())) == str(value)
+
+
+def test_json_passes_unchanged(one):
+    for text in ('{"b": 12345678901234567890123456789012345678901234567890, "a": 1.10}', '{"a":1,"a":2}', "null", "[1, 2]"):
+        assert one(text_forms.json_text(F.lit(text))) == text
+    with pytest.raises(Exception, match="not JSON"):
+        one(text_forms.json_text(F.lit("{broken")))
+
+
+def test_intervals_show_their_declared_digits(spark):
+    df = spark.sql("select interval '5 04:03:02.25' day to second as d, interval '7-2' year to month as y")
+
+    def text(column, declared):
+        value = casts.convert_declared(F.col(column), df.schema[column].dataType, declared, "string")
+        return df.select(value).first()[0]
+
+    assert text("d", "INTERVAL DAY(9) TO SECOND(0)") == "+000000005 04:03:02"
+    assert text("d", "INTERVAL DAY(2) TO SECOND(3)") == "+05 04:03:02.250"
+    assert text("y", "INTERVAL YEAR(4) TO MONTH") == "+0007-02"
+
+
+def test_geometry_shapes(spark):
+    def wkt(gtype, info, ordinates):
+        shape = F.struct(F.lit(gtype).alias("gtype"), F.array(*map(F.lit, info)).alias("elem_info"), F.array(*map(F.lit, ordinates)).alias("ordinates"))
+        return spark.range(1).select(text_forms.geometry_wkt(shape)).first()[0]
+
+    assert wkt(2003, [1, 1003, 3], [1.0, 2.0, 3.0, 1e7]) == "POLYGON ((1.0 2.0, 3.0 2.0, 3.0 10000000.0, 1.0 10000000.0, 1.0 2.0))"
+    assert wkt(2001, [1, 1, 1], [12345678.5, 0.0005]) == "POINT (12345678.5 0.0005)"
+    for info in ([1, 1003, 4], [1, 1005, 2], [1, 1003, 2]):
+        with pytest.raises(Exception, match="unsupported geometry"):
+            wkt(2003, info, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0])
+    with pytest.raises(Exception, match="unsupported geometry"):
+        wkt(2002, [1, 2, 2], [1.0, 2.0, 3.0, 4.0, 5.0, 6.0])
+
+
+def test_fractions_of_a_second_in_nested_json(spark):
+    df = spark.sql("select named_struct('t', timestamp_ntz'2024-01-02 03:04:05.5', 'u', timestamp_ntz'2024-01-02 03:04:05', 'd', date'2024-01-02', 'm', map('k', 1), 'l', array(named_struct('a', 1))) as o")
+    text = df.select(text_forms.nested_json(F.col("o"), df.schema["o"].dataType)).first()[0]
+    assert text == '{"d":"2024-01-02","l":[{"a":1}],"m":{"k":1},"t":"2024-01-02T03:04:05.500000","u":"2024-01-02T03:04:05"}'

@@ -4,9 +4,11 @@ import datetime
 import time
 from bisect import bisect_right
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablelift.operators.partitions import (
+    DEFAULT,
     MAXVALUE,
     CompositePartitions,
     HashPartitions,
@@ -126,3 +128,15 @@ def test_bounds_do_not_depend_on_the_zone_of_the_machine(spark, monkeypatch):
         monkeypatch.undo()
         time.tzset()
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_two_thousand_listed_partitions(spark):
+    method = ListPartitions("k", [(f"P{i}", [2 * i]) for i in range(2000)] + [("REST", DEFAULT)])
+    rows = spark.range(4100).select(F.col("id").alias("k")).select("k", method.name().alias("p"))
+    for r in rows.collect():
+        assert r["p"] == (f"P{r['k'] // 2}" if r["k"] % 2 == 0 and r["k"] < 4000 else "REST")
+
+
+def test_intervals_start_on_the_first_of_a_month():
+    with pytest.raises(ValueError, match="first of a month"):
+        IntervalPartitions("d", "P0", datetime.date(2024, 7, 15))
