@@ -390,12 +390,15 @@ def plan_strategy(spark: SparkSession, sf: str) -> DataFrame:
     "plan_partitions",
     """SELECT p.table_owner AS owner, p.table_name, p.partition_name,
       printf('partition-%05d-%s', partition_position, p.partition_name) AS chunk
-    FROM {tab_partitions} p""",
+    FROM {tab_partitions} p
+    WHERE NOT EXISTS (SELECT 1 FROM {tab_subpartitions} s
+      WHERE s.table_owner = p.table_owner AND s.table_name = p.table_name)""",
 )
 def plan_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """One chunk per partition, for tables of which no partition is divided again."""
-    none = subpartitions(spark, sf).limit(0)
-    df = chunks.partition_chunks(partitions(spark, sf), none)
+    divided = subpartitions(spark, sf)
+    once = partitions(spark, sf).join(divided, ["schema", "table"], "left_anti")
+    df = chunks.partition_chunks(once, divided)
     return plain(df).select("owner", "table_name", "partition_name", "chunk")
 
 

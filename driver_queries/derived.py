@@ -199,5 +199,5 @@ DERIVED: dict[str, str] = {
                o_custkey AS input_rows, o_custkey AS output_rows,
                '/out/' || owner || '/' || table_name || '/P' || k AS output_path,
                CASE WHEN o_totalprice > 400000 THEN 'overflow in ' || k END AS error
-        FROM {numbered} WHERE o_orderpriority = '1-URGENT'""",
+        FROM {numbered}""",
 }

@@ -80,6 +80,8 @@ def scratch(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder for written tables: the cluster's shared one, a local one only if none is named."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     data = sf_dir.rstrip("/").rsplit("/", 1)[-1]
     return f"{shared or _own_folder()}/tablelift/{spark.sparkContext.applicationId}/{data}/{name}"
 

@@ -55,13 +55,13 @@ def test_chunks_and_replacement(spark, tmp_path, fmt):
         F.col("id").alias("v"),
         F.get(F.array(*map(F.lit, names)), (F.col("id") % 3).cast("int")).alias("chunk"),
     )
-    write_output(by_chunk(df), fmt, path, chunked=True, chunk_names=names)
+    write_output(by_chunk(df), fmt, path, chunked=True)
     count = lambda: {r.chunk: r.output_rows for r in count_output_chunks(spark, fmt, path).collect()}
     assert count() == dict.fromkeys(names, 10)
     again = df.where(F.col("chunk") == "p/2").limit(4)
-    write_output(again, fmt, path, chunked=True, chunk_names=names, replace="chunks")
+    write_output(again, fmt, path, chunked=True, replace="chunks")
     assert count() == {"p 1": 10, "p/2": 4, "p%3": 10}
-    write_output(again, fmt, path, chunked=True, chunk_names=names)
+    write_output(again, fmt, path, chunked=True)
     assert count() == {"p/2": 4}
 
 
