@@ -7,7 +7,7 @@ lines of a file, and a block is bounded in size (see
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
@@ -173,23 +173,19 @@ def shown_tables(lines: DataFrame) -> DataFrame:
     return first_seen(found, ["file", "schema", "table"], ["block", "seq"])
 
 
-def _pairs(statements: DataFrame, pattern: str, form: int, clean: str) -> DataFrame:
-    text = F.col("statement")
+def _named(text: Column, pattern: str, form: int, clean: Callable[[Column], Column]) -> Column:
+    """Every name a pattern finds in a statement, as structs in order of mention."""
     both = F.arrays_zip(
         _all_groups(text, pattern, 1).alias("schema"), _all_groups(text, pattern, 2).alias("table")
     )
-    found = statements.select("file", "block", "seq", F.posexplode(both).alias("pos", "pair"))
-    tidy = {
-        "unescape": lambda c: F.replace(c, F.lit('""'), F.lit('"')),
-        "upper": F.upper,
-    }[clean]
-    return _user_tables(
-        found.select(
-            "file", "block", "seq", "pos",
+    return F.transform(
+        both,
+        lambda pair, pos: F.struct(
             F.lit(form).alias("form"),
-            tidy(F.col("pair.schema")).alias("schema"),
-            tidy(F.col("pair.table")).alias("table"),
-        )
+            pos.alias("pos"),
+            clean(pair["schema"]).alias("schema"),
+            clean(pair["table"]).alias("table"),
+        ),
     )
 
 
@@ -197,19 +193,25 @@ def ddl_tables(statements: DataFrame, log_lines: DataFrame | None = None) -> Dat
     """``(file, schema, table)`` created in DDL text, with the place of the first mention.
 
     Per file: quoted names if there are any of a user schema, else plain names
-    (upper-cased), else the names of an import progress log.
+    (upper-cased), else the names of an import progress log. The statements are scanned once
+    for both kinds of names.
     """
     order = ["block", "seq", "pos"]
     keys = ["file", "schema", "table"]
-    found = _pairs(statements, QUOTED_TABLE, 1, "unescape").unionByName(
-        _pairs(statements, PLAIN_TABLE, 2, "upper")
+    text = F.col("statement")
+    names = F.concat(
+        _named(text, QUOTED_TABLE, 1, lambda c: F.replace(c, F.lit('""'), F.lit('"'))),
+        _named(text, PLAIN_TABLE, 2, F.upper),
     )
+    found = statements.select("file", "block", "seq", F.explode(names).alias("name"))
+    found = _user_tables(found.select("file", "block", "seq", "name.*"))
     found = first_seen(found, [*keys, "form"], order)
     if log_lines is not None:
         shown = shown_tables(log_lines).withColumns({"form": F.lit(3), "pos": F.lit(0)})
         found = found.unionByName(shown)
-    best = found.groupBy("file").agg(F.min("form").alias("form"))
-    return found.join(best, ["file", "form"], "left_semi").select(*keys, *order)
+    # distinct tables of a file, not its statements, pass this window
+    best = F.min("form").over(Window.partitionBy("file"))
+    return found.withColumn("best", best).where("form = best").select(*keys, *order)
 
 
 def ddl_tablespaces(statements: DataFrame) -> DataFrame:

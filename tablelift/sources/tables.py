@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from posixpath import dirname
-
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession

@@ -13,6 +13,7 @@ from driver_queries.scans import BY_YEAR, LINE_COLUMNS, YEAR_CUSTOMER
 from tablelift.operators.ledger import latest_states
 from tablelift.operators.partitions import assign, assign_by_reference, with_chunk
 from tablelift.operators.project import project_columns
+from tablelift.operators import logs
 from tablelift.operators.validate import count_output_chunks, count_rows
 from tablelift.sinks.files import by_chunk, write_output
 from tablelift.sources.tables import scan_partition
@@ -124,3 +125,10 @@ def test_chunks_hold_every_row(spark):
     total = sum(r.n_rows for r in count_rows(
         with_chunk(table(spark, SF_DIR, "lineitem"), BY_YEAR), ["chunk"]).collect())
     assert total == table(spark, SF_DIR, "lineitem").agg(F.count("*")).first()[0]
+
+
+def test_ddl_statements_are_scanned_once(spark):
+    path_rows = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    statements = path_rows.select(F.col("source").alias("file"), F.col("text").alias("statement"), F.lit(0).alias("block"), F.col("doc_id").alias("seq"))
+    text = plan(logs.ddl_tables(statements))
+    assert text.count("FileScan") == text.count("Generate ") == 1
