@@ -392,12 +392,13 @@ def plan_strategy(spark: SparkSession, sf: str) -> DataFrame:
       printf('partition-%05d-%s', partition_position, p.partition_name) AS chunk
     FROM {tab_partitions} p
     WHERE NOT EXISTS (SELECT 1 FROM {tab_subpartitions} s
-      WHERE s.table_owner = p.table_owner AND s.table_name = p.table_name)""",
+      WHERE s.table_owner = p.table_owner AND s.table_name = p.table_name
+        AND s.partition_name = p.partition_name)""",
 )
 def plan_partitions(spark: SparkSession, sf: str) -> DataFrame:
-    """One chunk per partition, for tables of which no partition is divided again."""
+    """One chunk per partition, for all partitions that are not divided again."""
     divided = subpartitions(spark, sf)
-    once = partitions(spark, sf).join(divided, ["schema", "table"], "left_anti")
+    once = partitions(spark, sf).join(divided, ["schema", "table", "partition_name"], "left_anti")
     df = chunks.partition_chunks(once, divided)
     return plain(df).select("owner", "table_name", "partition_name", "chunk")
 
