@@ -289,7 +289,8 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
     classes = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first")).select("class", "first.doc_id", "first.line")
     classes = common.written(classes, "classes")
     counts = _texts(docs, text).mapInArrow(_counted, "word long, lines long").groupBy("word").agg(F.sum("lines").alias("lines"))
-    top = counts.filter("lines > 1").orderBy(F.desc("lines"), "word").limit(how.frequent).toPandas()  # bounded by the parameter
+    counts = common.written(counts.filter("lines > 1"), "words")
+    top = common.most_frequent(counts, "lines", how.frequent).toPandas().sort_values(["lines", "word"], ascending=[False, True])  # bounded
     frequent = top["word"].to_numpy(np.int64).view(np.uint64)
     by_hash = np.argsort(frequent)
     rank = np.arange(len(frequent), 0, -1)[by_hash]  # the most frequent last
