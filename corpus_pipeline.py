@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 from tablelift.llm import common, exact_dedup, language_id, mixing, near_dedup, packing
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have, whatever its case."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told by a clear margin; dictionaries come from the documents that name their language."""
     found = language_id.identify(docs, language_id.learn(docs))
@@ -19,22 +27,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts; of rows that repeat its id and text, one."""
     found = exact_dedup.groups(docs, F.pmod(F.xxhash64("doc_id"), F.lit(3)), 3)
-    stay = found.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    stay = found.filter("kept").select(F.col("doc_id").alias(free(docs, "_id")), F.col("text_sha256").alias(free(docs, "_sha"))).distinct()
     plain = F.translate(F.coalesce("text", F.lit("")), exact_dedup.SPACE.decode(), "")
-    named = docs.withColumn("_own", F.sha2(plain.cast("binary"), 256))
-    kept = named.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")))
-    return kept.dropDuplicates(["_id", "_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.withColumn(free(docs, "_own"), F.sha2(plain.cast("binary"), 256))
+    kept = named.join(stay, F.col("doc_id").eqNullSafe(F.col(free(docs, "_id"))) & (F.col(free(docs, "_own")) == F.col(free(docs, "_sha"))))
+    return kept.dropDuplicates([free(docs, "_id"), free(docs, "_sha")]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links by four fifths of its five-word shingles."""
-    stay = near_dedup.near_groups(docs, near_dedup.Join(width=5)).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    stay = near_dedup.near_groups(docs, near_dedup.Join(width=5)).filter("kept").select(F.col("doc_id").alias(free(docs, "_id"))).distinct()
+    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col(free(docs, "_id"))), "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    mixed = mixing.mix(docs).withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
+    mixed = mixing.mix(docs).withColumn(free(docs, "_copy"), F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
     return mixed.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
