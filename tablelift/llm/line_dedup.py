@@ -120,23 +120,28 @@ def _counted(batches):
 
 
 def _listed(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, how: Lines, text: str) -> DataFrame:
-    """A row per listed word of every distinct line of a task: word, class, size, place of the word, first position, and a bitmap of 128
-    bits, each the parity of the words that fall on it."""
+    """A row per listed word of every distinct line of a task: word, class, size, place of the word, position, and a bitmap of 128
+    bits, each the parity of the words that fall on it. Rows may come in any order: a line is listed again wherever it stands before
+    the position listed so far, so its least listed position is its first one in the table."""
     import pyarrow as pa
 
     names = ["word", "class", "size", "place", "doc_id", "line", "low", "high"]
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
 
     def run(batches):
-        done: set[int] = set()
+        done: dict[int, int] = {}  # class -> least position listed
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for rows, sets in _sets(batch, 1):
                 name = sets.classes()
                 fresh = np.zeros(len(name), bool)
-                for i, x in enumerate(name.tolist()):
-                    if x not in done:
-                        done.add(x)
+                doc, number = ids[rows.start + sets.doc[sets.full]], sets.number[sets.full]
+                by = np.lexsort((number, doc, name))
+                by = by[np.concatenate([[True], name[by][1:] != name[by][:-1]])] if len(by) else by  # each class at its first position here
+                for i, x, d, n in zip(by.tolist(), name[by].tolist(), doc[by].tolist(), number[by].tolist(), strict=True):
+                    position = (d << 32) + n
+                    if x not in done or position < done[x]:
+                        done[x] = position
                         fresh[i] = True
                 if len(done) > 500_000:
                     done.clear()

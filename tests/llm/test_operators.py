@@ -125,6 +125,17 @@ def test_line_dedup_equals_all_pairs(spark):
     assert all(left[i] == ("\n".join(x for k, x in enumerate(raw[i].split("\n")) if k not in gone[i]) if raw[i] is not None else None) for i in raw)
 
 
+def test_line_dedup_of_unsorted_rows(spark):
+    a, b = "one two three four five six seven eight nine ten", "one two three four five six seven eight nine eleven"
+    rows = [(100, a), (50, b), (5, a), (7, "alone here"), (60, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs).collect()} == {100: [0], 50: [0], 5: [], 7: [], 60: [0]}
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    wanted = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs.orderBy("doc_id")).collect()}
+    for order in (F.xxhash64("doc_id"), F.desc("doc_id")):
+        assert {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs.coalesce(1).sortWithinPartitions(order)).collect()} == wanted
+
+
 def test_embeddings_equal_all_pairs(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((40, 48))
