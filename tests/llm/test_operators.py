@@ -217,6 +217,16 @@ def test_lm_base_is_exact_and_the_model_beats_it(spark, texts):
     assert score > base
 
 
+def test_lm_learns_from_whole_texts_however_the_table_is_cut(spark):
+    rows = [(i, "alpha beta " * 3000 + "zebra quartz violin " * 300) for i in range(8)] + [(100, "zebra quartz violin " * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for frame in (docs.coalesce(1), docs.repartition(5)):
+        got.append({r["doc_id"]: r["score"] / r["n_tokens"] for r in lm_scoring.score(frame, F.col("doc_id") < 100, lm_scoring.Shape(steps=60)).collect()})
+    assert got[0][100] > -0.5  # its words stand after 33,000 characters only
+    assert all(math.isclose(got[0][i], got[1][i], rel_tol=1e-5) for i in got[0])
+
+
 def test_odd_rows(spark, odd):
     n = odd.count()
     assert packing.pack(odd).agg(F.sum("length")).first()[0] == token_counts.lengths(odd).agg(F.sum(F.col("n_tokens") * F.col("n_docs"))).first()[0] + n
