@@ -57,18 +57,20 @@ class Languages:
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", train: Column | None = None, dictionary_bytes: int = 262_144, excerpt: int = 240, **how) -> Languages:
     """Dictionaries from a bounded sample: per language, excerpts of ``excerpt`` characters out of documents chosen by a hash of their
-    text, up to ``dictionary_bytes``. Rows without language or text are left out; ``train`` restricts the rows further."""
+    text, up to ``dictionary_bytes``; copies of a text count once. Rows without language or text are left out; ``train`` restricts the
+    rows further."""
     rows = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0))
     rows = rows.filter(train) if train is not None else rows
     wanted = 2 * dictionary_bytes // excerpt
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # one row per language
+    texts = rows.select(F.col(lang).alias("lang"), F.xxhash64(text)).distinct()
+    counts = {r[0]: r[1] for r in texts.groupBy("lang").count().collect()}  # one row per language
     if not counts:
         return Languages({}, **how)
     limits = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 1.3 * wanted / n)))])
     order = F.pmod(F.xxhash64(text), F.lit(1 << 30))
     start = F.floor(F.length(text) / 3).cast("int") + 1
     sample = rows.select(F.col(lang).alias("lang"), order.alias("order"), F.substring(F.col(text), start, F.lit(excerpt)).alias("text"))
-    sample = sample.filter(F.col("order") < F.element_at(limits, F.col("lang")) * F.lit(1 << 30)).collect()
+    sample = sample.filter(F.col("order") < F.element_at(limits, F.col("lang")) * F.lit(1 << 30)).distinct().collect()
     parts: dict[str, dict[bytes, None]] = {}
     for r in sorted(sample, key=lambda r: (r["lang"], r["order"], r["text"])):
         if LETTER.search(r["text"]):

@@ -227,6 +227,16 @@ def test_lm_learns_from_whole_texts_however_the_table_is_cut(spark):
     assert all(math.isclose(got[0][i], got[1][i], rel_tol=1e-5) for i in got[0])
 
 
+def test_language_sample_takes_copies_once(spark, monkeypatch):
+    rows = [("one text that stands on very many rows", "en")] * 2500 + [(f"other text {i} of the language", "en") for i in range(10)]
+    docs, sizes = spark.createDataFrame(rows, "text string, lang string"), []
+    plain = type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: sizes.append(found := plain(self)) or found)
+    learned = language_id.learn(docs)
+    assert max(map(len, sizes)) == 11
+    assert learned == language_id.learn(docs.dropDuplicates())
+
+
 def test_odd_rows(spark, odd):
     n = odd.count()
     assert packing.pack(odd).agg(F.sum("length")).first()[0] == token_counts.lengths(odd).agg(F.sum(F.col("n_tokens") * F.col("n_docs"))).first()[0] + n
