@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +21,11 @@ from tablelift.llm import common
 from tablelift.llm.tokens import byte_letters
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-B_BITS = 24  # of a pair of ids in one integer
+B_BITS, PAIR_BITS = 20, 40  # of the second id, and of a pair of ids in one integer
 # Units of these signs are merged from the ranks of the vocabulary; all others go through the whole library.
-PLAIN = regex.compile(r"[\n\x20-\x7eÀ-ÖØ-öø-ÿ]{1,200}")
-CUT = regex.compile(r"(?<=[^ ])(?= \S)|(?<=\S)(?=\n\S)")
-UNEVEN = regex.compile(r"^\s|\s\s|\s$|[\x1c-\x1f\x85]")
+PLAIN = re.compile(r"[\n\x20-\x7eÀ-ÖØ-öø-ÿ]{1,200}")
+CUT = re.compile(r"(?<=[^ ])(?= \S)|(?<=\S)(?=\n\S)")
+UNEVEN = re.compile(r"\s\s")
 SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_shared")
 
 
@@ -77,7 +78,8 @@ def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> Csr:
 
 def groups_of(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """The group of every token of A and of B, and how many there are; groups end where tokens of both end."""
-    cuts = np.intersect1d(ends_a, ends_b)
+    place = np.searchsorted(ends_b, ends_a)
+    cuts = ends_a[ends_b[np.minimum(place, len(ends_b) - 1)] == ends_a] if len(ends_b) else ends_b
     return np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b), len(cuts)
 
 
@@ -127,7 +129,7 @@ class Aligner:
     def units(text: str) -> list[str]:
         """Names of the units of " " + ``text``; a name is its unit without the first space, or a whole unit that begins with
         white space."""
-        if not UNEVEN.search(text):
+        if not (UNEVEN.search(text) or text[0].isspace() or text[-1].isspace()):
             return text.replace("\n", " \n").split(" ")
         return [u if u[0] == "\n" or u[1:2].isspace() or len(u) == 1 else u[1:] for u in CUT.split(" " + text)]
 
@@ -143,14 +145,14 @@ class Aligner:
     def add(self, names: list[str]) -> None:
         """Encode and multiply units that are new, all in one pair of matrices."""
         units, a, b = self.encoded(names)
-        fits = []
-        for u, x, y in zip(units, a, b, strict=True):
+        fits = np.ones(len(units), bool)
+        for i, (u, x, y) in enumerate(zip(units, a, b, strict=True)):
             plain = u.encode()
-            fits.append(b"".join([self.a_bytes[i] for i in x]) == plain and b"".join([self.b_bytes[i] for i in y]) == plain)
-        a = [x if f else [] for x, f in zip(a, fits, strict=True)]
-        b = [x if f else [] for x, f in zip(b, fits, strict=True)]
+            if b"".join(map(self.a_bytes.__getitem__, x)) != plain or b"".join(map(self.b_bytes.__getitem__, y)) != plain:
+                fits[i] = False
+                a[i] = b[i] = []
         n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        ids_a, ids_b = (np.fromiter((i for x in y for i in x), np.int64) for y in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
         ends_a, ends_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
         linked = overlaps(ends_a, ends_b)
         of_a, of_b, groups = groups_of(ends_a, ends_b)
@@ -163,23 +165,23 @@ class Aligner:
         count = functools.partial(np.bincount, minlength=len(units))
         n_links = count(unit_a, links).astype(np.int64)
         sums = np.stack([n_a, n_b, count(unit_of_group), n_links, count(unit_of_group, per_group)], axis=1).astype(np.int64)
-        self.sums, self.ok = np.concatenate([self.sums, sums]), np.concatenate([self.ok, np.array(fits, bool)])
+        self.sums, self.ok = np.concatenate([self.sums, sums]), np.concatenate([self.ok, fits])
         self.pairs, self.at = np.concatenate([self.pairs, pairs]), np.concatenate([self.at, self.at[-1] + np.cumsum(n_links)])
         first_a, first_b = (np.concatenate([[0], np.cumsum(np.bincount(x, minlength=groups))]).tolist() for x in (of_a, of_b))
-        text_a, text_b = [self.a_text[i] for i in ids_a.tolist()], [self.b_text[i] for i in ids_b.tolist()]
+        text_a, text_b = list(map(self.a_text.__getitem__, ids_a.tolist())), list(map(self.b_text.__getitem__, ids_b.tolist()))
         of_unit = np.concatenate([[0], np.cumsum(count(unit_of_group))]).tolist()
-        parts = [",".join(text_a[first_a[g] : first_a[g + 1]]) + "|" + ",".join(text_b[first_b[g] : first_b[g + 1]]) for g in range(groups)]
-        for i, name in enumerate(names):
-            self.index[name] = len(self.texts)
-            self.texts.append(";".join(parts[of_unit[i] : of_unit[i + 1]]))
+        join = ",".join
+        parts = [join(text_a[s:e]) + "|" + join(text_b[f:g]) for s, e, f, g in zip(first_a, first_a[1:], first_b, first_b[1:], strict=False)]
+        self.index.update(zip(names, range(len(self.texts), len(self.texts) + len(names)), strict=True))
+        self.texts += [parts[s] if e == s + 1 else ";".join(parts[s:e]) for s, e in zip(of_unit, of_unit[1:], strict=False)]
 
     def found(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(units of all texts by number, where each text's units begin)."""
         units = [self.units(t) if t else [] for t in texts]
         new = set().union(*units).difference(self.index)
         if new:
-            self.add(sorted(new))
-        flat = np.fromiter((self.index[u] for x in units for u in x), np.int64)
+            self.add(list(new))
+        flat = np.fromiter(map(self.index.__getitem__, chain.from_iterable(units)), np.int64)
         return flat, np.concatenate([[0], np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))])
 
 
@@ -195,51 +197,81 @@ def _sum(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
-def _batches(batches, column: int, model: Aligner, full=lambda: None):
-    """(batch, rows, texts, units by number, bounds, whether a text has tokens) of some megabytes of text at a time. ``full`` is
-    called before the units are forgotten."""
+def _batches(batches, column: int, model: Aligner):
+    """(batch, rows, units by number, bounds, whether a text has tokens) of some megabytes of text at a time."""
     for batch in batches:
         texts = batch.column(column).to_pylist()
-        for lo, hi in common.parts([t or b"" for t in texts], 2_000_000):
+        for lo, hi in common.parts(texts, 2_000_000):
             if len(model.index) > model.entries:
-                full()
                 model.clear()
-            some = [(t or b"").decode("utf-8", "replace") for t in texts[lo:hi]]
-            flat, at = model.found(some)
-            yield batch, range(lo, hi), some, flat, at, (np.diff(at) > 0) & (_sum((~model.ok[flat]).astype(np.int64), at) == 0)
+            flat, at = model.found([t.decode("utf-8", "replace") for t in texts[lo:hi]])
+            yield batch, range(lo, hi), flat, at, (np.diff(at) > 0) & (_sum((~model.ok[flat]).astype(np.int64), at) == 0)
 
 
-def pair_counts(docs: DataFrame, text: str = "text", files: tuple[str, str] | None = None) -> DataFrame:
-    """(pair, a, b, n, best): how many links hold the ids a and b linked, and whether no id of the first tokenizer is linked with b
-    more often."""
+LINKED = ", ".join(f"{s} long" for s in SUMS) + ", groups_sha256 string, pairs array<long>, times array<int>"
+
+
+def linked(docs: DataFrame, text: str = "text", files: tuple[str, str] | None = None) -> DataFrame:
+    """One row per document: row (a number of its own), doc_id, SUMS, groups_sha256, and the distinct pairs of ids that its links
+    hold, in order, with how many links hold each."""
     import pyarrow as pa
+    from pyspark import TaskContext
 
     files = files or (public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
 
-    def counted(batches):
-        model, ready = aligner(*files), []
-        seen = np.zeros(0, np.int64)
-
-        def flush():
-            nonlocal seen
-            seen = np.concatenate([seen, np.zeros(len(model.ok) - len(seen), np.int64)])
-            times = np.repeat(seen, np.diff(model.at))
-            pairs, place = np.unique(model.pairs[times > 0], return_inverse=True)
-            n = np.bincount(place, times[times > 0], len(pairs)).astype(np.int64)
-            ready.append(pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(n)], names=["pair", "n"]))
-            seen = np.zeros(0, np.int64)
-
-        for _, _, _, flat, at, valid in _batches(batches, 0, model, flush):
-            while ready:
-                yield ready.pop()
+    def run(batches):
+        model, row = aligner(*files), TaskContext.get().partitionId() << 32
+        for batch, rows, flat, at, valid in _batches(batches, 1, model):
+            sums = _sum(model.sums[flat], at) * valid[:, None]
+            digests = [hashlib.sha256(";".join(map(model.texts.__getitem__, flat[s:e].tolist())).encode()).hexdigest() if v else "" for s, e, v in zip(at, at[1:], valid, strict=False)]
             used = flat[np.repeat(valid, np.diff(at))]
-            more = np.bincount(used, minlength=len(model.ok))
-            more[: len(seen)] += seen
-            seen = more
-        flush()
-        yield from ready
+            held = model.pairs[_runs(model.at[used], np.diff(model.at)[used])]
+            held = np.sort((np.repeat(np.arange(len(rows)), sums[:, SUMS.index("n_links")]) << PAIR_BITS) | held)
+            first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]])) if len(held) else np.zeros(0, np.int64)
+            times, held = np.diff(np.append(first, len(held))), held[first]
+            cuts = pa.array(np.searchsorted(held >> PAIR_BITS, np.arange(len(rows) + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(cuts, pa.array(held & ((1 << PAIR_BITS) - 1))), pa.ListArray.from_arrays(cuts, pa.array(times, pa.int32()))]
+            numbers = [pa.array(range(row, row + len(rows)), pa.int64()), batch.column(0).slice(rows.start, len(rows)), *[pa.array(c) for c in sums.T]]
+            row += len(rows)
+            yield pa.RecordBatch.from_arrays([*numbers, pa.array(digests, pa.string()), *lists], names=["row", "doc_id", *SUMS, "groups_sha256", "pairs", "times"])
 
-    counts = docs.select(common.text_bytes(text).alias("text")).mapInArrow(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_bytes(text).alias("text"))
+    return rows.mapInArrow(run, f"row long, doc_id long, {LINKED}")
+
+
+def _flat(batch, column: str) -> np.ndarray:
+    return batch.column(column).flatten().to_numpy(zero_copy_only=False)
+
+
+def _pair_sums(batches):
+    """(pair, n) of each task, from lists of pairs and times."""
+    import pyarrow as pa
+
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def merged():
+        pairs, place = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
+        return pairs, np.bincount(place, np.concatenate([n for _, n in held]), len(pairs)).astype(np.int64)
+
+    def out():
+        pairs, n = merged()
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], names=["pair", "n"])
+
+    for batch in batches:
+        held.append((_flat(batch, "pairs"), _flat(batch, "times").astype(np.int64)))
+        if sum(len(p) for p, _ in held) > 4_000_000:
+            held[:] = [merged()]
+            if len(held[0][0]) > 2_000_000:
+                yield out()
+    if held:
+        yield out()
+
+
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """(pair, a, b, n, best) of the rows of ``linked``: how many links hold the ids a and b linked, and whether no id of the first
+    tokenizer is linked with b more often."""
+    counts = rows.select("pairs", "times").mapInArrow(_pair_sums, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     counts = common.written(counts.select("pair", F.shiftright("pair", B_BITS).cast("int").alias("a"), F.col("pair").bitwiseAND(F.lit((1 << B_BITS) - 1)).cast("int").alias("b"), "n"), "pairs")
     most = counts.groupBy("b").agg(F.max("n").alias("most"))
     return counts.join(most, "b").select("pair", "a", "b", "n", (F.col("n") == F.col("most")).alias("best"))
@@ -254,7 +286,7 @@ def links(docs: DataFrame, text: str = "text", files: tuple[str, str] | None = N
 
     def run(batches):
         model = aligner(*files)
-        for batch, rows, texts, flat, at, valid in _batches(batches, 1, model):
+        for batch, rows, flat, at, valid in _batches(batches, 1, model):
             for i, row in enumerate(rows):
                 if not valid[i]:
                     continue
@@ -282,66 +314,40 @@ def links(docs: DataFrame, text: str = "text", files: tuple[str, str] | None = N
 def aligned(docs: DataFrame, text: str = "text", files: tuple[str, str] | None = None, frequent: int = 1_000_000) -> DataFrame:
     """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, n_shared (pairs in one group).
 
+    Texts are encoded once; their links are written as lists of distinct pairs and read again for the counts and for the sums.
     Counts of at most ``frequent`` pairs of ids, the most frequent ones, are sent to all tasks; links of all other pairs are joined.
     Null and empty texts, and texts whose tokens do not give back the text, have zeros and an empty digest and add nothing to the
     counts. Rows that repeat an id, or have none, are rows of their own. An empty table gives no row. Other columns are not read.
     """
     import pyarrow as pa
-    from pyspark import TaskContext
 
-    files = files or (public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
-    counts = common.written(pair_counts(docs, text, files), "counts")
+    rows = common.written(linked(docs, text, files), "linked")
+    counts = common.written(pair_counts(rows), "counts")
     top = common.most_frequent(counts, "n", frequent).select("pair", "n", "best").toPandas().sort_values("pair")  # bounded by the parameter
     known = docs.sparkSession.sparkContext.broadcast((top["pair"].to_numpy(np.int64), top["n"].to_numpy(np.int64), top["best"].to_numpy(bool)))
 
     def run(batches):
-        model, (pairs, n, best) = aligner(*files), known.value
-        row = TaskContext.get().partitionId() << 32
-        done, value, rare = 0, np.zeros((0, 3), np.int64), np.zeros(0, np.int64)
-
-        def forget():
-            nonlocal done, value, rare
-            done, value, rare = 0, np.zeros((0, 3), np.int64), np.zeros(0, np.int64)
-
-        for batch, rows, texts, flat, at, valid in _batches(batches, 1, model, forget):
-            if done < len(model.ok):  # (best links, sum of counts, links of unknown pairs) of the units that are new
-                new = model.pairs[model.at[done] :]
-                place = np.minimum(np.searchsorted(pairs, new), len(pairs) - 1) if len(pairs) else np.zeros(len(new), np.int64)
-                hit = pairs[place] == new if len(pairs) else np.zeros(len(new), bool)
-                each = np.zeros((len(new), 3), np.int64)
-                if len(pairs):
-                    each[hit] = np.stack([best[place[hit]], n[place[hit]], np.zeros(hit.sum(), np.int64)], axis=1)
-                each[~hit, 2] = 1
-                rare = np.concatenate([rare, np.where(hit, -1, new)])
-                value = np.concatenate([value, _sum(each, model.at[done:] - model.at[done])])
-                done = len(model.ok)
-            sums = _sum(np.concatenate([model.sums[flat], value[flat]], axis=1), at) * valid[:, None]
-            digests, others = [], []
-            for i in range(len(rows)):
-                own = flat[at[i] : at[i + 1]]
-                digests.append(hashlib.sha256(";".join([model.texts[u] for u in own.tolist()]).encode()).hexdigest() if valid[i] else "")
-                if sums[i, -1]:
-                    units = own[value[own, 2] > 0]
-                    held = rare[_runs(model.at[units], np.diff(model.at)[units])]
-                    held, times = np.unique(held[held >= 0], return_counts=True)
-                    others.append([{"pair": p, "times": t} for p, t in zip(held.tolist(), times.tolist(), strict=True)])
-                else:
-                    others.append([])
-            numbers = [pa.array(range(row, row + len(rows)), pa.int64()), batch.column(0).slice(rows.start, len(rows)), *[pa.array(c) for c in sums.T[:-1]]]
-            row += len(rows)
-            kinds = pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*numbers, pa.array(digests, pa.string()), pa.array(others, kinds)], names=["row", "doc_id", *SUMS, "best", "total", "groups_sha256", "rare"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_bytes(text).alias("text"))
-    kind = "row long, doc_id long, " + ", ".join(f"{s} long" for s in SUMS) + ", best long, total long, groups_sha256 string, rare array<struct<pair: bigint, times: bigint>>"
-    rows = common.written(rows.mapInArrow(run, kind), "aligned")
-    rest = rows.select("row", F.explode("rare").alias("rare")).select("row", "rare.pair", "rare.times")
+        pairs, n, best = known.value
+        for batch in batches:
+            held, times = _flat(batch, "pairs"), _flat(batch, "times").astype(np.int64)
+            at = np.concatenate([[0], np.cumsum(batch.column("pairs").value_lengths().to_numpy())])
+            place = np.minimum(np.searchsorted(pairs, held), max(len(pairs) - 1, 0))
+            hit = pairs[place] == held if len(pairs) else np.zeros(len(held), bool)
+            each = np.zeros((len(held), 2), np.int64)
+            each[hit, 0], each[hit, 1] = times[hit] * best[place[hit]], times[hit] * n[place[hit]]
+            sums = _sum(each, at)
+            left = np.flatnonzero(~hit)
+            rest = pa.StructArray.from_arrays([pa.array(held[left]), pa.array(times[left])], ["pair", "times"])
+            rest = pa.ListArray.from_arrays(pa.array(np.searchsorted(left, at), pa.int32()), rest)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sums[:, 0]), pa.array(sums[:, 1]), rest], names=["row", "best", "total", "rare"])
+
+    found = rows.select("row", "pairs", "times").mapInArrow(run, "row long, best long, total long, rare array<struct<pair: bigint, times: bigint>>")
+    found = common.written(found, "summed")
+    rest = found.select("row", F.explode("rare").alias("rare")).select("row", "rare.pair", "rare.times")
     rest = rest.join(counts.select("pair", "n", F.col("best").cast("long").alias("is_best")), "pair")
-    rest = rest.groupBy("row").agg(F.sum(F.col("times") * F.col("is_best")).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more_total"))
-    out = rows.drop("rare").join(rest, "row", "left")
-    n_best = (F.col("best") + F.coalesce("more_best", F.lit(0))).alias("n_best")
-    total = (F.col("total") + F.coalesce("more_total", F.lit(0))).alias("count_sum")
-    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", n_best, total, "groups_sha256", "n_shared")
+    rest = rest.select("row", (F.col("times") * F.col("is_best")).alias("best"), (F.col("times") * F.col("n")).alias("total"))
+    sums = found.select("row", "best", "total").unionByName(rest).groupBy("row").agg(F.sum("best").alias("n_best"), F.sum("total").alias("count_sum"))
+    return rows.drop("pairs", "times").join(sums, "row").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared")
 
 
 def op12_cross_tokenizer_alignment(spark, sf_dir: str) -> DataFrame:
