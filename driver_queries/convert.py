@@ -260,7 +260,7 @@ def ledger_upsert(spark: SparkSession, sf: str) -> DataFrame:
             F.col("imported_rows").alias("output_rows"), none,
         )
     )
-    return ledger.latest()
+    return ledger.latest().select(*led.KEY, *led.STATE_COLUMNS)
 
 
 @query(

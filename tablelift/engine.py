@@ -10,7 +10,6 @@ from __future__ import annotations
 import logging
 import threading
 import time
-import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from contextlib import contextmanager
@@ -27,25 +26,26 @@ from tablelift.functions.naming import partition_directory, table_path
 from tablelift.functions.text_forms import has_bad_utf8
 from tablelift.functions.types import ColumnSpec, is_known_target, is_known_type
 from tablelift.operators.catalog import inspect_catalog
+from tablelift.operators.fingerprints import TableInputs, combined, plan_hash, table_inputs
 from tablelift.operators.ledger import (
     COMPLETED,
     FAILED,
+    HASH_SCHEMA,
+    HASHES,
     RUNNING,
     ChunkLedger,
     resume_chunks,
 )
 from tablelift.operators.partitions import CompositePartitions, Partitions, with_chunk
 from tablelift.operators.project import (
+    failing_rows,
     lossy_text_columns,
     project_columns,
     quoted,
     resolve_overrides,
 )
 from tablelift.operators.report import report_entries, write_report
-from tablelift.operators.validate import (
-    CountMismatch,
-    count_output_chunks,
-)
+from tablelift.operators.validate import checked_counts, count_output_chunks
 from tablelift.plans.chunks import (
     BY_PARTITION,
     UNSUPPORTED,
@@ -54,16 +54,15 @@ from tablelift.plans.chunks import (
     missing_schemas,
     plan_chunks,
 )
-from tablelift.sinks.files import CHUNK, by_chunk, check_format, write_empty_chunk, write_output
+from tablelift.sinks.files import CHUNK, by_chunk, check_format, write_empty_chunks, write_output
 from tablelift.sinks.metrics import RunMetrics
-from tablelift.sources.tables import file_states, list_files
+from tablelift.sources.storage import Store
 
 LOGGER = logging.getLogger(__name__)
 
 # Fixed value: tables recorded together.
 BATCH_TABLES = 20
 BATCH_SECONDS = 30
-EMPTY_WRITERS = 8
 
 RESULT_SCHEMA = (
     "schema string, table string, chunk string, status string, input_rows bigint, "
@@ -79,8 +78,8 @@ class SourceTable:
     ``partition_name`` (and ``subpartition_name``) columns of its own. ``clustered``
     says that rows of a chunk lie together (files per partition, rows in order of
     the partition key): then the write needs no shuffle. ``version`` names the state of a
-    source without files, such as a database: a resumed run redoes such a table unless the
-    version is given and the same.
+    source without files, such as a database: a resumed run redoes such a table, and only it,
+    unless the version is given and the same.
     """
 
     df: DataFrame
@@ -242,14 +241,7 @@ def _with_planned_chunks(df: DataFrame, chunks: Sequence[Chunk]) -> DataFrame:
 
 def _present_chunks(spark: SparkSession, path: str) -> set[str]:
     """``chunk=`` directories that exist below a table path."""
-    try:
-        files = list_files(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return set()
-    directory = F.regexp_extract("path", r"/(chunk=[^/]*)/[^/]+$", 1)
-    return {r[0] for r in files.select(directory).distinct().collect()}
+    return {e.name for e in Store(spark, path).entries(path) if e.directory and e.name.startswith(f"{CHUNK}=")}
 
 
 def _read_counts(spark: SparkSession, fmt: str, path: str) -> DataFrame:
@@ -271,12 +263,12 @@ def convert_table(
 ) -> list[ChunkResult]:
     """Write the pending chunks of one table and check them; failures are results, not errors.
 
-    All chunks go in one job. If that job fails, every chunk is tried by itself,
-    so that one bad chunk does not take the others with it. Chunks of other plans in the same
-    output stay, unless ``replace`` asks for their removal; they go only after the chunks of this
-    plan have been written and checked.
+    All chunks go in one job. If that job fails, one aggregate finds the chunks that hold values no
+    conversion takes, and all others go in one further job; what still fails then is found by
+    halving. Chunks of other plans in the same output stay, unless ``replace`` asks for their
+    removal; they go only after the chunks of this plan have been written and checked.
     """
-    if not work.pending:
+    if not work.pending and not replace:
         return list(work.done)
     metrics = metrics or RunMetrics(source.df.sparkSession, None)
     with metrics.phase(
@@ -284,7 +276,7 @@ def convert_table(
     ):
         try:
             with strict_session(source.df.sparkSession):
-                return _convert_pending(source, work, output, fmt, replace)
+                return _convert_pending(source, work, output, fmt, replace, metrics)
         except Exception as error:  # noqa: BLE001 - other tables must go on, whatever this was
             LOGGER.warning("%s failed: %s", work.qualified, first_line(error))
             failed = [ChunkResult(c.name, FAILED, error=message(error)) for c in work.pending]
@@ -292,115 +284,159 @@ def convert_table(
 
 
 def _convert_pending(
-    source: SourceTable, work: TableWork, output: str, fmt: str, replace: bool
+    source: SourceTable, work: TableWork, output: str, fmt: str, replace: bool, metrics: RunMetrics
 ) -> list[ChunkResult]:
     path = table_path(output, work.schema, work.table)
-    df = with_chunks(source, work.strategy, work.chunks)
+    spark = source.df.sparkSession
     planned = {partition_directory(CHUNK, c.name) for c in work.chunks}
-    others = _present_chunks(df.sparkSession, path) - planned
+    others = _present_chunks(spark, path) - planned
     if others and not replace:
         LOGGER.warning("%s: the output keeps %d chunk(s) of other plans", work.qualified, len(others))
-    results = _convert_todo(df, source, work, path, fmt)
+    results = list(work.done)
+    if work.pending:
+        results += _Conversion(source, work, path, fmt, metrics).run()
     if replace and any(r.status == COMPLETED for r in results):
         for name in others:
-            _remove(df.sparkSession, f"{path}/{name}")
+            Store(spark, path).remove(f"{path}/{name}")
     return results
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete one directory, in whatever store it is."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+class _Conversion:
+    """The pending chunks of one table on their way into the output."""
 
+    def __init__(self, source: SourceTable, work: TableWork, path: str, fmt: str, metrics: RunMetrics) -> None:
+        self.source, self.work, self.path, self.fmt, self.metrics = source, work, path, fmt, metrics
+        self.names = [c.name for c in work.pending]
+        df = with_chunks(source, work.strategy, work.chunks)
+        if work.done:
+            df = df.where(F.col(CHUNK).isNull() | ~F.col(CHUNK).isin([r.chunk for r in work.done]))
+        self.df = df
+        self.rows: dict[str, int] = {}
+        self.bad_rows: dict[str, int] = {}
 
-def _convert_todo(
-    df: DataFrame, source: SourceTable, work: TableWork, path: str, fmt: str
-) -> list[ChunkResult]:
-    todo, kept = work.pending, list(work.done)
-    if kept:
-        df = df.where(F.col(CHUNK).isNull() | ~F.col(CHUNK).isin([r.chunk for r in kept]))
-    try:
-        return kept + _convert_chunks(df, source, work, todo, path, fmt)
-    except RowsOutsidePlan:
-        # The plan does not fit the data: no chunk may pass for the whole table.
-        raise
-    except (*SPARK_ERRORS, ValueError) as error:
-        LOGGER.warning("%s: %s; trying chunk by chunk", work.qualified, first_line(error))
-    results = kept
-    for chunk in todo:
+    def run(self) -> list[ChunkResult]:
+        with self.metrics.phase("count_source", table=self.work.qualified):
+            self.rows = self._count()
         try:
-            only = df.where(F.col(CHUNK) == chunk.name)
-            results += _convert_chunks(only, source, work, [chunk], path, fmt)
+            results = self._write(self.names)
         except (*SPARK_ERRORS, ValueError) as error:
-            results.append(ChunkResult(chunk.name, FAILED, error=message(error)))
-    return results
+            LOGGER.warning("%s: %s; looking for the chunks at fault", self.work.qualified, first_line(error))
+            results = self._apart(error)
+        if self.metrics.kept:
+            self._measure(results)
+        return results
+
+    def _count(self) -> dict[str, int]:
+        """Source rows per chunk; one row per planned chunk and one for all others together, whatever the source holds."""
+        planned = F.when(F.col(CHUNK).isin(self.names), F.col(CHUNK))
+        chunk = F.col(CHUNK).cast("string")
+        counted = (
+            self.df.groupBy(planned.alias("planned"))
+            .agg(F.count(F.lit(1)).alias("input_rows"), F.min(chunk).alias("low"), F.max(chunk).alias("high"))
+            .collect()
+        )
+        for r in counted:
+            if r["planned"] is None:
+                # The plan does not fit the data: no chunk may pass for the whole table.
+                span = r["low"] if r["low"] == r["high"] else f"{r['low']} to {r['high']}"
+                raise RowsOutsidePlan(
+                    f"{self.work.qualified}: rows outside the planned chunks: {{{span}: {r['input_rows']}}}"
+                )
+        return {r["planned"]: r["input_rows"] for r in counted}
+
+    def _apart(self, error: Exception) -> list[ChunkResult]:
+        """The chunks at fault as failed ones, all others written."""
+        if len(self.names) == 1:
+            return [ChunkResult(self.names[0], FAILED, error=message(error))]
+        reasons = self._reasons()
+        failed = [ChunkResult(n, FAILED, error=reasons[n]) for n in self.names if n in reasons]
+        good = [n for n in self.names if n not in reasons]
+        if not failed:
+            return self._halved(good, error)
+        try:
+            return failed + (self._write(good) if good else [])
+        except (*SPARK_ERRORS, ValueError) as again:
+            return failed + self._halved(good, again)
 
+    def _reasons(self) -> dict[str, str]:
+        """Chunks with rows that cannot be converted, and why; one pass over all of them. Empty if that pass fails itself, as an
+        expression of the user's own may."""
+        try:
+            with self.metrics.phase("find_failures", table=self.work.qualified):
+                found = failing_rows(self.df, self.source.columns, CHUNK).collect()
+        except SPARK_ERRORS as error:
+            LOGGER.warning("%s: %s", self.work.qualified, first_line(error))
+            return {}
+        self.bad_rows = {r[CHUNK]: r["bad_rows"] for r in found}
+        return {r[CHUNK]: f"{r['bad_rows']} of {self.rows.get(r[CHUNK], 0)} rows cannot be converted: {r['reason']}" for r in found}
+
+    def _halved(self, names: list[str], error: Exception) -> list[ChunkResult]:
+        """Chunks of which some fail for a reason of their own, which is not known: half of them at a time."""
+        if len(names) == 1:
+            return [ChunkResult(names[0], FAILED, error=message(error))]
+        results = []
+        for half in (names[: len(names) // 2], names[len(names) // 2 :]):
+            try:
+                results += self._write(half)
+            except (*SPARK_ERRORS, ValueError) as inner:
+                results += self._halved(half, inner)
+        return results
+
+    def _write(self, names: list[str]) -> list[ChunkResult]:
+        """Write some chunks in one job and check what can be read back."""
+        work, source, spark = self.work, self.source, self.df.sparkSession
+        df = self.df if len(names) == len(self.names) else self.df.where(F.col(CHUNK).isin(names))
+        filled = [n for n in names if self.rows.get(n)]
+        if filled:
+            lossy = lossy_text_columns(df, source.columns)
+            observed = Observation()
+            if lossy:
+                damaged = [F.count_if(has_bad_utf8(F.col(quoted(n)))).alias(n) for n in lossy]
+                df = df.observe(observed, *damaged)
+            # Shuffled before the conversion: source values are narrower than their text forms,
+            # and the conversion then runs in as many tasks as the write.
+            if len(filled) > 1 and not source.clustered:
+                df = by_chunk(df)
+            exported = project_columns(df, source.columns, [CHUNK])
+            with self.metrics.phase("write_chunks", table=work.qualified, chunks=len(filled)):
+                write_output(exported, self.fmt, self.path, chunked=True, replace="chunks")
+            for name, rows in (observed.get if lossy else {}).items():
+                if rows:
+                    LOGGER.warning(
+                        "%s.%s: bytes that are no UTF-8 replaced in about %d rows (data may be lost)",
+                        work.qualified, name, rows,
+                    )
+        unfilled = [n for n in names if not self.rows.get(n)]
+        if unfilled:
+            with self.metrics.phase("write_empty", table=work.qualified, chunks=len(unfilled)):
+                write_empty_chunks(project_columns(source.df, source.columns), self.fmt, self.path, unfilled)
+        with self.metrics.phase("read_back", table=work.qualified):
+            written = {r[CHUNK]: r["output_rows"] for r in _read_counts(spark, self.fmt, self.path).collect()}
+        counts = checked_counts(work.qualified, names, self.rows, written)
+        return [
+            ChunkResult(name, COMPLETED, *counts[name], f"{self.path}/{partition_directory(CHUNK, name)}") for name in names
+        ]
 
-def _convert_chunks(
-    df: DataFrame,
-    source: SourceTable,
-    work: TableWork,
-    chunks: Sequence[Chunk],
-    path: str,
-    fmt: str,
-) -> list[ChunkResult]:
-    spark = df.sparkSession
-    names = [c.name for c in chunks]
-    # One row per planned chunk and one for all others together, whatever the source holds.
-    planned = F.when(F.col(CHUNK).isin(names), F.col(CHUNK))
-    chunk = F.col(CHUNK).cast("string")
-    counted = (
-        df.groupBy(planned.alias("planned"))
-        .agg(F.count(F.lit(1)).alias("input_rows"), F.min(chunk).alias("low"), F.max(chunk).alias("high"))
-        .collect()
-    )
-    for r in counted:
-        if r["planned"] is None:
-            span = r["low"] if r["low"] == r["high"] else f"{r['low']} to {r['high']}"
-            raise RowsOutsidePlan(
-                f"{work.qualified}: rows outside the planned chunks: {{{span}: {r['input_rows']}}}"
-            )
-    found = {r["planned"]: r["input_rows"] for r in counted}
-    filled = [n for n in names if found.get(n)]
-    if filled:
-        lossy = lossy_text_columns(df, source.columns)
-        observed = Observation()
-        if lossy:
-            damaged = [F.count_if(has_bad_utf8(F.col(quoted(n)))).alias(n) for n in lossy]
-            df = df.observe(observed, *damaged)
-        # Shuffled before the conversion: source values are narrower than their text forms,
-        # and the conversion then runs in as many tasks as the write.
-        if len(filled) > 1 and not source.clustered:
-            df = by_chunk(df)
-        exported = project_columns(df, source.columns, [CHUNK])
-        write_output(exported, fmt, path, chunked=True, replace="chunks")
-        for name, rows in (observed.get if lossy else {}).items():
-            if rows:
-                LOGGER.warning(
-                    "%s.%s: bytes that are no UTF-8 replaced in about %d rows (data may be lost)",
-                    work.qualified, name, rows,
-                )
-    empty = project_columns(source.df, source.columns)
-    # Each goes to a directory of its own, so these small jobs may overlap.
-    with ThreadPoolExecutor(max_workers=EMPTY_WRITERS) as pool:
-        unfilled = [n for n in names if not found.get(n)]
-        list(pool.map(lambda name: write_empty_chunk(empty, fmt, path, name), unfilled))
-    written = {r[CHUNK]: r["output_rows"] for r in _read_counts(spark, fmt, path).collect()}
-    results = []
-    for name in names:
-        imported, output = found.get(name, 0), written.get(name, 0)
-        if imported != output:
-            raise CountMismatch(
-                f"row count mismatch for {work.qualified} {name}: "
-                f"imported={imported}, output={output}"
-            )
-        target = f"{path}/{partition_directory(CHUNK, name)}"
-        results.append(ChunkResult(name, COMPLETED, imported, output, target))
-    return results
+    def _measure(self, results: list[ChunkResult]) -> None:
+        """One record per chunk: rows in and out, rows that cannot be converted, bytes and files in the output."""
+        store = Store(self.df.sparkSession, self.path)
+        for r in results:
+            files = [e.length for e in store.entries(f"{self.path}/{partition_directory(CHUNK, r.chunk)}") if not e.name.startswith(("_", "."))]
+            if r.status == FAILED:
+                files = []
+            self.metrics.record(
+                "chunk", table=self.work.qualified, chunk=r.chunk, status=r.status, rows=self.rows.get(r.chunk, 0),
+                output_rows=r.output_rows or 0, bad_rows=self.bad_rows.get(r.chunk, 0), bytes=sum(files), files=len(files),
+            )
 
 
-def _work_list(plan_df: DataFrame, ledger: ChunkLedger | None, output: str) -> list[TableWork]:
-    """Plan rows per table, completed chunks with their recorded counts."""
+def _work_list(
+    plan_df: DataFrame,
+    ledger: ChunkLedger | None,
+    output: str,
+    inputs: Mapping[tuple[str, str], TableInputs] | None = None,
+) -> list[TableWork]:
+    """Plan rows per table, completed chunks with their recorded counts; with ``inputs`` only those whose own inputs are as recorded."""
     chunks = plan_df.where(F.col("strategy") != UNSUPPORTED).withColumns(
         {
             "table_name": F.concat_ws(".", "schema", "table"),
@@ -410,7 +446,7 @@ def _work_list(plan_df: DataFrame, ledger: ChunkLedger | None, output: str) -> l
     if ledger is None:
         states = plan_df.sparkSession.createDataFrame(
             [], "table_name string, chunk_name string, status string, "
-            "imported_rows bigint, output_rows bigint"
+            f"imported_rows bigint, output_rows bigint, {HASH_SCHEMA}"
         )
     else:
         states = ledger.latest()
@@ -420,7 +456,8 @@ def _work_list(plan_df: DataFrame, ledger: ChunkLedger | None, output: str) -> l
         key = (r["schema"], r["table"])
         work = works.setdefault(key, TableWork(*key, r["strategy"]))
         work.chunks.append(Chunk(r["chunk"], r["partition_name"], r["subpartition_name"]))
-        if not r["redo"]:
+        known = inputs is None or key in inputs and inputs[key].same(r["chunk"], *[r[h] for h in HASHES])
+        if not r["redo"] and known:
             target = f"{table_path(output, *key)}/{partition_directory(CHUNK, r['chunk'])}"
             work.done.append(
                 ChunkResult(r["chunk"], COMPLETED, r["imported_rows"], r["output_rows"], target)
@@ -440,13 +477,15 @@ def convert_plan(
     parallel_tables: int = 4,
     raise_failures: bool = True,
     replace: bool = False,
+    inputs: Mapping[tuple[str, str], TableInputs] | None = None,
 ) -> DataFrame:
     """Convert every supported table of the plan; returns one row per chunk tried.
 
     Tables the plan names but ``sources`` lacks are left out with a warning. A
     failed chunk is recorded and the rest goes on; ``raise_failures`` raises at the end. States
     that the ledger has lost are first restored from its rowcount records. ``replace`` removes
-    chunks of other plans from tables that are converted whole.
+    chunks of other plans from tables that are converted whole. With ``inputs`` (``input_tree``) a
+    completed chunk is done again if its own inputs are not those recorded with it.
     """
     check_format(fmt)
     catalog = spark.createDataFrame(list(sources), "schema string, table string")
@@ -463,7 +502,7 @@ def convert_plan(
         LOGGER.warning("skipping %s.%s: not in the source", r["schema"], r["table"])
     if ledger is not None:
         ledger.reconcile()
-    works = _work_list(present, ledger, output)
+    works = _work_list(present, ledger, output, inputs)
     if ledger is not None:
         running = [
             (w.qualified, c.name, RUNNING, None, None, None) for w in works for c in w.pending
@@ -477,7 +516,7 @@ def convert_plan(
             pool.submit(convert_table, sources[(w.schema, w.table)], w, output, fmt, metrics, replace): w
             for w in works
         }
-        with _LedgerBatches(ledger) as finished:
+        with _LedgerBatches(ledger, inputs or {}) as finished:
             for job in as_completed(jobs):
                 work, results = jobs[job], job.result()
                 if work.pending:
@@ -500,8 +539,8 @@ class _LedgerBatches:
     A crash loses at most the batch at hand, whose chunks are then done again.
     """
 
-    def __init__(self, ledger: ChunkLedger | None) -> None:
-        self._ledger = ledger
+    def __init__(self, ledger: ChunkLedger | None, inputs: Mapping[tuple[str, str], TableInputs]) -> None:
+        self._ledger, self._inputs = ledger, inputs
         self._rows: list[tuple] = []
         self._tables, self._since = 0, time.monotonic()
 
@@ -512,10 +551,10 @@ class _LedgerBatches:
         self._flush()
 
     def add(self, work: TableWork, results: Sequence[ChunkResult]) -> None:
-        self._rows += [
-            (work.qualified, r.chunk, r.status, r.input_rows, r.output_rows, r.error)
-            for r in results
-        ]
+        node = self._inputs.get((work.schema, work.table))
+        for r in results:
+            hashes = (node.leaf(r.chunk), node.table_hash) if node is not None and r.status == COMPLETED else ()
+            self._rows.append((work.qualified, r.chunk, r.status, r.input_rows, r.output_rows, r.error, *hashes))
         self._tables += 1
         if self._tables >= BATCH_TABLES or time.monotonic() - self._since > BATCH_SECONDS:
             self._flush()
@@ -530,33 +569,34 @@ def _as_tuple(r: ChunkResult) -> tuple:
     return r.chunk, r.status, r.input_rows, r.output_rows, r.output_path, r.error
 
 
-def _digest(df: DataFrame) -> str:
-    """SHA-256 over all rows of ``df``, in whatever order: rows are hashed, gathered by the first digits of their hash, and the
-    hashes of those groups are hashed again."""
-    row = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
-    groups = df.select(row.alias("h")).groupBy(F.substring("h", 1, 2).alias("g"))
-    parts = groups.agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256).alias("h"))
-    return parts.agg(F.sha2(F.array_join(F.sort_array(F.collect_list("h")), ""), 256)).first()[0]
+def input_tree(
+    plan_df: DataFrame, sources: Mapping[tuple[str, str], SourceTable], fmt: str = "parquet"
+) -> dict[tuple[str, str], TableInputs]:
+    """Per planned table the hashes of all that decides its chunks: format, every field of the columns, partition methods with
+    their bounds, and the data, by path, size and time of each file that holds rows of a chunk. A source without files counts by
+    its ``version``, and without one it is never the same twice."""
+    rows = plan_df.where(F.col("strategy") != UNSUPPORTED).select("schema", "table", "strategy", "chunk", "partition_name", "subpartition_name")
+    strategies: dict[tuple[str, str], tuple[str, list[Chunk]]] = {}
+    for r in rows.orderBy("schema", "table", "chunk").toLocalIterator():
+        _, chunks = strategies.setdefault((r["schema"], r["table"]), (r["strategy"], []))
+        chunks.append(Chunk(r["chunk"], r["partition_name"], r["subpartition_name"]))
+    tree = {}
+    for key, source in sources.items():
+        strategy, chunks = strategies.get(key, (None, []))
+        traced = None
+        if strategy == BY_PARTITION:
+            traced = lambda source=source, strategy=strategy, chunks=chunks: with_chunks(source, strategy, chunks)
+        declared = [fmt, *[repr(c) for c in source.columns], repr(source.method), str(strategy)]
+        tree[key] = table_inputs(source.df, declared, source.version, traced, CHUNK)
+    return tree
 
 
 def input_fingerprint(
     plan_df: DataFrame, sources: Mapping[tuple[str, str], SourceTable], fmt: str = "parquet"
 ) -> str:
-    """SHA-256 over all that decides the output: plan, format, every field of the columns, partition methods with their bounds,
-    and the data, by path, size and time of each file. A source without files counts by its ``version``, and without one it is
-    never the same twice."""
-    from hashlib import sha256
-
-    lines = [fmt, _digest(plan_df.select("schema", "table", "strategy", "chunk"))]
-    for key, source in sorted(sources.items()):
-        files = sorted(source.df.inputFiles())
-        state = source.version
-        if state is None:
-            spark = source.df.sparkSession
-            state = _digest(file_states(spark, files)) if files else uuid.uuid4().hex
-        columns = [repr(c) for c in source.columns]
-        lines.append(chr(31).join([*key, source.df.schema.json(), *columns, repr(source.method), state]))
-    return sha256("\n".join(lines).encode()).hexdigest()
+    """The root of ``input_tree``: one SHA-256 over the plan and all tables; never the same twice if a table is not known."""
+    root = plan_hash(plan_df.select("schema", "table", "strategy", "chunk"), input_tree(plan_df, sources, fmt))
+    return root or combined(str(time.time_ns()))
 
 
 def run(
@@ -575,9 +615,9 @@ def run(
     """Inspect, plan, convert and report in one go; a second call resumes the first.
 
     ``frames``: the readable rows of each table and their partition method, or a ``SourceTable``
-    (whose columns, if empty, come from the catalog). A run with another format, plan, override,
-    bound or data redoes the work and removes what the former one left. Returns the report summary; manifest, plan, data, ledger, metrics and report lie in
-    ``work_dir``.
+    (whose columns, if empty, come from the catalog). A chunk is done again if anything that decides
+    it has changed: format, plan, override, bound, or a file with rows of it. What a former plan left is removed.
+    Returns the report summary; manifest, plan, data, ledger, metrics and report lie in ``work_dir``.
     """
     started = datetime.now(UTC)
     manifest = inspect(catalog, f"{work_dir}/manifest")
@@ -588,7 +628,7 @@ def run(
         if key in columns:
             table = given if isinstance(given, SourceTable) else SourceTable(given[0], (), given[1])
             sources[key] = table if table.columns else dataclass_replace(table, columns=columns[key])
-    ledger = ChunkLedger(spark, f"{work_dir}/ledger/{input_fingerprint(plan_df, sources, fmt)}")
+    ledger = ChunkLedger(spark, f"{work_dir}/ledger")
     metrics = RunMetrics(spark, f"{work_dir}/metrics")
     results = convert_plan(
         spark,
@@ -600,6 +640,7 @@ def run(
         metrics=metrics,
         raise_failures=False,
         replace=True,
+        inputs=input_tree(plan_df, sources, fmt),
     )
     return write_report(
         report_entries(plan_df, results),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Callable
+from decimal import MAX_EMAX, MIN_EMIN, ROUND_HALF_UP, Context, Decimal, InvalidOperation
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,92 +31,69 @@ def to_bytes(value: Column, source: T.DataType) -> Column:
     return F.encode(value.cast("string"), "UTF-8")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value computed once, so that nested uses do not multiply."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def to_wide_decimal_text(value: Column, precision: int, scale: int, attempt: bool = False) -> Column:
+    """Exact plain decimal text, rounded half up to ``scale``; more than ``precision`` digits and text that is no number fail the
+    job, as an overflow does for narrow decimals. With ``attempt`` they give NULL.
 
-
-def to_wide_decimal_text(value: Column, precision: int, scale: int) -> Column:
-    """Exact plain decimal text, rounded half up to ``scale`` without any number type.
-
-    Works on the digits, so 39 to 76 digit values stay exact; more than
-    ``precision`` digits fail the job, as an overflow does for narrow decimals.
-    Values already in plain form with few enough digits are only padded.
+    Values already in plain form with few enough digits are only padded, in compiled code. Spark's own decimals end at 38 digits,
+    so all others are rounded as exact decimals, a batch of Arrow values at a time.
     """
     text = F.trim(value.cast("string"))
-    return F.when(value.isNotNull(), _let(text, lambda t: _wide_decimal(t, precision, scale)))
-
-
-def _wide_decimal(text: Column, precision: int, scale: int) -> Column:
     whole = f"(?:0|[1-9]\\d{{0,{precision - scale - 1}}})" if precision > scale else "0"
     plain = rf"^(?:-(?=.*[1-9]))?{whole}"
-    number = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-    refused = F.raise_error(F.concat(F.lit("not a decimal: "), text)).cast("string")
-    general = F.when(text.rlike(number), _rounded_text(text, precision, scale)).otherwise(refused)
+    integer, few = text.rlike(plain + "$"), text.rlike(plain + rf"\.\d{{0,{scale}}}$")
+    others = _rounded(precision, scale, attempt)(F.when(~integer & ~few, text))
     if not scale:
-        return F.when(text.rlike(plain + "$"), text).otherwise(general)
-    return (
-        F.when(text.rlike(plain + "$"), F.concat(text, F.lit("." + "0" * scale)))
-        .when(
-            text.rlike(plain + rf"\.\d{{0,{scale}}}$"),
-            F.rpad(text, F.instr(text, ".") + scale, F.lit("0")),
-        )
-        .otherwise(general)
-    )
-
-
-def _rounded_text(text: Column, precision: int, scale: int) -> Column:
-    """The same for any notation and any number of digits."""
-    upper = F.upper(text)
-    mantissa = F.ltrim(F.substring_index(upper, "E", 1), F.lit("+-"))
-    exponent = F.when(
-        upper.contains("E"), F.substring_index(upper, "E", -1).cast("int")
-    ).otherwise(0)
-    whole = F.substring_index(mantissa, ".", 1)
-    # The digits without a point, and how many stand before the point after scaling.
-    scaled = F.struct(
-        F.replace(mantissa, F.lit(".")).alias("digits"),
-        (F.length(whole) + exponent + scale).alias("point"),
-    )
-
-    def cut(number: Column) -> Column:
-        point = F.greatest(number["point"], F.lit(0))
-        digits = F.concat(F.repeat(F.lit("0"), -number["point"]), number["digits"])
-        return F.struct(
-            F.concat(F.lit("0"), F.rpad(F.substr(digits, F.lit(1), point), point, F.lit("0")))
-            .alias("kept"),
-            (F.substr(digits, point + 1, F.lit(1)) >= "5").alias("up"),
-        )
-
-    def rounded(number: Column) -> Column:
-        # Adding one turns the trailing nines to zeros and bumps the digit before them.
-        kept = number["kept"]
-        head = F.rtrim(kept, F.lit("9"))
-        bumped = F.concat(
-            F.substr(head, F.lit(1), F.length(head) - 1),
-            (F.right(head, F.lit(1)).cast("int") + 1).cast("string"),
-            F.repeat(F.lit("0"), F.length(kept) - F.length(head)),
-        )
-        return F.ltrim(F.when(number["up"], bumped).otherwise(kept), F.lit("0"))
-
-    def pointed(digits: Column) -> Column:
-        sized = F.lpad(digits, F.greatest(F.lit(scale + 1), F.length(digits)), F.lit("0"))
-        if scale:
-            sized = F.regexp_replace(sized, rf"(\d{{{scale}}})$", ".$1")
-        minus = F.when(text.startswith("-") & (digits != ""), "-").otherwise("")
-        too_wide = F.raise_error(F.concat(F.lit(f"more than {precision} digits: "), text))
-        return F.when(F.length(digits) > precision, too_wide.cast("string")).otherwise(
-            F.concat(minus, sized)
-        )
-
-    return _let(_let(_let(scaled, cut), rounded), pointed)
-
-
-def convert(value: Column, source: T.DataType, token: str) -> Column:
-    """Expression giving ``value`` as the target type named by ``token``."""
+        return F.when(integer, text).otherwise(others)
+    padded = F.rpad(text, F.instr(text, ".") + scale, F.lit("0"))
+    return F.when(integer, F.concat(text, F.lit("." + "0" * scale))).when(few, padded).otherwise(others)
+
+
+def rounded_decimal(text: str, precision: int, scale: int) -> str:
+    """One number in any notation and of any length as plain text with ``scale`` digits after the point."""
+    if not _NUMBER.fullmatch(text):
+        raise ValueError(f"not a decimal: {text}")
+    if not text.upper().split("E")[0].strip("+-.0"):
+        number = Decimal(0).quantize(Decimal(1).scaleb(-scale))
+    else:
+        try:
+            number = Decimal(text).quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP, Context(prec=precision, Emax=MAX_EMAX, Emin=MIN_EMIN))
+        except InvalidOperation:
+            if text.upper().partition("E")[2].startswith("-"):  # beyond all exponents
+                number = Decimal(0).quantize(Decimal(1).scaleb(-scale))
+            else:
+                raise ValueError(f"more than {precision} digits: {text}") from None
+    shown = f"{number:f}"
+    return shown if number else shown.lstrip("-")
+
+
+_NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", re.ASCII)
+
+
+@functools.cache
+def _rounded(precision: int, scale: int, attempt: bool):
+    def one(text: str | None) -> str | None:
+        if text is None:
+            return None
+        try:
+            return rounded_decimal(text, precision, scale)
+        except ValueError:
+            if attempt:
+                return None
+            raise
+
+    @F.arrow_udf("string")
+    def rounded(texts: pa.Array) -> pa.Array:
+        return pa.array([one(t) for t in texts.to_pylist()], pa.string())
+
+    return rounded
+
+
+def convert(value: Column, source: T.DataType, token: str, attempt: bool = False) -> Column:
+    """Expression giving ``value`` as the target type named by ``token``; with ``attempt`` NULL where that would fail."""
     shape = decimal_shape(token)
     if shape and shape[0] > DECIMAL_DIGITS:
-        return to_wide_decimal_text(value, *shape)
+        return to_wide_decimal_text(value, *shape, attempt)
     target = spark_type(token)
     if isinstance(target, T.StringType):
         return to_text(value, source)
@@ -124,10 +103,10 @@ def convert(value: Column, source: T.DataType, token: str) -> Column:
         return value
     if isinstance(source, T.BinaryType):
         value = text_forms.utf8_lossy(value)
-    return value.cast(target)
+    return value.try_cast(target) if attempt else value.cast(target)
 
 
-def convert_declared(value: Column, source: T.DataType, declared: str, token: str) -> Column:
+def convert_declared(value: Column, source: T.DataType, declared: str, token: str, attempt: bool = False) -> Column:
     """``convert`` after the declared type's own text form, where it has one.
 
     ``declared`` is the type as written, with its digits; intervals are shown with as many.
@@ -146,9 +125,9 @@ def convert_declared(value: Column, source: T.DataType, declared: str, token: st
     ):
         value, source = text_forms.iso_local(value), T.StringType()
     elif declared == "JSON" and isinstance(source, T.StringType):
-        value = text_forms.json_text(value)
+        value = text_forms.json_text(value, attempt=attempt)
     elif declared == "XMLTYPE":
         value, source = text_forms.xml_text(value, source), T.StringType()
     elif declared == "SDO_GEOMETRY" and isinstance(source, T.StructType):
-        value, source = text_forms.geometry_wkt(value), T.StringType()
-    return convert(value, source, token)
+        value, source = text_forms.geometry_wkt(value, attempt), T.StringType()
+    return convert(value, source, token, attempt)

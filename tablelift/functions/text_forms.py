@@ -106,16 +106,17 @@ def year_month_text(interval: Column, year_digits: int = 2) -> Column:
     )
 
 
-def json_text(value: Column, canonical: bool = False) -> Column:
-    """JSON document text as it is, whatever its numbers and repeated keys; text that is no JSON fails the job.
+def json_text(value: Column, canonical: bool = False, attempt: bool = False) -> Column:
+    """JSON document text as it is, whatever its numbers and repeated keys; text that is no JSON fails the job, or with ``attempt``
+    is NULL.
 
     ``canonical`` gives the compact form with sorted keys instead, for documents whose numbers Spark can hold.
     """
     if canonical:
         return F.to_json(F.parse_json(value))
     valid = F.get_json_object(value, "$").isNotNull() | (F.trim(value) == "null")
-    refused = F.raise_error(F.concat(F.lit("not JSON: "), value)).cast("string")
-    return F.when(value.isNull() | valid, value).otherwise(refused)
+    refused = F.lit(None) if attempt else F.raise_error(F.concat(F.lit("not JSON: "), value))
+    return F.when(value.isNull() | valid, value).otherwise(refused.cast("string"))
 
 
 def xml_text(value: Column, data_type: T.DataType, row_tag: str = "ROW") -> Column:
@@ -125,12 +126,13 @@ def xml_text(value: Column, data_type: T.DataType, row_tag: str = "ROW") -> Colu
     return value.cast("string")
 
 
-def geometry_wkt(geometry: Column) -> Column:
+def geometry_wkt(geometry: Column, attempt: bool = False) -> Column:
     """Well-Known Text of a spatial struct ``(gtype, elem_info, ordinates)``.
 
     ``gtype`` is ``d00t``: ``d`` ordinates per point, ``t`` 1 point, 2 line, 3 polygon. ``elem_info`` holds triplets: the 1-based
     start of each element, its type, whose last digit is that of the shape, and its interpretation: 1 for straight lines, 3 for a
-    rectangle given by two corners, which is written out. Circles, arcs and other shapes fail the job rather than lose data.
+    rectangle given by two corners, which is written out. Circles, arcs and other shapes fail the job rather than lose data; with
+    ``attempt`` they are NULL.
     """
     dims = F.floor(geometry.gtype / 1000).cast("int")
     ordinates = geometry.ordinates
@@ -174,7 +176,7 @@ def geometry_wkt(geometry: Column) -> Column:
         .when(known & single & (kind == 2), F.concat(F.lit("LINESTRING ("), points(first, end), F.lit(")")))
         .when(known & (kind == 3), F.concat(F.lit("POLYGON ("), F.array_join(F.transform(elements, ring), ", "), F.lit(")")))
         .otherwise(
-            F.raise_error(
+            F.lit(None).cast("string") if attempt else F.raise_error(
                 F.concat(F.lit("unsupported geometry: type "), geometry.gtype.cast("string"), F.lit(", elements "), F.array_join(info.cast("array<string>"), ","))
             )
         )

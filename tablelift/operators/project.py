@@ -35,6 +35,33 @@ def project_columns(
     return df.select(*[export_column(df, c) for c in columns], *keep)
 
 
+def failure(df: DataFrame, column: ColumnSpec) -> Column:
+    """Why a row's value of one column cannot be converted; NULL if it can.
+
+    The conversion's fallible twin gives NULL where the conversion itself fails, and nowhere else for a value that is there.
+    """
+    token = type_token(column.data_type, column.precision, column.scale, column.target)
+    if column.expression:
+        value = F.expr(column.expression.replace("{column}", quoted(column.name)))
+        source = df.select(value).schema[0].dataType
+        tried = convert(value, source, token, attempt=True)
+    else:
+        value = F.col(quoted(column.name))
+        source = df.schema[column.name].dataType
+        tried = convert_declared(value, source, column.data_type, token, attempt=True)
+    shown = value.cast("string") if isinstance(source, T.AtomicType) else F.to_json(F.struct(value.alias("v")))
+    text = F.concat(F.lit(f"{column.name} is no {token}: "), F.coalesce(F.left(shown, F.lit(200)), F.lit("")))
+    return F.when(value.isNotNull() & tried.isNull(), text)
+
+
+def failing_rows(df: DataFrame, columns: Sequence[ColumnSpec], chunk: str) -> DataFrame:
+    """(chunk, bad_rows, reason): the chunks that hold rows which cannot be converted, how many, and one reason, in one pass."""
+    reasons = F.coalesce(*[failure(df, c) for c in columns], F.lit(None).cast("string"))
+    tried = df.select(F.col(chunk), reasons.alias("reason"))
+    found = tried.groupBy(chunk).agg(F.count("reason").alias("bad_rows"), F.min("reason").alias("reason"))
+    return found.where("bad_rows > 0")
+
+
 def lossy_text_columns(df: DataFrame, columns: Sequence[ColumnSpec]) -> list[str]:
     """Byte columns that become text and so may lose malformed sequences."""
     return [

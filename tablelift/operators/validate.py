@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +53,18 @@ def compare_counts(planned: DataFrame, source: DataFrame, output: DataFrame) ->
     )
 
 
+def checked_counts(
+    table: str, chunks: Sequence[str], source: Mapping[str, int], output: Mapping[str, int]
+) -> dict[str, tuple[int, int]]:
+    """``compare_counts`` for the chunks of one table whose counts are at hand: both counts of each, or an error that names the
+    first one that differs. A chunk without rows counts 0."""
+    counts = {name: (source.get(name, 0), output.get(name, 0)) for name in chunks}
+    for name, (imported, written) in counts.items():
+        if imported != written:
+            raise CountMismatch(f"row count mismatch for {table} {name}: imported={imported}, output={written}")
+    return counts
+
+
 def mismatch_text(table: Column, chunk: Column, imported: Column, output: Column) -> Column:
     return F.format_string(
         "row count mismatch for %s %s: imported=%d, output=%d", table, chunk, imported, output

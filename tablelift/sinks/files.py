@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tablelift.functions.naming import partition_directory
 from tablelift.sources.avro import need_avro_module, read_avro, with_utc_instants
+from tablelift.sources.storage import Store
 
 # Fixed value: the output formats.
 FORMATS = ("parquet", "avro", "csv")
@@ -97,8 +98,27 @@ def write_output(
 
 def write_empty_chunk(df: DataFrame, fmt: str, table_path: str, chunk: str) -> None:
     """A readable file with the schema and no rows for a chunk that got none."""
+    write_empty_chunks(df, fmt, table_path, [chunk])
+
+
+def write_empty_chunks(df: DataFrame, fmt: str, table_path: str, chunks: Sequence[str]) -> None:
+    """The same for any number of chunks by one job: the file is written once, and copied under every name.
+
+    A copy is complete before it takes the place of what the chunk held. Readers do not see the folder of the copies; what a
+    crash leaves there is removed by the next call.
+    """
+    store = Store(df.sparkSession, table_path)
+    staging = f"{table_path}/_empty"
+    store.remove(staging)
     empty = df.drop(CHUNK).limit(0).coalesce(1)
-    write_output(empty, fmt, f"{table_path}/{partition_directory(CHUNK, chunk)}")
+    write_output(empty, fmt, f"{staging}/file")
+    for i, chunk in enumerate(chunks):
+        target = f"{table_path}/{partition_directory(CHUNK, chunk)}"
+        copy = f"{staging}/copy-{i}"
+        store.copy(f"{staging}/file", copy)
+        store.remove(target)
+        store.rename(copy, target)
+    store.remove(staging)
 
 
 def read_output(

@@ -20,7 +20,15 @@ class RunMetrics:
 
     def __init__(self, spark: SparkSession, path: str | None) -> None:
         self._spark, self._path = spark, path
-        self._rows: list[tuple[str, dict[str, str], float]] = []
+        self._rows: list[tuple[str, dict[str, str], float | None]] = []
+
+    @property
+    def kept(self) -> bool:
+        return self._path is not None
+
+    def record(self, name: str, **fields: object) -> None:
+        """Something measured that is not a span of time."""
+        self._rows.append((name, {k: str(v) for k, v in fields.items()}, None))
 
     @contextmanager
     def phase(self, name: str, **fields: object) -> Iterator[None]:
@@ -48,6 +56,16 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def chunk_metrics(metrics: DataFrame) -> DataFrame:
+    """One row per measured chunk: table_name, chunk, status, input_rows, output_rows, bad_rows, bytes, files."""
+    field = lambda name: F.col("fields")[name]
+    numbers = {"input_rows": "rows", "output_rows": "output_rows", "bad_rows": "bad_rows", "bytes": "bytes", "files": "files"}
+    return metrics.where("phase = 'chunk'").select(
+        field("table").alias("table_name"), field("chunk").alias("chunk"), field("status").alias("status"),
+        *[field(f).cast("bigint").alias(name) for name, f in numbers.items()],
+    )
+
+
 def metrics_by_phase(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("phase").agg(
         F.count(F.lit(1)).alias("n_runs"),

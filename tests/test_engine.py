@@ -13,8 +13,11 @@ from tablelift.functions.naming import table_path
 from tablelift.functions.types import ColumnSpec
 from tablelift.operators import ledger as led
 from tablelift.operators.partitions import MAXVALUE, HashPartitions, RangePartitions
+from tablelift.operators.project import failing_rows
 from tablelift.operators.validate import count_output, count_output_chunks
-from tablelift.sinks.files import read_output
+from tablelift.sinks import files
+from tablelift.sinks.files import read_output, write_output
+from tablelift.sinks.metrics import RunMetrics, chunk_metrics, metrics_by_phase, read_metrics
 
 COLUMNS = (ColumnSpec("v", "NUMBER", 10, 0), ColumnSpec("t", "VARCHAR2(20)"))
 
@@ -165,6 +168,122 @@ def test_one_bad_chunk_does_not_take_the_others(spark, tmp_path):
     assert sorted(r["v"] for r in back.collect()) == list(range(40))
 
 
+def many_chunks(spark, n, bad, seen=None, expression=None):
+    """A table of n chunks of 5 rows; ``seen`` counts how often a row is converted."""
+    value = F.when(F.col("id").isin(list(bad)), "x").otherwise(F.col("id").cast("string"))
+    df = spark.range(0, 5 * n, 1, 4).select(value.alias("v"), F.lit("t").alias("t"), F.floor(F.col("id") / 5).cast("int").alias("k"))
+    if seen is not None:
+        count = F.udf(lambda v: (seen.add(1), v)[1], "string").asNondeterministic()
+        df = df.withColumn("v", count("v"))
+    method = RangePartitions("k", [(f"P{i}", i + 1) for i in range(n)])
+    columns = (replace(COLUMNS[0], expression=expression), COLUMNS[1]) if expression else COLUMNS
+    return [f"partition-{i + 1:05d}-P{i}" for i in range(n)], engine.SourceTable(df, columns, method)
+
+
+def test_failures_are_found_in_one_pass(spark, tmp_path):
+    """200 chunks and one bad value: the failing write, one search, one write of all others; counts read the key alone."""
+    seen = spark.sparkContext.accumulator(0)
+    names, table = many_chunks(spark, 200, {503}, seen)
+    metrics = RunMetrics(spark, str(tmp_path / "m"))
+    results = engine.convert_plan(spark, plan_of(spark, *names), {("S", "T"): table}, str(tmp_path / "o"), metrics=metrics, raise_failures=False)
+    got = {r["chunk"]: r for r in results.collect()}
+    failed = [n for n, r in got.items() if r["status"] == "failed"]
+    assert failed == [names[100]] and len(got) == 200
+    assert got[names[100]]["error"] == "1 of 5 rows cannot be converted: v is no int64: x"
+    assert seen.value <= 3 * 1000
+    assert count_output(spark, "parquet", f"{tmp_path}/o/S/T") == 995
+    measured = {r["chunk"]: r for r in chunk_metrics(read_metrics(spark, str(tmp_path / "m"))).collect()}
+    assert len(measured) == 200 and measured[names[100]]["bad_rows"] == 1 and measured[names[100]]["bytes"] == 0
+    assert all(r["input_rows"] == 5 and r["bytes"] > 0 and r["files"] == 1 for n, r in measured.items() if n != names[100])
+    phases = {r["phase"]: r["n_runs"] for r in metrics_by_phase(read_metrics(spark, str(tmp_path / "m"))).collect()}
+    assert phases == {"convert_table": 1, "count_source": 1, "write_chunks": 1, "find_failures": 1, "read_back": 1, "chunk": 200} | {"write_chunks": 2}
+
+
+def test_failures_of_user_expressions_are_found_by_halves(spark, tmp_path):
+    names, table = many_chunks(spark, 16, {12}, expression="cast({column} as int) * 2")
+    results = engine.convert_plan(spark, plan_of(spark, *names), {("S", "T"): table}, str(tmp_path), raise_failures=False)
+    assert {r["chunk"] for r in results.where("status = 'failed'").collect()} == {names[2]}
+    assert sorted(r["v"] for r in read_output(spark, "parquet", f"{tmp_path}/S/T").collect()) == [2 * i for i in range(80) if i // 5 != 2]
+
+
+def test_every_conversion_has_a_twin_that_sees_its_failures(spark):
+    columns = (
+        ColumnSpec("w", "NUMBER", 60, 2), ColumnSpec("d", "NUMBER", 5, 2), ColumnSpec("i", "NUMBER", 9, 0), ColumnSpec("j", "JSON"),
+        ColumnSpec("g", "SDO_GEOMETRY"), ColumnSpec("b", "VARCHAR2(9)"), ColumnSpec("s", "DATE"),
+    )
+    kind = "w string, d string, i string, j string, g struct<gtype: int, elem_info: array<int>, ordinates: array<double>>, b binary, s string, chunk string"
+    good = ("1" * 40, "1.5", "7", "{}", (2001, [1, 1, 1], [1.0, 2.0]), bytearray(b"\xff"), "2024-01-01")
+    bad = ("x", "12345", "y", "{", (2001, [1, 2, 2], [1.0, 2.0]), None, "no date")
+    rows = [(*good, "good"), (*[None] * 7, "null")]
+    for i, value in enumerate(bad):
+        if value is not None:
+            rows.append((*good[:i], value, *good[i + 1 :], columns[i].name))
+    df = spark.createDataFrame(rows, kind)
+    found = {r["chunk"]: r for r in failing_rows(df, columns, "chunk").collect()}
+    assert set(found) == {"w", "d", "i", "j", "g", "s"}
+    assert all(r["bad_rows"] == 1 and r["reason"].startswith(f"{c} is no ") for c, r in found.items())
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_all_empty_chunks_in_one_job(spark, tmp_path, fmt):
+    names, table = many_chunks(spark, 300, set())
+    table = replace(table, df=table.df.where("k < 2"))
+    out = str(tmp_path / "o")
+    stale = spark.range(3).select(F.col("id").alias("v"), F.lit("t").alias("t"), F.lit(names[7]).alias("chunk"))
+    write_output(stale, fmt, f"{out}/S/T", chunked=True)
+    jobs = []
+    writer = engine.write_output
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(files, "write_output", lambda *a, **k: (jobs.append(1), writer(*a, **k)))
+        results = engine.convert_plan(spark, plan_of(spark, *names), {("S", "T"): table}, out, fmt)
+    assert len(jobs) == 1 and results.count() == 300
+    assert count_output(spark, fmt, f"{out}/S/T") == 10
+    assert not (tmp_path / "o" / "S" / "T" / "_empty").exists()
+    one = read_output(spark, fmt, f"{out}/S/T/chunk={names[7]}")
+    assert one.columns == ["v", "t"] and one.count() == 0
+
+
+def test_only_what_changed_is_done_again(spark, tmp_path):
+    """Three tables: one of its files is rewritten, one has no version, one stays; and a single file that feeds one chunk."""
+
+    def rows(low, n, part):
+        frame = spark.range(low, low + n).select(F.col("id").cast("string").alias("v"), F.lit("t").alias("t"), F.col("id").cast("int").alias("k"))
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/in/{part}")
+
+    for name in ("A", "B"):
+        for i in range(3):
+            rows(10 * i, 10, f"{name}/p{i}")
+    method = RangePartitions("k", [("A", 10), ("B", 20), ("M", MAXVALUE)])
+    read = lambda name: spark.read.parquet(*[f"{tmp_path}/in/{name}/p{i}" for i in range(3)])
+    plan_rows = [("S", t, "partition", None, c, None, None) for t in ("A", "B") for c in CHUNKS] + [("S", "C", "whole_table", None, "whole", None, None)]
+    plan = spark.createDataFrame(plan_rows, plan_of(spark, "x").schema)
+    ledger = led.ChunkLedger(spark, str(tmp_path / "l"))
+
+    def go(bound=10):
+        sources = {
+            ("S", "A"): engine.SourceTable(read("A").where("k >= 0"), COLUMNS, replace(method, parts=[("A", bound), *method.parts[1:]])),
+            ("S", "B"): engine.SourceTable(read("B"), COLUMNS, method),
+            ("S", "C"): engine.SourceTable(source(spark).df, COLUMNS),
+        }
+        before = {p: p.stat().st_mtime_ns for p in Path(tmp_path, "o").rglob("*.parquet")}
+        tree = engine.input_tree(plan, sources)
+        result = engine.convert_plan(spark, plan, sources, f"{tmp_path}/o", ledger=ledger, inputs=tree, replace=True)
+        after = {p: p.stat().st_mtime_ns for p in Path(tmp_path, "o").rglob("*.parquet")}
+        assert result.where("status = 'completed'").count() == 7
+        return {"/".join(p.parent.parts[-2:]) for p, t in after.items() if before.get(p) != t}
+
+    chunks = lambda t, *names: {f"{t}/chunk={c}" for c in names}
+    whole = chunks("C", "whole")
+    assert go() == chunks("A", *CHUNKS) | chunks("B", *CHUNKS) | whole
+    assert go() == whole  # no files, no version
+    rows(10, 9, "B/p1")
+    assert go() == chunks("B", CHUNKS[1]) | whole
+    rows(5, 3, "A/p2")  # rows of the last chunk go, rows of the first come
+    assert go() == chunks("A", CHUNKS[0], CHUNKS[2]) | whole
+    assert go(bound=9) == chunks("A", *CHUNKS) | whole
+    assert count_output(spark, "parquet", f"{tmp_path}/o/S/B") == 29
+
+
 def test_killed_between_batches_equals_a_clean_run(spark, tmp_path):
     ledger = led.ChunkLedger(spark, str(tmp_path / "l"))
     out = str(tmp_path / "o")
@@ -404,8 +523,7 @@ def test_convert_table_is_strict_by_itself(spark, tmp_path):
 def test_a_lost_ledger_is_restored_from_its_records(spark, tmp_path):
     out, plan, sources = str(tmp_path / "o"), plan_of(spark, *CHUNKS), {("S", "T"): source(spark)}
     engine.convert_plan(spark, plan, sources, out, ledger=led.ChunkLedger(spark, str(tmp_path / "l")))
-    for name in ("states", "commits"):
-        (tmp_path / "l" / name).rename(tmp_path / f"lost-{name}")
+    (tmp_path / "l" / "states").rename(tmp_path / "lost-states")
     ledger = led.ChunkLedger(spark, str(tmp_path / "l"))
     before = {p: p.stat().st_mtime_ns for p in Path(out).rglob("*.parquet")}
     engine.convert_plan(spark, plan, sources, out, ledger=ledger)

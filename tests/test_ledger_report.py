@@ -2,10 +2,13 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from tablelift.operators import ledger as led
 from tablelift.operators import report, validate
+from tablelift.sinks.batches import BatchLog
+from tablelift.sources.storage import Store
 
 STATES = (
     "table_name string, chunk_name string, status string, imported_rows bigint, "
@@ -36,10 +39,51 @@ def test_batch_without_its_mark_does_not_count(spark, tmp_path):
     ledger.append_rows([("A", "w", "completed", 5, 5, None)])
     lost = spark.createDataFrame([("A", "w", "failed", None, None, "x")], STATES)
     lost = lost.withColumns({"batch": F.lit(2**62), "seq": F.lit(0).cast("bigint")})
-    lost.write.mode("append").parquet(str(tmp_path / "l" / "states"))
+    lost.write.parquet(str(tmp_path / "l" / "states" / f"batch-{2**62:020d}"))
     assert latest(ledger) == {("A", "w"): ("completed", 5, None)}
 
 
+def test_many_batches_are_few_files(spark, tmp_path):
+    """The reads of many batches touch a bounded number of directories and files."""
+    ledger = led.ChunkLedger(spark, str(tmp_path / "l"), merge_after=8)
+    row = lambda i: (f"T{i % 7}", f"c{i % 11}", "completed", i, i, None, f"h{i}", "t")
+    touched = []
+    for i in range(30):
+        ledger.append_rows([row(5 * i + k) for k in range(5)], record=i % 3 == 0)
+        touched.append(len(ledger.states.paths()))
+    assert max(touched) <= 8 and len(ledger.records.paths()) <= 8
+    assert len(list(Path(tmp_path / "l" / "states").rglob("*.parquet"))) <= 40
+    wanted = {(f"T{i % 7}", f"c{i % 11}"): ("completed", i, None) for i in range(150)}
+    assert latest(ledger) == wanted
+    again = led.ChunkLedger(spark, str(tmp_path / "l"))
+    assert {r["input_hash"] for r in again.latest().collect()} == {f"h{v[1]}" for v in wanted.values()}
+
+
+@pytest.mark.parametrize("dies", ["_write", "mark", "_clean", "remove"])
+def test_a_crash_while_merging_loses_nothing(spark, tmp_path, monkeypatch, dies):
+    ledger = led.ChunkLedger(spark, str(tmp_path / "l"), merge_after=100)
+    for i in range(6):
+        ledger.append_rows([("T", f"c{i % 4}", "completed", i, i, None)])
+    before = latest(ledger)
+
+    class Dies(Exception):
+        pass
+
+    def fail(*_):
+        raise Dies
+
+    owner = BatchLog if dies.startswith("_") else Store
+    with monkeypatch.context() as m:
+        m.setattr(owner, dies, fail)
+        with pytest.raises(Dies):
+            ledger.states.compact()
+    again = led.ChunkLedger(spark, str(tmp_path / "l"))
+    assert latest(again) == before
+    again.append_rows([("T", "c9", "running", None, None, None)])
+    again.states.compact()
+    assert latest(again) == before | {("T", "c9"): ("running", None, None)} and len(again.states.paths()) == 1
+
+
 def test_old_column_name(spark):
     df = spark.createDataFrame(
         [("A", "w", "completed", 3, 4, None, 1)],
