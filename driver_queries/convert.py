@@ -23,7 +23,9 @@ from tablelift import engine
 from tablelift.functions.types import ColumnSpec
 from tablelift.operators import ledger as led
 from tablelift.operators import report, validate
+from tablelift.operators.partitions import ListPartitions, partition_catalog
 from tablelift.sinks.files import read_output, write_output
+from tablelift.sources.tables import list_files
 
 
 def _work(table_name: str, strategy: str, chunks: list[str]) -> engine.TableWork:
@@ -114,7 +116,7 @@ def _plan(spark: SparkSession) -> DataFrame:
         for i, part in enumerate(method.names(), 1):
             chunk = f"partition-{i:05d}-{part}"
             rows.append(("SALES", name, "partition", None, chunk, part, None))
-    rows.append(("SALES", "PARTS", "unsupported", "external table", None, None, None))
+    rows.append(("SALES", "FEED", "unsupported", "external table", None, None, None))
     rows.append(("SALES", "GONE", "whole_table", None, "whole", None, None))
     return spark.createDataFrame(
         rows,
@@ -139,44 +141,109 @@ _PLAN_SQL = f"""SELECT 'LINEITEM' AS table_name, {year_chunk_sql("l_shipdate")}
 
 @query(
     "convert_plan",
-    f"""SELECT table_name, 'successful' AS outcome, chunk, output_rows FROM ({_PLAN_SQL})
-    UNION ALL SELECT 'PARTS', 'skipped', NULL, NULL
-    UNION ALL SELECT 'GONE', 'skipped', NULL, NULL""",
+    f"""SELECT table_name, 'successful' AS outcome, chunk, output_rows, NULL AS bad FROM ({_PLAN_SQL})
+    UNION ALL SELECT 'FEED', 'skipped', NULL, NULL, NULL
+    UNION ALL SELECT 'GONE', 'skipped', NULL, NULL, NULL
+    UNION ALL SELECT 'PART', CASE WHEN p_type = 'SMALL' THEN 'failed' ELSE 'successful' END, chunk,
+      CASE WHEN p_type <> 'SMALL' THEN COUNT(*) END,
+      CASE WHEN p_type = 'SMALL' THEN COUNT(*) || ' of ' || COUNT(*) || ' rows cannot be converted' END
+    FROM (SELECT CASE p_type WHEN 'SMALL' THEN 'SMALL' WHEN 'PROMO' THEN 'PROMO' ELSE 'REST' END AS p_type,
+        CASE p_type WHEN 'SMALL' THEN 'partition-00001-SMALL' WHEN 'PROMO' THEN 'partition-00002-PROMO'
+          ELSE 'partition-00003-REST' END AS chunk FROM part) GROUP BY p_type, chunk""",
 )
 def convert_plan(spark: SparkSession, sf: str) -> DataFrame:
+    """All tables; of the parts, whose code is a brand where they are small, one chunk fails."""
+    kinds = ListPartitions("p_type", [("SMALL", ["SMALL"]), ("PROMO", ["PROMO"]), ("REST", None)])
+    chunks = [f"partition-{i:05d}-{n}" for i, n in enumerate(kinds.names(), 1)]
+    rows = [("SALES", "PART", "partition", None, c, n, None) for c, n in zip(chunks, kinds.names(), strict=True)]
     plan = _plan(spark)
+    plan = plan.unionByName(spark.createDataFrame(rows, plan.schema))
+    code = F.when(F.col("p_type") == "SMALL", F.col("p_brand")).otherwise(F.col("p_partkey").cast("string"))
+    parts = table(spark, sf, "part").withColumn("p_code", code)
+    columns = (ColumnSpec("p_code", "NUMBER", 10, 0), ColumnSpec("p_name", "VARCHAR2(60)"))
+    sources = {**_sources(spark, sf), ("SALES", "PART"): engine.SourceTable(parts, columns, kinds)}
     results = engine.convert_plan(
-        spark, plan, _sources(spark, sf), scratch(spark, sf, "convert_plan"), "parquet"
-    )
-    return report.report_entries(plan, results).select(
-        F.col("table").alias("table_name"), "outcome", "chunk", "output_rows"
+        spark, plan, sources, scratch(spark, sf, "convert_plan"), "parquet", raise_failures=False
     )
+    reasons = results.where("status = 'failed'").select("table", "chunk", F.substring_index("error", ":", 1).alias("bad"))
+    entries = report.report_entries(plan, results).join(reasons, ["table", "chunk"], "left")
+    return entries.select(F.col("table").alias("table_name"), "outcome", "chunk", "output_rows", "bad")
+
+
+_RUN = {
+    "ORDERS": ((ColumnSpec("o_orderkey", "NUMBER", 10, 0), ColumnSpec("o_totalprice", "NUMBER", 15, 2)), ORDERS_BY_YEAR),
+    "CUSTOMER": (_TABLES["CUSTOMER"][1], None),
+    "NATION": ((ColumnSpec("n_nationkey", "NUMBER", 4, 0), ColumnSpec("n_name", "VARCHAR2(25)")), None),
+    "REGION": (_TABLES["REGION"][1], None),
+}
+
+
+def _catalog(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Catalog frames of the tables of ``_RUN``."""
+    key = "owner string, table_name string"
+    columns = [
+        ("SALES", t, c.name, c.data_type, i, "Y", c.precision, c.scale, 40, "B", None, "NO")
+        for t, (specs, _) in _RUN.items() for i, c in enumerate(specs, 1)
+    ]
+    parts, subs = partition_catalog(table(spark, sf, "orders"), "SALES", "ORDERS", ORDERS_BY_YEAR)
+    none = spark.createDataFrame
+    return {
+        "tables": spark.createDataFrame([("SALES", t, 1, 40, "N") for t in _RUN], f"{key}, num_rows int, avg_row_len int, temporary string"),
+        "tab_cols": spark.createDataFrame(
+            columns,
+            f"{key}, column_name string, data_type string, column_id int, nullable string, data_precision int, data_scale int, "
+            "char_length int, char_used string, data_type_owner string, hidden_column string",
+        ),
+        "col_comments": none([], f"{key}, column_name string, comments string"),
+        "tab_comments": none([], f"{key}, comments string"),
+        "external_tables": none([], key),
+        "tab_partitions": parts,
+        "tab_subpartitions": subs,
+        "constraints": none([], f"{key}, constraint_name string, constraint_type string"),
+        "cons_columns": none([], "owner string, constraint_name string, column_name string, position int"),
+    }
 
 
-@query("resume_skip_completed", f"SELECT *, chunk = 'whole' AS redone FROM ({_PLAN_SQL})")
+@query(
+    "resume_skip_completed",
+    f"""SELECT 'ORDERS' AS table_name, {year_chunk_sql("o_orderdate")} AS chunk, COUNT(*) AS output_rows,
+      bool_or(year(o_orderdate) = 1997) AS redone FROM orders GROUP BY 2
+    UNION ALL SELECT 'CUSTOMER', 'whole', COUNT(*), true FROM customer
+    UNION ALL SELECT 'NATION', 'whole', COUNT(*), false FROM nation
+    UNION ALL SELECT 'REGION', 'whole', COUNT(*), true FROM region""",
+)
 def resume_skip_completed(spark: SparkSession, sf: str) -> DataFrame:
-    """A run is repeated after the ledger lost two chunks: only those are done again."""
+    """A run is repeated after the files of the customers and of one year of orders were written anew; regions have no files and
+    no version. Nothing else is done again."""
     output = _fresh(spark, sf, "resume")
-    ledger = led.ChunkLedger(spark, f"{output}/ledger")
-    plan, sources = _plan(spark), _sources(spark, sf)
-    engine.convert_plan(spark, plan, sources, f"{output}/data", ledger=ledger)
-    ledger.append_rows(
-        (f"SALES.{t}", "whole", led.RUNNING, None, None, None) for t in ("CUSTOMER", "REGION")
-    )
-    tables = F.concat_ws(".", "schema", "table").alias("table_name")
-    chunks = plan.where("strategy <> 'unsupported' AND table <> 'GONE'").select(
-        tables, F.col("chunk").alias("chunk_name")
-    )
-    redone = led.pending_chunks(chunks, ledger.latest()).withColumn("redone", F.lit(True))
-    redone = spark.createDataFrame(redone.collect(), redone.schema)
-    results = engine.convert_plan(spark, plan, sources, f"{output}/data", ledger=ledger)
-    done = results.select(tables, F.col("chunk").alias("chunk_name"), "output_rows")
-    return done.join(redone, ["table_name", "chunk_name"], "left").select(
-        F.split_part("table_name", F.lit("."), F.lit(2)).alias("table_name"),
-        F.col("chunk_name").alias("chunk"),
-        "output_rows",
-        F.coalesce("redone", F.lit(False)).alias("redone"),
-    )
+    orders = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
+    orders.write.partitionBy("y").parquet(f"{output}/in/orders")
+    for name in ("customer", "nation"):
+        table(spark, sf, name).write.parquet(f"{output}/in/{name}")
+    regions = [tuple(r) for r in table(spark, sf, "region").select("r_regionkey", "r_name").collect()]  # five rows
+
+    def run() -> DataFrame:
+        read = lambda name: spark.read.parquet(f"{output}/in/{name}")
+        frames = {
+            ("SALES", "ORDERS"): (read("orders"), ORDERS_BY_YEAR),
+            ("SALES", "CUSTOMER"): (read("customer"), None),
+            ("SALES", "NATION"): (read("nation"), None),
+            ("SALES", "REGION"): (spark.createDataFrame(regions, "r_regionkey int, r_name string"), None),
+        }
+        summary = engine.run(spark, _catalog(spark, sf), frames, f"{output}/work")
+        if summary["statistics"]["tables_failed"]:
+            raise RuntimeError("a table failed")
+        files = list_files(spark, f"{output}/work/data").where(F.col("path").endswith(".parquet"))
+        files = spark.createDataFrame(files.select("path").collect(), "path string")  # one row per chunk
+        return files.select("path", *[F.regexp_extract("path", r"/SALES/([^/]*)/chunk=([^/]*)/", i + 1).alias(c) for i, c in enumerate(("table_name", "chunk"))])
+
+    before = run()
+    table(spark, sf, "customer").write.mode("overwrite").parquet(f"{output}/in/customer")
+    table(spark, sf, "orders").where(F.year("o_orderdate") == 1997).write.mode("overwrite").parquet(f"{output}/in/orders/y=1997")
+    redone = run().join(before, "path", "left_anti").select("table_name", "chunk", F.lit(True).alias("redone")).distinct()
+    latest = led.ChunkLedger(spark, f"{output}/work/ledger").latest().where("output_rows > 0")
+    done = latest.select(F.split_part("table_name", F.lit("."), F.lit(2)).alias("table_name"), F.col("chunk_name").alias("chunk"), "output_rows")
+    return done.join(redone, ["table_name", "chunk"], "left").withColumn("redone", F.coalesce("redone", F.lit(False)))
 
 
 @query(

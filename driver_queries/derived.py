@@ -27,6 +27,11 @@ def _own(key: str) -> str:
     return f"{_owner(key)} AS owner, {_name(key)} AS table_name"
 
 
+def _moved(key: str) -> str:
+    """A key whose table has partitions: those of every third table belong to the next one, so that some tables have none."""
+    return f"({key} + CASE WHEN {_NUMBER % key} % 3 = 0 THEN 10 ELSE 0 END)"
+
+
 DERIVED: dict[str, str] = {
     "numbered": f"""
         SELECT {_own("o_orderkey")}, {_NUMBER % "o_orderkey"} AS t, o_orderkey AS k,
@@ -78,16 +83,18 @@ DERIVED: dict[str, str] = {
         SELECT {_owner("l_suppkey")} AS owner, {_name("l_suppkey")} AS segment_name,
                l_partkey * 1024 AS bytes
         FROM {{lineitem}}""",
-    "tab_partitions": """
-        SELECT owner AS table_owner, table_name, 'P' || k AS partition_name,
-               1 + k % 10 AS partition_position
-        FROM {numbered} WHERE o_orderpriority = '1-URGENT'""",
+    "tab_partitions": f"""
+        SELECT {_owner(_moved("o_orderkey"))} AS table_owner, {_name(_moved("o_orderkey"))} AS table_name,
+               'P' || o_orderkey AS partition_name,
+               1 + o_orderkey % 10 + {_moved("o_orderkey")} - o_orderkey AS partition_position
+        FROM {{orders}}""",
+    # The line items of odd orders divide the partition before their own, which stays whole.
     "tab_subpartitions": f"""
-        SELECT {_owner("l_orderkey")} AS table_owner, {_name("l_orderkey")} AS table_name,
-               'P' || l_orderkey AS partition_name, 'SP' || l_linenumber AS subpartition_name,
-               8 - l_linenumber AS subpartition_position
-        FROM {{lineitem}} WHERE l_returnflag = 'A' AND l_linestatus = 'O'
-        GROUP BY l_orderkey, l_linenumber""",
+        SELECT {_owner(_moved("l_orderkey"))} AS table_owner, {_name(_moved("l_orderkey"))} AS table_name,
+               'P' || (l_orderkey - l_orderkey % 2) AS partition_name,
+               'SP' || l_linenumber || CASE WHEN l_orderkey % 2 = 0 THEN '' ELSE 'B' END AS subpartition_name,
+               8 - l_linenumber + 8 * (l_orderkey % 2) AS subpartition_position
+        FROM {{lineitem}} GROUP BY l_orderkey, l_linenumber""",
     "constraints": """
         SELECT owner, table_name, 'K' || k AS constraint_name,
                CASE o_orderpriority WHEN '2-HIGH' THEN 'P' WHEN '3-MEDIUM' THEN 'U'

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from driver_queries.casts import TEXT_DECIMAL
 from driver_queries.registry import query, scratch, shown, table
+from tablelift import engine
 from tablelift.functions.naming import safe_segment_col
 from tablelift.functions.types import ColumnSpec
 from tablelift.operators.partitions import (
@@ -24,8 +25,8 @@ from tablelift.operators.partitions import (
 )
 from tablelift.operators.project import project_columns
 from tablelift.operators.validate import count_output, count_output_chunks, count_rows
-from tablelift.sinks.files import by_chunk, read_output, write_empty_chunk, write_output
-from tablelift.sinks.metrics import RunMetrics, metrics_by_phase, read_metrics
+from tablelift.sinks.files import by_chunk, read_output, write_empty_chunks, write_output
+from tablelift.sinks.metrics import RunMetrics, chunk_metrics, metrics_by_phase, read_metrics
 from tablelift.sources import tables as sources
 
 LINE_COLUMNS = (
@@ -158,52 +159,60 @@ def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "sink_empty",
-    """SELECT p.chunk, COUNT(o.o_orderkey) AS n_rows
-    FROM (SELECT 'partition-00001-P_OLD' AS chunk UNION ALL SELECT 'partition-00002-P_1995'
-          UNION ALL SELECT 'partition-00003-P_MAX') p
-    LEFT JOIN (SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1990-01-01'
-                 THEN 'partition-00001-P_OLD' WHEN o_orderdate < TIMESTAMP '1996-01-01'
-                 THEN 'partition-00002-P_1995' ELSE 'partition-00003-P_MAX' END AS chunk
-               FROM orders) o ON o.chunk = p.chunk
-    GROUP BY p.chunk""",
+    """SELECT printf('partition-%05d-P%d', i, i) AS chunk, COUNT(o_orderkey) AS n_rows, true AS readable
+    FROM (SELECT UNNEST(range(1, 501)) AS i) LEFT JOIN orders ON 1 + o_custkey % 7 = i GROUP BY i""",
 )
 def sink_empty(spark: SparkSession, sf: str) -> DataFrame:
-    """A chunk without rows is still a readable file with the columns."""
+    """Five hundred chunks, of which seven have rows: each is a readable file with the columns."""
     path = scratch(spark, sf, "sink_empty")
-    method = RangePartitions(
-        "o_orderdate",
-        [
-            ("P_OLD", datetime.datetime(1990, 1, 1)),
-            ("P_1995", datetime.datetime(1996, 1, 1)),
-            ("P_MAX", MAXVALUE),
-        ],
-    )
+    method = RangePartitions("part", [(f"P{i}", i + 1) for i in range(1, 501)])
     orders = table(spark, sf, "orders")
-    write_output(by_chunk(with_chunk(orders, method)), "parquet", path, chunked=True)
-    names = [f"partition-{i:05d}-{n}" for i, n in enumerate(method.names(), 1)]
+    parts = with_chunk(orders.withColumn("part", 1 + F.col("o_custkey") % 7), method).drop("part")
+    write_output(by_chunk(parts), "parquet", path, chunked=True)
     filled = {r["chunk"] for r in count_output_chunks(spark, "parquet", path).collect()}
-    for name in names:
-        if name not in filled:
-            write_empty_chunk(orders, "parquet", path, name)
-    counted = None
-    for name in names:
-        one = spark.read.parquet(f"{path}/chunk={name}")
-        if one.columns != orders.columns:
-            raise AssertionError(f"{name} does not hold the columns of the table")
-        one = one.agg(F.count("o_orderkey").alias("n_rows")).select(
-            F.lit(name).alias("chunk"), "n_rows"
-        )
-        counted = one if counted is None else counted.unionByName(one)
-    return counted
+    names = [f"partition-{i:05d}-{n}" for i, n in enumerate(method.names(), 1)]
+    write_empty_chunks(orders, "parquet", path, [n for n in names if n not in filled])
+    # Any file without the columns fails this read; a chunk without a file is missing from the list.
+    read = spark.read.schema(orders.schema).parquet(path).groupBy("chunk").agg(F.count("o_orderkey").alias("n_rows"))
+    files = sources.list_files(spark, path).where(F.col("path").endswith(".parquet"))
+    chunks = files.select(F.regexp_extract("path", r"/chunk=([^/]*)/", 1).alias("chunk")).distinct()
+    return chunks.join(read, "chunk", "left").select("chunk", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.lit(True).alias("readable"))
 
 
 @query(
     "sink_layout",
+    """SELECT 'SALES/MKT%20' || c_nationkey % 3 || '%2A/' || CASE c_mktsegment WHEN 'AUTOMOBILE'
+        THEN 'partition-00001-A%20uto' WHEN 'BUILDING' THEN 'partition-00002-B%2Fuild'
+        ELSE 'partition-00003-REST' END || '.parquet' AS path, COUNT(*) AS n_rows
+    FROM customer GROUP BY 1""",
+)
+def sink_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """The files that a conversion of three tables leaves under their final names, with their rows."""
+    output = f"{scratch(spark, sf, 'sink_layout')}-{datetime.datetime.now().timestamp():.6f}"
+    method = ListPartitions("c_mktsegment", [("A uto", ["AUTOMOBILE"]), ("B/uild", ["BUILDING"]), ("REST", None)])
+    columns = (ColumnSpec("c_custkey", "NUMBER", 10, 0), ColumnSpec("c_name", "VARCHAR2(40)"))
+    names = [f"MKT {i}*" for i in range(3)]
+    rows = [("SALES", t, "partition", None, f"partition-{i:05d}-{n}", n, None) for t in names for i, n in enumerate(method.names(), 1)]
+    plan = spark.createDataFrame(rows, "schema string, table string, strategy string, reason string, chunk string, partition_name string, subpartition_name string")
+    customers = table(spark, sf, "customer").repartition(1)
+    tables = {("SALES", t): engine.SourceTable(customers.where(F.col("c_nationkey") % 3 == i), columns, method, clustered=True) for i, t in enumerate(names)}
+    results = engine.convert_plan(spark, plan, tables, f"{output}/data", "parquet")
+    files = engine.publish_results(spark, results, f"{output}/data", f"{output}/files", "parquet")
+    if engine.publish_results(spark, results, f"{output}/data", f"{output}/files", "parquet").count() != files.count():
+        raise AssertionError("a second call changes the files")
+    read = spark.read.option("recursiveFileLookup", "true").parquet(f"{output}/files")
+    # file paths are URIs, whose percent signs stand for those of the names
+    name = F.replace(F.substring_index(F.col("_metadata.file_path"), "/files/", -1), F.lit("%25"), F.lit("%"))
+    return read.select(name.alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    "sink_layout_names",
     """SELECT owner, table_name, column_name, '/out/' || url_encode(owner) || '/'
       || url_encode(table_name || ' ' || data_type || '/*~+') || '/' || url_encode(column_name)
       AS path FROM {tab_cols}""",
 )
-def sink_layout(spark: SparkSession, sf: str) -> DataFrame:
+def sink_layout_names(spark: SparkSession, sf: str) -> DataFrame:
     odd = F.concat("table_name", F.lit(" "), "data_type", F.lit("/*~+"))
     return table(spark, sf, "tab_cols").select(
         "owner", "table_name", "column_name",
@@ -216,29 +225,27 @@ def sink_layout(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "run_metrics",
-    """SELECT phase, n_runs, n_rows, true AS timed FROM (
-      SELECT 'count_status' AS phase, COUNT(DISTINCT o_orderstatus) AS n_runs, COUNT(*) AS n_rows
-      FROM orders UNION ALL
-      SELECT 'count_all', 1, COUNT(*) FROM orders)""",
+    f"""SELECT 'count_source' AS what, 1 AS n, NULL::BIGINT AS input_rows, NULL::BIGINT AS output_rows, NULL::BOOLEAN AS measured
+    UNION ALL SELECT 'write_chunks', 1, NULL, NULL, NULL UNION ALL SELECT 'read_back', 1, NULL, NULL, NULL
+    UNION ALL SELECT 'convert_table', 1, NULL, NULL, NULL UNION ALL SELECT 'chunk', COUNT(DISTINCT {year_chunk_sql("o_orderdate")}), NULL, NULL, NULL FROM orders
+    UNION ALL SELECT {year_chunk_sql("o_orderdate")}, 1, COUNT(*), COUNT(*), true FROM orders GROUP BY 1""",
 )
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """Phases of a small run: one record per timed phase, rolled up by name."""
+    """A conversion with its metrics: how often each phase ran, and rows, bytes and files of every chunk."""
     path = f"{scratch(spark, sf, 'run_metrics')}-{datetime.datetime.now().timestamp():.6f}"
     orders = table(spark, sf, "orders")
-    metrics = RunMetrics(spark, path)
-    rows = {"count_status": 0}
-    with metrics.phase("count_all", table="orders"):
-        rows["count_all"] = orders.count()
-    for r in orders.select("o_orderstatus").distinct().collect():
-        with metrics.phase("count_status", status=r["o_orderstatus"]):
-            rows["count_status"] += orders.where(F.col("o_orderstatus") == r["o_orderstatus"]).count()
-    metrics.flush()
-    counted = spark.createDataFrame(list(rows.items()), "phase string, n_rows bigint")
-    return (
-        metrics_by_phase(read_metrics(spark, path))
-        .join(counted, "phase")
-        .select("phase", "n_runs", "n_rows", (F.col("total_ms") >= 0).alias("timed"))
-    )
+    metrics = RunMetrics(spark, f"{path}/metrics")
+    columns = (ColumnSpec("o_orderkey", "NUMBER", 10, 0), ColumnSpec("o_totalprice", "NUMBER", 15, 2))
+    present = [r[0] for r in with_chunk(orders, ORDERS_BY_YEAR).select("chunk").distinct().collect()]
+    rows = [("SALES", "ORDERS", "partition", None, c, None, None) for c in present]
+    plan = spark.createDataFrame(rows, "schema string, table string, strategy string, reason string, chunk string, partition_name string, subpartition_name string")
+    engine.convert_plan(spark, plan, {("SALES", "ORDERS"): engine.SourceTable(orders, columns, ORDERS_BY_YEAR)}, f"{path}/data", metrics=metrics)
+    kept = read_metrics(spark, f"{path}/metrics")
+    none = F.lit(None).cast("bigint")
+    phases = metrics_by_phase(kept).select(F.col("phase").alias("what"), F.col("n_runs").alias("n"), none.alias("input_rows"), none.alias("output_rows"), F.lit(None).cast("boolean").alias("measured"))
+    good = (F.col("bytes") > 0) & (F.col("files") > 0) & (F.col("bad_rows") == 0) & (F.col("status") == "completed")
+    chunks = chunk_metrics(kept).select(F.col("chunk").alias("what"), F.lit(1).cast("bigint").alias("n"), "input_rows", "output_rows", good.alias("measured"))
+    return phases.unionByName(chunks)
 
 
 @query(
@@ -297,15 +304,19 @@ def part_range(spark: SparkSession, sf: str) -> DataFrame:
     "part_list",
     """SELECT c_custkey, CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY')
         THEN 'partition-00001-P_TECH' WHEN c_mktsegment = 'BUILDING' THEN 'partition-00002-P_BUILD'
-        ELSE 'partition-00003-P_REST' END AS chunk FROM customer""",
+        ELSE 'partition-00003-P_REST' END AS chunk,
+      CASE WHEN c_custkey < 6000 THEN printf('partition-%05d-L%d', 1 + c_custkey % 2000, c_custkey % 2000)
+        ELSE 'partition-02001-REST' END AS list_chunk FROM customer""",
 )
 def part_list(spark: SparkSession, sf: str) -> DataFrame:
-    method = ListPartitions(
+    """A few lists, compared value by value, and two thousand, looked up in a table of their values."""
+    segments = ListPartitions(
         "c_mktsegment",
         [("P_TECH", ["AUTOMOBILE", "MACHINERY"]), ("P_BUILD", ["BUILDING"]), ("P_REST", None)],
     )
-    df = with_chunk(table(spark, sf, "customer"), method)
-    return df.select("c_custkey", "chunk")
+    keys = ListPartitions("c_custkey", [*[(f"L{i}", [i, i + 2000, i + 4000]) for i in range(2000)], ("REST", None)])
+    df = with_chunk(table(spark, sf, "customer"), keys).withColumnRenamed("chunk", "list_chunk")
+    return with_chunk(df, segments).select("c_custkey", "chunk", "list_chunk")
 
 
 @query(

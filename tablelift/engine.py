@@ -55,6 +55,7 @@ from tablelift.plans.chunks import (
     plan_chunks,
 )
 from tablelift.sinks.files import CHUNK, by_chunk, check_format, write_empty_chunks, write_output
+from tablelift.sinks.layout import publish_table
 from tablelift.sinks.metrics import RunMetrics
 from tablelift.sources.storage import Store
 
@@ -611,12 +612,14 @@ def run(
     *,
     table_overrides: DataFrame | None = None,
     column_overrides: DataFrame | None = None,
+    publish: bool = False,
 ) -> dict:
     """Inspect, plan, convert and report in one go; a second call resumes the first.
 
     ``frames``: the readable rows of each table and their partition method, or a ``SourceTable``
     (whose columns, if empty, come from the catalog). A chunk is done again if anything that decides
     it has changed: format, plan, override, bound, or a file with rows of it. What a former plan left is removed.
+    With ``publish`` the files of completed chunks end as ``files/<schema>/<table>/<chunk>.<format>``.
     Returns the report summary; manifest, plan, data, ledger, metrics and report lie in ``work_dir``.
     """
     started = datetime.now(UTC)
@@ -642,6 +645,8 @@ def run(
         replace=True,
         inputs=input_tree(plan_df, sources, fmt),
     )
+    if publish:
+        publish_results(spark, results, f"{work_dir}/data", f"{work_dir}/files", fmt, replace=True)
     return write_report(
         report_entries(plan_df, results),
         f"{work_dir}/report",
@@ -652,6 +657,22 @@ def run(
     )
 
 
+def publish_results(
+    spark: SparkSession, results: DataFrame, output: str, published: str, fmt: str, replace: bool = False
+) -> DataFrame:
+    """Give the completed chunks of a conversion their final names: (schema, table, chunk, path), one row per file."""
+    done = results.where(F.col("status") == COMPLETED).select("schema", "table", "chunk").orderBy("schema", "table", "chunk")
+    tables: dict[tuple[str, str], list[str]] = {}
+    for r in done.toLocalIterator():
+        tables.setdefault((r["schema"], r["table"]), []).append(r["chunk"])
+    rows = []
+    for key, chunks in tables.items():
+        target = table_path(published, *key)
+        named = publish_table(spark, table_path(output, *key), target, chunks, fmt, replace)
+        rows += [(*key, chunk, f"{target}/{name}") for chunk, names in named.items() for name in names]
+    return spark.createDataFrame(rows, "schema string, table string, chunk string, path string")
+
+
 def materialize_view(df: DataFrame, path: str) -> DataFrame:
     """A view delivered as a plain table: written once, then read like any source."""
     return _saved(df, path)

@@ -14,9 +14,13 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAXVALUE = None
 DEFAULT = None
+# Values of a list from which they are looked up in a table instead of compared one by one, and up to which that table is sent to
+# all tasks (some tens of bytes each).
+LOOKED_UP, SENT = 64, 200_000
 
 PARTITION = ("partition_position", "partition_name")
 SUBPARTITION = ("subpartition_position", "subpartition_name")
@@ -98,6 +102,17 @@ class ListPartitions(_Listed):
     def names(self) -> list[str]:
         return [name for name, _ in self.parts]
 
+    def lookup(self) -> dict[Any, int]:
+        """Number of the list of every value, from 0; of a value named twice the last counts."""
+        return {v: i for i, (_, values) in enumerate(self.parts) if values is not DEFAULT for v in values}
+
+    @property
+    def looked_up(self) -> bool:
+        return sum(len(values) for _, values in self.parts if values is not DEFAULT) > LOOKED_UP
+
+    def default(self) -> int | None:
+        return next((i for i, (_, values) in enumerate(self.parts) if values is DEFAULT), None)
+
     def pick(self, choices: Sequence[Any]) -> Column:
         # One flat case expression, so that no number of partitions nests; of a value named twice the last counts.
         value = F.col(self.column)
@@ -191,20 +206,56 @@ class CompositePartitions:
         return _nth(self.labels(), index)
 
 
+def _with_number(df: DataFrame, level: Partitions, name: str) -> tuple[DataFrame, Column]:
+    """``df``, with a column ``name`` if it needs one, and the number of a row's partition, from 0; NULL if no partition takes it."""
+    if not (isinstance(level, ListPartitions) and level.looked_up):
+        return df, level.position() - 1
+    known = level.lookup()
+    kind = df.schema[level.column].dataType
+    # Datetimes mean their own reading; all others are compared as their own type with the column.
+    moments = any(isinstance(v, datetime.datetime) for v in known)
+    rows = [(v.isoformat(sep=" ") if isinstance(v, datetime.datetime) else v, i) for v, i in known.items()]
+    if all(v is None for v in known):
+        values = df.sparkSession.createDataFrame(rows, T.StructType([T.StructField(f"{name}_value", kind), T.StructField(name, T.IntegerType())]))
+    else:
+        values = df.sparkSession.createDataFrame(rows, [f"{name}_value", name])
+        values = values.select((F.col(f"{name}_value").cast("timestamp_ntz") if moments else F.col(f"{name}_value")).alias(f"{name}_value"), F.col(name).cast("int").alias(name))
+    if len(known) <= SENT:
+        values = F.broadcast(values)
+    joined = df.join(values, F.col(level.column).eqNullSafe(F.col(f"{name}_value")), "left").drop(f"{name}_value")
+    return joined, F.coalesce(F.col(name), F.lit(level.default()))
+
+
 def assign(df: DataFrame, method: Partitions | CompositePartitions) -> DataFrame:
     """``df`` with the position and name of its partition (and subpartition)."""
     levels = [(method, PARTITION)]
     if isinstance(method, CompositePartitions):
         levels = [(method.partitions, PARTITION), (method.subpartitions, SUBPARTITION)]
-    added = {}
+    added, columns = {}, df.columns
     for level, (position, name) in levels:
-        added.update({position: level.position(), name: level.name()})
-    return df.withColumns(added)
+        if isinstance(level, ListPartitions) and level.looked_up:
+            df, number = _with_number(df, level, f"__{position}")
+            added.update({position: (number + 1).cast("int"), name: _nth(level.names(), number)})
+        else:
+            added.update({position: level.position(), name: level.name()})
+    return df.withColumns(added).select(*[F.col("`" + c.replace("`", "``") + "`") for c in [*columns, *added]])
 
 
 def with_chunk(df: DataFrame, method: Partitions | CompositePartitions) -> DataFrame:
-    """``df`` with the name of its ``chunk``; NULL for a row no partition takes."""
-    return df.withColumn("chunk", method.chunk())
+    """``df`` with the name of its ``chunk``; NULL for a row no partition takes.
+
+    The chunk is an expression of the row. Only lists of very many values are looked up, by a join with a table of the values.
+    """
+    levels = [method.partitions, method.subpartitions] if isinstance(method, CompositePartitions) else [method]
+    if not any(isinstance(level, ListPartitions) and level.looked_up for level in levels):
+        return df.withColumn("chunk", method.chunk())
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c != "chunk"]
+    df, number = _with_number(df, levels[0], "__partition")
+    labels = [chunk_label(i, n) for i, n in enumerate(levels[0].names(), 1)]
+    if len(levels) == 2:
+        df, sub = _with_number(df, levels[1], "__subpartition")
+        number, labels = number * len(levels[1].names()) + sub, method.labels()
+    return df.select(*columns, _nth(labels, number.cast("int")).alias("chunk"))
 
 
 def partition_catalog(

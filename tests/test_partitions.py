@@ -140,3 +140,29 @@ def test_two_thousand_listed_partitions(spark):
 def test_intervals_start_on_the_first_of_a_month():
     with pytest.raises(ValueError, match="first of a month"):
         IntervalPartitions("d", "P0", datetime.date(2024, 7, 15))
+
+
+def test_lists_of_many_values_are_looked_up(spark):
+    """As the comparison value by value, without a case per list; NULL, values named twice and no default too."""
+
+    from tablelift.operators import partitions as p
+
+    lists = [(f"L{i}", [i, i + 3000]) for i in range(2000)] + [("N", [None, 7])]
+    df = spark.range(0, 8000, 1, 3).select(F.when(F.col("id") != 11, F.col("id").cast("int")).alias("v"), (F.col("id") % 90).alias("w"), F.lit("old").alias("chunk"))
+    for parts in (lists, [*lists, ("REST", None)]):
+        made = with_chunk(df.drop("chunk"), ListPartitions("v", parts))
+        assert made.columns == ["v", "w", "chunk"]
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("CASE") <= 1
+        rest = "partition-02002-REST" if len(parts) > 2001 else None
+        where = {v: f"partition-{i + 1:05d}-{n}" for i, (n, values) in enumerate(parts) if values is not None for v in values}
+        got = made.collect()
+        assert len(got) == 8000 and all(r["chunk"] == where.get(r["v"], rest) for r in got)
+    days = [datetime.datetime(2024, 1, 1) + datetime.timedelta(days=i) for i in range(100)]
+    stamps = spark.createDataFrame([(d,) for d in days], "d timestamp_ntz")
+    named = p.assign(stamps, ListPartitions("d", [(f"D{i}", [d]) for i, d in enumerate(days)]))
+    assert [(r["partition_position"], r["partition_name"]) for r in named.orderBy("d").collect()] == [(i + 1, f"D{i}") for i in range(100)]
+    both = p.CompositePartitions(ListPartitions("w", [("A", range(70)), ("B", None)]), HashPartitions(["v"], ["H1", "H2"], integer_key=True))
+    for r in with_chunk(df, both).where("v < 400").collect():
+        first = (1, "A") if r["w"] < 70 else (2, "B")
+        assert r["chunk"] == f"subpartition-0000{first[0]}-0000{1 + r['v'] % 2}-{first[1]}-H{1 + r['v'] % 2}"
