@@ -35,6 +35,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def sent_if_small(df: DataFrame, row_bytes: int, limit: int = 16_000_000) -> DataFrame:
+    """``df`` marked to be sent to all tasks if its counted rows of ``row_bytes`` each stay below ``limit``; else as it is, and a
+    join with it deals both sides by their keys."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,33 +9,17 @@ from pyspark.sql import functions as F
 from tablelift.llm import common
 from tablelift.llm.fuse import FuseFilter
 
-SPACE = b" \t\n\x0b\x0c\r"
+SPACE = r"[\x20\x09-\x0D]+"
 BUCKET_KEYS = 100_000
 
 
-def _digested(batches):
-    """(doc_id, points, batch, digest of the normalised text)"""
-    import pyarrow as pa
-
-    for batch in batches:
-        digests = [hashlib.sha256(t.translate(None, SPACE)).digest() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(digests, pa.binary())], names=["doc_id", "points", "batch", "digest"])
-
+def normalised(text: str) -> Column:
+    """The text without white space of ASCII; null as empty."""
+    return F.regexp_replace(F.coalesce(F.col(text), F.lit("")), SPACE, "")
 
-def _normalised(batches):
-    """(digest, normalised text); copies inside a batch of rows, compared byte by byte, are passed on once."""
-    import pyarrow as pa
 
-    for batch in batches:
-        seen: dict[bytes, bytes] = {}
-        more = []
-        for text in batch.column(0).to_pylist():
-            norm = text.translate(None, SPACE)
-            digest = hashlib.sha256(norm).digest()
-            if seen.setdefault(digest, norm) != norm:
-                more.append((digest, norm))
-        rows = [*seen.items(), *more]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)], names=["digest", "norm"])
+def digest(norm: Column) -> Column:
+    return F.unhex(F.sha2(norm.cast("binary"), 256))
 
 
 def _keys(digests) -> np.ndarray:
@@ -67,55 +49,56 @@ def groups(docs: DataFrame, batch: Column, batches: int, text: str = "text") ->
     """One row per document with the group of equal texts it belongs to, as batches 0, 1, ... of documents arrive.
 
     ``batch`` numbers each row's batch, below ``batches``. The digests of a batch are grouped among themselves first; one per group
-    is screened by the filters of all earlier snapshots, and those that pass join the snapshots' exact buckets. What is new becomes
-    the next snapshot, with filters of its own; neither is changed afterwards. Groups of more than one document are then compared
-    byte by byte; should two texts share a digest, their group is split by text.
+    is screened by the filters of all earlier snapshots. What the filters do not know is new and goes straight into the next
+    snapshot, with filters of its own; the rest joins the exact buckets, where it either meets its group or is new as well. No
+    snapshot is changed afterwards, and no digest is looked for anywhere else: at the end the groups are the rows of all snapshots,
+    and only those that were met get the counts of the rows that met them. The texts of digests that more than one document has are
+    compared byte by byte; should two texts share a digest, their group is split by text.
 
     Columns: doc_id, keep_id (most code points in the original text, then smallest id), group_size, kept, text_sha256. Null texts
     count as empty and form one group. Repeated rows count in group_size, and all rows with the id that stays are kept; null ids
     come after all others. An empty table gives no row. Other columns are not read.
     """
-    bytes_of = common.text_bytes(text)
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(F.coalesce(text, F.lit(""))).alias("points"), batch.cast("int").alias("batch"), bytes_of.alias("text"))
-    rows = common.written(plain.mapInArrow(_digested, "doc_id long, points int, batch int, digest binary"), "digests")
+    points = F.char_length(F.coalesce(text, F.lit("")))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), points.alias("points"), batch.cast("int").alias("batch"), normalised(text).alias("norm"))
+    whole = whole.withColumn("digest", digest(F.col("norm")))
+    rows = common.written(whole.drop("norm"), "digests")
     buckets = max(1, -(-rows.count() // BUCKET_KEYS))
     best = F.struct("points", (-F.col("doc_id")).alias("minus"))
-    state, filters, snapshots = [], None, None
+    snapshots, met, filters = None, None, None
     for b in range(batches):
         own = rows.filter(F.col("batch") == b).groupBy("digest").agg(F.count("*").alias("n"), F.max(best).alias("best"))
         bucket = F.pmod(F.xxhash64("digest"), F.lit(buckets)).cast("int")
-        own = own.select("digest", "n", "best.points", "best.minus", bucket.alias("bucket"))
-        if filters is None:
-            new = common.written(own, "snapshot")
-            state.append(new)
-        else:
-            screened = own.withColumn("minus", F.col("minus").cast("string")).groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(
+        new = own.select("digest", "n", "best.points", "best.minus", bucket.alias("bucket"))
+        if filters is not None:
+            screened = new.withColumn("minus", F.col("minus").cast("string")).groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(
                 _screen, "digest binary, n long, points int, minus string, bucket int, screened boolean"
             )
             screened = common.written(screened.withColumn("minus", F.col("minus").cast("long")), "screened")
-            positives = screened.filter("screened").join(snapshots.select("digest").distinct().withColumn("held", F.lit(True)), "digest", "left")
-            old = positives.filter("held").drop("screened", "held")
-            new = common.written(screened.filter("not screened").unionByName(positives.filter("held is null").drop("held")).drop("screened"), "snapshot")
-            state += [old, new]
+            held = snapshots.select("digest", F.lit(True).alias("held"))
+            positives = screened.filter("screened").drop("screened").join(held, "digest", "left")
+            positives = common.written(positives, "positives")
+            hits = positives.filter("held").drop("held", "bucket")
+            met = hits if met is None else met.unionByName(hits)
+            new = screened.filter("not screened").drop("screened").unionByName(positives.filter("held is null").drop("held"))
+        new = common.written(new, "snapshot")
         snapshots = new if snapshots is None else snapshots.unionByName(new)
         if b + 1 < batches:
             made = new.select("bucket", "digest").groupBy("bucket").applyInPandas(_build, "bucket int, seed int, segment long, segments long, prints binary")
             made = common.written(made, "filters")
             filters = made if filters is None else filters.unionByName(made)
-    merged = state[0]
-    for more in state[1:]:
-        merged = merged.unionByName(more)
-    merged = merged.groupBy("digest").agg(F.sum("n").alias("n"), F.max(F.struct("points", "minus")).alias("best"))
+    merged = snapshots.select("digest", "n", F.struct("points", "minus").alias("best"))
+    if met is not None:
+        more = met.groupBy("digest").agg(F.sum("n").alias("more"), F.max(F.struct("points", "minus")).alias("other"))
+        more = common.sent_if_small(common.written(more, "met"), 100)
+        merged = merged.join(more, "digest", "left").select("digest", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"), F.greatest("best", "other").alias("best"))
     merged = common.written(merged.select("digest", "n", (-F.col("best.minus")).alias("keep_id")), "groups")
-    shared = merged.filter("n > 1").select("digest")
-    texts = docs.select(bytes_of.alias("text")).mapInArrow(_normalised, "digest binary, norm binary")
-    differ = texts.join(shared, "digest", "left_semi").groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
+    shared = common.sent_if_small(merged.filter("n > 1").select("digest"), 100)
+    differ = whole.select("digest", "norm").join(shared, "digest", "left_semi").groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high"))
     differ = common.written(differ.filter("low <> high").select("digest"), "collisions")
     out = rows.join(merged, "digest")
     if not differ.isEmpty():
-        norm = F.translate(F.coalesce(text, F.lit("")), SPACE.decode(), "")
-        whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.char_length(F.coalesce(text, F.lit(""))).alias("points"), norm.alias("norm"))
-        whole = whole.withColumn("digest", F.unhex(F.sha2(F.col("norm").cast("binary"), 256))).join(differ, "digest", "left_semi")
+        whole = whole.join(differ, "digest", "left_semi")
         split = whole.groupBy("digest", "norm").agg(F.count("*").alias("n"), F.max(best).alias("best"))
         split = whole.join(split.select("digest", "norm", "n", (-F.col("best.minus")).alias("keep_id")), ["digest", "norm"])
         out = out.join(differ, "digest", "left_anti").select("doc_id", "keep_id", "n", "digest").unionByName(split.select("doc_id", "keep_id", "n", "digest"))
