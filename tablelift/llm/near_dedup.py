@@ -26,7 +26,7 @@ class Join:
     width: int = 2
     percent: int = 80
     coordinates: int = 64
-    trees: int = 12
+    trees: int = 16
     second: float = 0.25  # chance that a node branches on a second coordinate: 0.8 * 1.25 = 1
     small: int = 128  # nodes up to this size are compared exhaustively
     slack: float = 4.0  # standard deviations below the threshold at which minwise values still propose a pair
@@ -86,21 +86,21 @@ def minwise(hashes: np.ndarray, by: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, how: Join, text: str = "text") -> DataFrame:
-    """(doc_id, n, whole, minima): size of a document's set, 128-bit hash of the whole set, minwise values; null id rows left out."""
+    """(doc_id, mark, n, whole, minima): a hash of the text, size of its set, 128-bit hash of the whole set, minwise values."""
     import pyarrow as pa
 
     def run(batches):
         by = factors(how.coordinates)
         for batch in batches:
             rows = []
-            for t in batch.column(1).to_pylist():
+            for t in batch.column(2).to_pylist():
                 s = shingles(t, how.width)
                 rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), minwise(s, by).tobytes() if len(s) else b""))
             columns = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.binary(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n", "whole", "minima"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], names=["doc_id", "mark", "n", "whole", "minima"])
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_bytes(text).alias("text"))
-    return plain.mapInArrow(run, "doc_id long, n long, whole binary, minima binary")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), common.text_bytes(text).alias("text"))
+    return plain.mapInArrow(run, "doc_id long, mark long, n long, whole binary, minima binary")
 
 
 def children(path: np.ndarray, minima: np.ndarray, how: Join) -> tuple[np.ndarray, np.ndarray]:
@@ -302,14 +302,16 @@ def near_groups(docs: DataFrame, how: Join, text: str = "text") -> DataFrame:
 
     Documents with the same set of shingles are one class from the start; only classes go through the trees. The proposed components
     are read again and confirmed on the full sets, in blocks of a bounded number of shingles where a component is large. Documents
-    without words or text have an empty set and link with nothing. Repeated rows of an id share its component; rows with a null id
-    are left out of it and come back with a null component, kept. An empty table gives no row.
+    without words or text have an empty set and link with nothing. A class is known by a hash of its set, so an id on rows with
+    different texts has a class for each of them. Rows with a null id are left out and come back with a null component, kept. An
+    empty table gives no row.
     """
     import pyarrow as pa
 
     rows = common.written(sketches(docs, how, text), "sketches")
     sets = rows.filter("n > 0 and doc_id is not null")
-    classes = common.written(sets.groupBy("whole", "n").agg(F.min("doc_id").alias("rep"), F.min("minima").alias("minima")), "classes")
+    classes = sets.groupBy("whole", "n").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.min("minima").alias("minima"))
+    classes = common.written(classes.select("whole", "n", F.xxhash64("whole", "n").alias("rep"), "first.doc_id", "first.mark", "minima"), "classes")
     candidates = common.components(common.written(proposals(classes, how), "proposed"))
     members = common.written(candidates.join(classes.select("rep", "n"), F.col("node") == F.col("rep")).select("rep", "component", "n"), "members")
     volume = members.groupBy("component").agg(F.sum("n").alias("volume"))
@@ -331,11 +333,15 @@ def near_groups(docs: DataFrame, how: Join, text: str = "text") -> DataFrame:
                     found += confirmed([*own], [shingles(t, how.width) for t in own.values()], how.percent)
             yield _edges([x for x, _ in found], [y for _, y in found])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), common.text_bytes(text).alias("text"))
-    full = spread.join(texts, "rep").select("key", "rep", "text").repartition("key").sortWithinPartitions("key")
+    wanted = spread.join(classes.select("rep", "doc_id", "mark"), "rep")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), common.text_bytes(text).alias("text"))
+    full = wanted.join(texts, ["doc_id", "mark"]).select("key", "rep", "text").repartition("key").sortWithinPartitions("key")
     linked = common.components(common.written(full.mapInArrow(verified, "u long, v long"), "links"))
-    named = classes.select("whole", "n", "rep").join(linked, F.col("rep") == F.col("node"), "left")
-    named = common.written(named.select("whole", "n", F.coalesce("component", "rep").alias("component")), "named")
+    joined = linked.join(classes.select("rep", "doc_id"), F.col("node") == F.col("rep"))
+    least = joined.groupBy("component").agg(F.min("doc_id").alias("least"))
+    linked = common.written(joined.join(least, "component").select("node", F.col("least").alias("component")), "least")
+    named = classes.select("whole", "n", "rep", "doc_id").join(linked, F.col("rep") == F.col("node"), "left")
+    named = common.written(named.select("whole", "n", F.coalesce("component", "doc_id").alias("component")), "named")
     out = rows.select("doc_id", "n", "whole").join(named, ["whole", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
