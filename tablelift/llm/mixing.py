@@ -41,10 +41,11 @@ def balance(cells: DataFrame, wanted: DataFrame, most: float, tolerance: float =
 
     ``cells(source, prior, size)`` holds the words of a source at each prior rate. Among all rates, those nearest to the priors in
     entropy per word that meet the targets are ``prior * exp(tilt)``, at most ``most``. Each Newton round is one aggregate over the
-    cells and one division per source; only the largest relative error comes to the driver.
+    cells and one division per source; only the largest relative error comes to the driver. Targets that no rates meet, or not in
+    ``rounds`` rounds, are an error.
     """
     state = wanted.withColumn("tilt", F.lit(0.0))
-    for _ in range(rounds):
+    for turn in range(rounds):
         raw = F.col("prior") * F.exp("tilt")
         rate = F.least(raw, F.lit(float(most)))
         sums = (
@@ -55,19 +56,26 @@ def balance(cells: DataFrame, wanted: DataFrame, most: float, tolerance: float =
         )
         state = state.join(sums, F.col("own").eqNullSafe(F.col("source"))).drop("own")
         gap = F.col("target") - F.col("mass")
-        step = F.when(F.col("target") <= 0, 0.0).when(F.col("slope") > 0, F.greatest(F.least(gap / F.col("slope"), F.lit(1.0)), F.lit(-1.0))).when(gap < 0, -0.5).otherwise(0.0)
+        # Newton's step for exp(tilt): the mass is concave in it, so that a step from below never goes too far
+        newton = F.log(F.greatest(1 + gap / F.col("slope"), F.lit(0.1)))
+        nothing = F.when((F.col("mass") > 0) & (F.col("tilt") == 0), -50.0).otherwise(0.0)
+        step = F.when(F.col("target") <= 0, nothing).when(F.col("slope") > 0, newton).when(gap < 0, -0.5).otherwise(0.0)
         done = F.abs(gap) <= tolerance * F.col("target")
-        state = state.withColumn("error", F.when(done | (step == 0), 0.0).otherwise(F.abs(gap) / F.col("target")))
+        state = state.withColumn("error", F.when(done | (F.col("target") <= 0), 0.0).otherwise(F.abs(gap) / F.when(F.col("target") > 0, F.col("target"))))
         state = common.written(state.withColumn("tilt", F.col("tilt") + F.when(done, 0.0).otherwise(step)).drop("mass", "slope"), "newton")
         if not state.filter("error > 0").limit(1).count():
             break
-        state = state.drop("error")
+        if turn + 1 < rounds:
+            state = state.drop("error")
+    else:
+        worst = state.agg(F.max("error")).first()[0]
+        raise RuntimeError(f"the rates do not meet the targets after {rounds} rounds: relative error {worst}")
     return state.select("source", "source_size", "target", "tilt")
 
 
-def _expected(prior: Column, most: float) -> Column:
+def _expected(prior: Column, most: float, tilt: Column) -> Column:
     """Rate of a document; a hair below a whole number counts as that number."""
-    rate = F.least(prior * F.exp("tilt"), F.lit(float(most)))
+    rate = F.least(prior * F.exp(tilt), F.lit(float(most)))
     return F.when(F.abs(rate - F.round(rate)) < 1e-6, F.round(rate)).otherwise(rate)
 
 
@@ -88,7 +96,7 @@ def plan(rows: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: flo
     cells = common.written(rows.groupBy("source", "prior").agg(F.sum("size").alias("size")), "cells")
     sizes = cells.groupBy("source").agg(F.sum("size").alias("source_size"))
     tilted = balance(cells, common.written(targets(sizes, weights, share, most), "targets"), most)
-    rate = _expected(F.col("prior"), most)
+    rate = _expected(F.col("prior"), most, F.col("tilt"))
     placed = rows.withColumnRenamed("source", "own").join(tilted, F.col("own").eqNullSafe(F.col("source"))).drop("own")
     placed = placed.select("source", "size", F.floor(rate).alias("sure"), _place(rate, F.col("draw")).alias("place"), "target")
     coarse = F.floor(F.col("place") / BINS)
@@ -118,20 +126,22 @@ def mix(docs: DataFrame, weights=(3.0, 1.0, 2.0), share: float = 1.5, most: floa
     ``prior`` is the rate that a document has before balancing, 1 by default, at most ``most``. The order in which documents of a
     source get one more copy is drawn from a hash of id, source and text, so that reruns agree; repeated rows share one place and are
     taken together. Null texts have size 0; null sources are one source, the last. An empty table gives no row. Columns of the
-    added names are replaced, all others pass.
+    added names are replaced, in whatever case, all others pass.
     """
     added = ("size", "source_size", "target", "rate", "copies")
     prior = F.lit(1.0) if prior is None else prior.cast("double")
-    # names of a document's own columns cannot clash with those of the plan
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in added]
+    # the plan's own columns get names that no document column has, in any case
+    name = {n: common.free(docs, f"mix_{n}") for n in ("prior", "draw", "source", "tilt", "last")}
     draw = F.pmod(F.xxhash64("doc_id", "source", text), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    whole = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added], words(text).alias("size"), prior.alias("_prior"), draw.alias("_draw"))
-    rows = common.written(whole.select("source", "size", F.col("_prior").alias("prior"), F.col("_draw").alias("draw")), "sizes")
-    chosen = plan(rows, weights, share, most).select(F.col("source").alias("_own"), "source_size", "target", F.col("tilt"), F.col("last").alias("_last"))
-    kept = whole.columns[:-2]
-    out = whole.join(chosen, F.col("source").eqNullSafe(F.col("_own")))
-    rate = _expected(F.col("_prior"), most)
-    more = F.coalesce(_place(rate, F.col("_draw")) <= F.col("_last"), F.lit(False)).cast("long")
-    return out.select(*[F.col(f"`{c}`") for c in kept], "source_size", "target", rate.alias("rate"), (F.floor(rate) + more).alias("copies"))
+    whole = docs.select(*kept, words(text).alias("size"), prior.alias(name["prior"]), draw.alias(name["draw"]))
+    rows = common.written(whole.select("source", "size", F.col(name["prior"]).alias("prior"), F.col(name["draw"]).alias("draw")), "sizes")
+    chosen = plan(rows, weights, share, most)
+    chosen = chosen.select(F.col("source").alias(name["source"]), "source_size", "target", F.col("tilt").alias(name["tilt"]), F.col("last").alias(name["last"]))
+    out = whole.join(chosen, F.col("source").eqNullSafe(F.col(name["source"])))
+    rate = _expected(F.col(name["prior"]), most, F.col(name["tilt"]))
+    more = F.coalesce(_place(rate, F.col(name["draw"])) <= F.col(name["last"]), F.lit(False)).cast("long")
+    return out.select(*kept, "size", "source_size", "target", rate.alias("rate"), (F.floor(rate) + more).alias("copies"))
 
 
 def op6_source_mixing(spark, sf_dir: str) -> DataFrame:
