@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,16 @@ class Caps:
     block_rows: int = 2_000
 
     def threshold(self, dim: int) -> float:
-        return self.deviations / dim**0.5
+        """The inner product that a random unit vector exceeds as often as a normal variable does ``deviations``: caps hold the same
+        share of all vectors in any dimension. In few dimensions a cap of that share is narrower than linked pairs are apart; there
+        it reaches from the middle of a pair at the least cosine beyond both of its ends."""
+        if dim >= 32:  # as good as normal
+            return self.deviations / dim**0.5
+        share = 0.5 * math.erfc(self.deviations / 2**0.5)
+        angle = np.linspace(0, np.pi, 100_001)
+        density = np.sin(angle) ** max(dim - 2, 0)
+        wanted = float(np.cos(angle[np.searchsorted(np.cumsum(density), share * density.sum())]))
+        return min(wanted, 0.92 * ((1 + self.cosine) / 2) ** 0.5)
 
     def codes(self, dim: int) -> list[tuple[np.ndarray, list[np.ndarray]]]:
         """For every table a rotation and, per block, unit vectors scaled so that whole directions have length 1."""
@@ -34,8 +44,9 @@ class Caps:
         out = []
         for _ in range(self.tables):
             turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-            words = [rng.standard_normal((self.words, len(b))) for b in np.array_split(np.arange(dim), self.parts)]
-            out.append((turn, [w / np.linalg.norm(w, axis=1, keepdims=True) / self.parts**0.5 for w in words]))
+            words = [rng.standard_normal((self.words, len(b))) for b in np.array_split(np.arange(dim), self.parts) if len(b)]
+            words = [w / np.linalg.norm(w, axis=1, keepdims=True) / len(words) ** 0.5 for w in words]
+            out.append((turn, [np.unique(w, axis=0) if w.shape[1] == 1 else w for w in words]))  # one number has two signs
         return out
 
 

@@ -83,11 +83,11 @@ def identify(docs: DataFrame, languages: Languages, text: str = "text") -> DataF
 
     Null texts and texts without a letter are ``und`` with score 0 and not accepted, as is every text if nothing was learned. Other
     texts get the language with the smallest encoding, the first by name in a tie; they are accepted if the next one is larger by
-    more than ``margin`` of the size. Input columns of the three names are replaced; all others, repeated rows and null ids pass.
+    more than ``margin`` of the size. Input columns of the three names, in whatever case, are replaced; all others, repeated rows and null ids pass.
     """
     import pyarrow as pa
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "accepted")]
+    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "accepted")]
     at = kept.index(text)
 
     def run(batches):

@@ -319,11 +319,12 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
 
 
 def cleaned(docs: DataFrame, removed: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the removed lines; columns as they are."""
-    left = F.filter(F.split(F.col(text), "\n", -1), lambda line, i: ~F.coalesce(F.array_contains("removed", i), F.lit(False)))
-    marks = removed.filter("n_removed > 0").select(F.col("doc_id").alias("_own"), "removed").dropDuplicates(["_own"])
-    out = docs.join(marks, F.col("doc_id") == F.col("_own"), "left")
-    shorter = F.when(F.col("removed").isNotNull(), F.array_join(left, "\n")).otherwise(F.col(text)).alias(text)
+    """``docs`` without the removed lines; columns as they are, whatever their names."""
+    own, gone = common.free(docs, "line_doc"), common.free(docs, "line_gone")
+    left = F.filter(F.split(F.col(text), "\n", -1), lambda line, i: ~F.coalesce(F.array_contains(gone, i), F.lit(False)))
+    marks = removed.filter("n_removed > 0").select(F.col("doc_id").alias(own), F.col("removed").alias(gone)).dropDuplicates([own])
+    out = docs.join(marks, F.col("doc_id") == F.col(own), "left")
+    shorter = F.when(F.col(gone).isNotNull(), F.array_join(left, "\n")).otherwise(F.col(text)).alias(text)
     return out.select(*[shorter if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -244,18 +244,21 @@ def fit(texts: list[bytes], labels: list[int], rounds: int = 40, odds: float = 3
     return model
 
 
-def learn(docs: DataFrame, labels: DataFrame, train: Column, per_label: int = 800, max_chars: int = 6000, text: str = "text") -> Field:
-    """Train on a bounded sample: of toxic and of clean documents about ``per_label`` each, chosen by a hash of their text, of at most
-    ``max_chars`` characters. Rows without id, text or label are left out; an id labelled more than once counts as toxic if any
-    row says so."""
+def learn(docs: DataFrame, labels: DataFrame, train: Column, per_label: int = 800, max_chars: int = 40_000, text: str = "text") -> Field:
+    """Train on a bounded sample: of toxic and of clean documents of every length about ``per_label`` each, chosen by a hash of their
+    text; of a longer one, a window of ``max_chars`` characters at a hashed place. Rows without id, text or label are left out; an
+    id labelled more than once counts as toxic if any row says so. Without a toxic or a clean document the field is untrained: every
+    text then gets the same low score."""
     named = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = docs.select("doc_id", F.col(text).alias("text")).filter(train & F.col("text").isNotNull())
-    ids = rows.filter(F.length("text").between(1, max_chars)).select("doc_id", F.pmod(F.xxhash64("text"), F.lit(1 << 30)).alias("draw")).join(named, "doc_id")
+    ids = rows.filter(F.length("text") > 0).select("doc_id", F.pmod(F.xxhash64("text"), F.lit(1 << 30)).alias("draw")).join(named, "doc_id")
     ids = common.written(ids.dropDuplicates(["draw", "toxic"]), "labelled")
     counts = {r[0]: r[1] for r in ids.groupBy((F.col("toxic") == 1).alias("toxic")).count().collect()}
     limit = F.when(F.col("toxic") == 1, min(1.0, per_label / max(1, counts.get(True, 0)))).otherwise(min(1.0, per_label / max(1, counts.get(False, 0))))
     chosen = ids.filter(F.col("draw") < limit * F.lit(1 << 30))
-    sample = sorted((r["text"], int(r["toxic"] == 1)) for r in rows.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id").collect())
+    start = F.pmod(F.xxhash64("text", F.lit("window")), F.greatest(F.length("text") - max_chars + 1, F.lit(1)))
+    windows = rows.join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id").select(F.substr("text", (start + 1).cast("int"), F.lit(max_chars)).alias("text"), "toxic")
+    sample = sorted((r["text"], int(r["toxic"] == 1)) for r in windows.collect())
     return fit([t.encode() for t, _ in sample], [y for _, y in sample])
 
 
@@ -263,13 +266,13 @@ def tag(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
     """``docs`` with score (0 to 1), spans (start and end, in characters, of tokens more likely offending than not) and offending (the
     expected number of such tokens), over whole texts of any length.
 
-    Null and empty texts have no tokens, no spans and the score of a document without offence. Input columns of the added names are
-    replaced; all others, repeated rows and null ids pass. An empty table gives no row.
+    Null and empty texts have no tokens, no spans and the score of a document without offence. Input columns of the added names, in whatever
+    case, are replaced; all others, repeated rows and null ids pass. An empty table gives no row.
     """
     import pyarrow as pa
 
     added = T.StructType.fromDDL("score double, spans array<struct<start: int, end: int>>, offending double")
-    kept = [c for c in docs.columns if c not in added.names]
+    kept = [c for c in docs.columns if c.lower() not in added.names]
     at = kept.index(text)
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
