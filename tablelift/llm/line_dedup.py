@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tablelift.llm import common
 from tablelift.llm.common import mix64, parts
-from tablelift.llm.near_dedup import _words, by_key
+from tablelift.llm.near_dedup import by_key
 
 
 @dataclass(frozen=True)
@@ -22,7 +22,9 @@ class Lines:
     percent: int = 80
     frequent: int = 200_000  # words whose exact rank is sent to all tasks; all others are rarer and come before them, by hash
     at_once: int = 16  # candidates of a line under one word that are verified in the first round; a second round has the rest
-    block_rows: int = 4_000
+    block_rows: int = 20_000
+    held_bits: int = 26  # bits, 8 MB, that tell words of one line from others
+    sent_lines: int = 500_000  # up to so many lines to verify, their places are sent to all tasks; beyond it texts are joined with them
 
     def overlap(self, n, m):
         """Least number of common words of lines with n and m words: the smallest o with 100 * o >= percent * (n + m - o)."""
@@ -33,30 +35,61 @@ class Lines:
         return n - -(-self.percent * n // 100) + 1
 
 
+def _sorted(*keys: np.ndarray) -> np.ndarray:
+    """Order by keys that are not negative, the first one first; no two rows are alike. Packed into one number where that fits."""
+    bits = [int(k.max()).bit_length() if len(k) else 0 for k in keys]
+    if sum(bits) > 63:
+        return np.lexsort(keys[::-1])
+    packed = np.zeros(len(keys[0]), np.int64)
+    for k, b in zip(keys, bits, strict=True):
+        packed = (packed << b) | k
+    return np.argsort(packed)
+
+
+_byte = mix64(np.arange(1, 257))  # a random number for every byte: letters A-Z have those of a-z, white space has none
+_byte[65:91] = _byte[97:123]
+_white = np.zeros(256, bool)
+_white[[32, *range(9, 14)]] = True
+_byte[_white] = 0
+
+
 class Sets:
-    """The word sets of all lines of some texts, as flat arrays: ``words`` holds the distinct words of line after line, by hash."""
+    """The word sets of all lines of some texts, as flat arrays: ``words`` holds the distinct words of line after line, by hash.
+
+    A word's hash is the sum of its bytes' numbers, each times a number of its place in the word, so all words of the texts are hashed
+    at once.
+    """
 
     def __init__(self, texts: list[bytes]) -> None:
-        counts, flat = [], []
-        self.lines = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            parts = text.lower().split(b"\n")
-            self.lines[i] = len(parts)
-            for line in parts:
-                words = line.split()
-                counts.append(len(words))
-                flat += words
-        h = np.fromiter(map(_words.__getitem__, flat), np.uint64, len(flat))
-        of = np.repeat(np.arange(len(counts)), counts)
-        order = np.lexsort((h, of))
+        self.lines = np.fromiter((t.count(b"\n") + 1 for t in texts), np.int64, len(texts))
+        count = int(self.lines.sum())
+        flat = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        white = _white[flat]
+        first = np.concatenate([[True], white[:-1]]) & ~white
+        begins = np.flatnonzero(first)
+        if len(begins):
+            low = begins[0]
+            place = np.arange(low, len(flat)) - np.repeat(begins, np.diff(np.append(begins, len(flat))))
+            place[white[low:]] = 0
+            by_place = mix64(np.arange(1 << 20, (1 << 20) + int(place.max()) + 1)) | np.uint64(1)
+            h = mix64(np.add.reduceat(_byte[flat[low:]] * by_place[place], begins - low))
+        else:
+            h = np.empty(0, np.uint64)
+        of = np.cumsum(flat == 10)[begins]
+        shift = np.uint64(max(1, int(count).bit_length()))
+        packed = (of.astype(np.uint64) << (np.uint64(64) - shift)) | (h >> shift)  # line, then the upper bits of the hash
+        order = np.argsort(packed)
+        packed = packed[order]
+        if np.any((packed[1:] == packed[:-1]) & (h[order][1:] != h[order][:-1])):  # hashes alike in these bits
+            order = np.lexsort((h, of))
         h, of = h[order], of[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
         self.words, self.of = h[new], of[new]
-        self.size = np.bincount(self.of, minlength=len(counts))
+        self.size = np.bincount(self.of, minlength=count)
         self.start = np.cumsum(self.size) - self.size
         self.doc = np.repeat(np.arange(len(texts)), self.lines)
-        self.number = np.arange(len(counts)) - np.repeat(np.cumsum(self.lines) - self.lines, self.lines)
+        self.number = np.arange(count) - np.repeat(np.cumsum(self.lines) - self.lines, self.lines)
         self.full = np.flatnonzero(self.size)  # lines with words
 
     def reduce(self, how: np.ufunc, values: np.ndarray) -> np.ndarray:
@@ -119,29 +152,85 @@ def _counted(batches):
         yield out()
 
 
-def _listed(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, how: Lines, text: str) -> DataFrame:
+class Ranks:
+    """The order of words from rare to frequent, in bounded memory: words of one line, all others by hash, the most frequent by count.
+
+    ``frequent`` has the hashes of the most frequent words in ascending order, ``rank`` and ``lines`` their place in the order (from 2) and their
+    counts; no other word has more than ``rest`` lines. ``held`` has a bit for every word of two lines or more, at the upper bits of its hash;
+    a word of one line may share it and is then taken for one of more, which costs a row and changes no result.
+    """
+
+    def __init__(self, frequent: np.ndarray, rank: np.ndarray, lines: np.ndarray, rest: int, held: np.ndarray) -> None:
+        self.frequent, self.rank, self.lines, self.rest, self.held = frequent, rank, lines, rest, held
+        self.first = np.searchsorted(frequent >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64)).astype(np.int32)
+        self.longest = int(np.diff(self.first).max()) if len(frequent) else 0
+        self.shift = np.uint64(64 - (8 * len(held)).bit_length() + 1)
+
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(order, most lines that may hold the word); order 0 and one line for a word that no other line has."""
+        bit = words >> self.shift
+        more = (self.held[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        order, lines = more.astype(np.int64), np.where(more, self.rest, 1)
+        bucket = (words >> np.uint64(44)).astype(np.int64)
+        at, end = self.first[bucket], self.first[bucket + 1]
+        left = np.flatnonzero(at < end)
+        for step in range(self.longest):
+            left = left[at[left] + step < end[left]]
+            place = at[left] + step
+            same = self.frequent[place] == words[left]
+            order[left[same]], lines[left[same]] = self.rank[place[same]], self.lines[place[same]]
+        return order, lines
+
+
+HELD_BLOCKS = 64
+
+
+def _held(counts: DataFrame, bits: int) -> np.ndarray:
+    """2 ** ``bits`` bits, set at the upper bits of the words of ``counts``; 64 blocks are filled in tasks, whatever the number of words."""
+    import pyarrow as pa
+
+    size = (1 << bits) // HELD_BLOCKS
+
+    def run(batches):
+        filled: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = (batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+            for block in np.unique(at // size).tolist():
+                own = np.unique(at[at // size == block] - block * size)
+                np.bitwise_or.at(filled.setdefault(block, np.zeros(size // 8, np.uint8)), own >> 3, (1 << (own & 7)).astype(np.uint8))
+        for block, x in filled.items():
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "bytes": pa.array([x.tobytes()], pa.binary())})
+
+    by_block = counts.select("word").repartition(HELD_BLOCKS, F.shiftrightunsigned("word", 64 - HELD_BLOCKS.bit_length() + 1))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in by_block.mapInArrow(run, "block int, bytes binary").collect():  # the bits, once
+        out[r["block"] * (size // 8) : (r["block"] + 1) * (size // 8)] = np.frombuffer(r["bytes"], np.uint8)
+    return out
+
+
+ROW = "word long, class long, size int, place int, doc_id long, line int, low long, high long, heavy boolean"
+
+
+def _listed(docs: DataFrame, ranks: Ranks, how: Lines, text: str) -> DataFrame:
     """A row per listed word of every distinct line of a task: word, class, size, place of the word, position, and a bitmap of 128
-    bits, each the parity of the words that fall on it. Rows may come in any order: a line is listed again wherever it stands before
+    bits, each the parity of the words that fall on it; ``heavy`` says that more than ``block_rows`` lines may hold the word. Words that no other
+    line has take their places, but are not listed. Rows may come in any order: a line is listed again wherever it stands before
     the position listed so far, so its least listed position is its first one in the table."""
     import pyarrow as pa
 
-    names = ["word", "class", "size", "place", "doc_id", "line", "low", "high"]
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-
     def run(batches):
-        done: dict[int, int] = {}  # class -> least position listed
+        done: dict[int, tuple[int, int]] = {}  # class -> least position listed
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for rows, sets in _sets(batch, 1):
                 name = sets.classes()
-                fresh = np.zeros(len(name), bool)
+                fresh = np.zeros(len(sets.size), bool)
                 doc, number = ids[rows.start + sets.doc[sets.full]], sets.number[sets.full]
                 by = np.lexsort((number, doc, name))
                 by = by[np.concatenate([[True], name[by][1:] != name[by][:-1]])] if len(by) else by  # each class at its first position here
-                for i, x, d, n in zip(by.tolist(), name[by].tolist(), doc[by].tolist(), number[by].tolist(), strict=True):
-                    position = (d << 32) + n
-                    if x not in done or position < done[x]:
-                        done[x] = position
+                for i, x, d, n in zip(sets.full[by].tolist(), name[by].tolist(), doc[by].tolist(), number[by].tolist(), strict=True):
+                    if x not in done or (d, n) < done[x]:
+                        done[x] = (d, n)
                         fresh[i] = True
                 if len(done) > 500_000:
                     done.clear()
@@ -149,48 +238,94 @@ def _listed(docs: DataFrame, frequent: np.ndarray, rank: np.ndarray, how: Lines,
                 upper = (sets.words & np.uint64(64)) > 0
                 low = sets.reduce(np.bitwise_xor, np.where(upper, np.uint64(0), bit))
                 high = sets.reduce(np.bitwise_xor, np.where(upper, bit, np.uint64(0)))
-                order = np.zeros(len(sets.words), np.int64)
-                if len(frequent):
-                    place = np.minimum(np.searchsorted(frequent, sets.words), len(frequent) - 1)
-                    order = np.where(frequent[place] == sets.words, rank[place], 0)
-                by = np.lexsort((sets.words, order, sets.of))
-                place = np.arange(len(by)) - sets.start[sets.of]
-                line = np.zeros(len(sets.size), np.int64)
-                line[sets.full] = np.arange(len(sets.full))
-                line = line[sets.of]
-                at = np.flatnonzero((place < how.prefix(sets.size[sets.of])) & fresh[line])
-                line = line[at]
-                own = sets.full[line]
-                columns = (sets.words[by[at]].view(np.int64), name[line], sets.size[own], place[at], ids[rows.start + sets.doc[own]], sets.number[own], low.view(np.int64)[line], high.view(np.int64)[line])
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    return _texts(docs, text).mapInArrow(run, "word long, class long, size int, place int, doc_id long, line int, low long, high long")
+                used = np.flatnonzero(fresh[sets.of])
+                words, of = sets.words[used], sets.of[used]
+                order, lines = ranks.of(words)
+                by = _sorted(of, order, used - sets.start[of])  # equal order: by hash
+                place = used - sets.start[of]  # as many words of a line as before, so the same places
+                at = np.flatnonzero((place < how.prefix(sets.size[of])) & (order[by] > 0))
+                own, by = of[at], by[at]
+                line = np.searchsorted(sets.full, own)
+                columns = (words[by].view(np.int64), name[line], sets.size[own], place[at], ids[rows.start + sets.doc[own]], sets.number[own])
+                columns += (low.view(np.int64)[line], high.view(np.int64)[line], lines[by] > how.block_rows)
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in ROW.split(", ")])
+
+    return _texts(docs, text).mapInArrow(run, ROW)
+
+
+def _met(rows: DataFrame, key: str, how: Lines, limit: int | None, through: bool) -> DataFrame:
+    """(later, earlier, more) of the candidates among all rows of a key; ``through`` lets heavy rows pass, as ``row``."""
+    import pyarrow as pa
+
+    kinds = {"l": pa.int64(), "i": pa.int32(), "b": pa.bool_()}
+    fields = [(n, kinds[k[0]]) for n, k in (c.split() for c in ROW.split(", "))]
+    nothing = pa.struct(fields)
+
+    def run(batches):
+        import pyarrow.compute as pc
+
+        kept = []
+
+        def light():
+            for batch in batches:
+                if through:
+                    heavy = batch.filter(batch.column("heavy"))
+                    if heavy.num_rows:
+                        kept.append(heavy.select([n for n, _ in fields]))
+                    batch = batch.filter(pc.invert(batch.column("heavy")))
+                yield batch
+
+        def passed():
+            while kept:
+                batch = kept.pop()
+                row = pa.StructArray.from_arrays([c.cast(k) for c, (_, k) in zip(batch.columns, fields, strict=True)], fields=list(nothing))
+                none = pa.nulls(len(row), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(row), pa.bool_()), row], names=["later", "earlier", "more", "row"])
+
+        for table in by_key(light(), key):
+            c = {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names if n != "heavy"}
+            later, earlier, more = _table({n: x.view(np.uint64) if n in ("low", "high") else x for n, x in c.items()}, key, how, limit)
+            found = [pa.array(later, pa.int64()), pa.array(earlier, pa.int64()), pa.array(more, pa.bool_()), pa.nulls(len(later), nothing)]
+            yield pa.RecordBatch.from_arrays(found, names=["later", "earlier", "more", "row"])
+            yield from passed()
+        yield from passed()
+
+    return rows.mapInArrow(run, f"later long, earlier long, more boolean, row struct<{ROW.replace(' ', ':').replace(',:', ',')}>")
 
 
 def candidates(listed: DataFrame, how: Lines, only: DataFrame | None) -> DataFrame:
     """(later, earlier, more): lines that pass all filters under some word, as classes, the later first. In the first round (``only`` is
-    None) at most ``at_once`` per line and word, those of the closest bitmaps, and ``more`` says that others are left."""
-    import pyarrow as pa
+    None) at most ``at_once`` per line and word, those of the closest bitmaps, and ``more`` says that others are left.
 
-    asked = F.lit(True) if only is None else F.col("open").isNotNull()
-    if only is not None:
-        listed = listed.join(only.select("class", F.lit(1).alias("open")), "class", "left")
-    listed = listed.withColumn("asked", asked)
+    The rows of a word meet in one task if no more than ``block_rows`` lines hold it. Those of other words are spread over all tasks, which
+    let them pass; they are counted, reduced to one row a class, and meet in blocks, pair of blocks by pair of blocks.
+    """
     limit = how.at_once if only is None else None
-    sizes = common.written(listed.groupBy("word").agg(F.count("*").alias("rows"), F.max("asked").alias("any")).filter("rows > 1 and any").drop("any"), "sizes")
-    spread = listed.join(sizes, "word")
+    if only is not None:
+        asked = common.sent_if_small(only.select("class", F.lit(True).alias("asked")), 16)
+        listed = listed.join(asked, "class", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+        words = common.written(listed.filter("asked").select("word").distinct(), "asked")
+        listed = listed.join(common.sent_if_small(words, 8), "word")
+    else:
+        listed = listed.withColumn("asked", F.lit(True))
+    if only is None:
+        listed = listed.drop("asked")
+    at = F.when(F.col("heavy"), F.xxhash64("word", "class")).otherwise(F.col("word"))
+    met = common.written(_met(listed.repartition(at).sortWithinPartitions("word"), "word", how, limit, True), "met")
+    heavy = met.filter("row is not null").select("row.*")
+    heavy = heavy.groupBy("word", "class").agg(F.min_by(F.struct("size", "place", "doc_id", "line", "low", "high"), F.struct("doc_id", "line")).alias("r"))
+    heavy = common.written(heavy.select("word", "class", "r.*"), "heavy")
+    sizes = common.written(heavy.groupBy("word").agg(F.count("*").alias("rows")).filter("rows > 1"), "sizes")
+    spread = heavy.join(sizes, "word")
+    if only is not None:
+        spread = spread.join(asked, "class", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
     spread = spread.withColumn("blocks", F.ceil(F.col("rows") / F.lit(how.block_rows)).cast("int")).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
-    spread = spread.select(F.xxhash64("word", pair).alias("key"), "class", "size", "place", "doc_id", "line", "low", "high", "asked")
-
-    def run(batches):
-        for table in by_key(batches, "key"):
-            c = {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names}
-            later, earlier, more = _table({n: x.view(np.uint64) if n in ("low", "high") else x for n, x in c.items()}, how, limit)
-            yield pa.RecordBatch.from_pydict({"later": pa.array(later, pa.int64()), "earlier": pa.array(earlier, pa.int64()), "more": pa.array(more, pa.bool_())})
-
-    return spread.repartition("key").sortWithinPartitions("key").mapInArrow(run, "later long, earlier long, more boolean")
+    spread = spread.withColumn("key", F.xxhash64("word", pair)).drop("word", "rows", "blocks", "block", "other")
+    blocks = _met(spread.repartition("key").sortWithinPartitions("key"), "key", how, limit, False)
+    return met.filter("row is null").drop("row").unionByName(blocks.drop("row"))
 
 
 SMALL = 48
@@ -202,19 +337,21 @@ def _fits(c: dict[str, np.ndarray], i, j, how: Lines) -> tuple[np.ndarray, np.nd
     need = how.overlap(n, m)
     fit = (100 * n >= how.percent * m) & (100 * m >= how.percent * n) & (np.minimum(n - p, m - q) + np.minimum(p, q) >= need)
     apart = np.bitwise_count(c["low"][i] ^ c["low"][j]).astype(np.int64) + np.bitwise_count(c["high"][i] ^ c["high"][j])
-    fit &= ((n + m - apart) // 2 >= need) & c["asked"][j]
+    fit &= (n + m - apart) // 2 >= need
+    if "asked" in c:
+        fit &= c["asked"][j]
     return fit & ((c["doc_id"][i] != c["doc_id"][j]) | (c["line"][i] != c["line"][j])), apart
 
 
-def _table(c: dict[str, np.ndarray], how: Lines, limit: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _table(c: dict[str, np.ndarray], by: str, how: Lines, limit: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The candidates under all words of a table: later and earlier classes, and whether the later one has others under the word."""
-    order = np.lexsort((c["line"], c["doc_id"], c["class"], c["key"]))
-    key, name = c["key"][order], c["class"][order]
+    order = np.lexsort((c["line"], c["doc_id"], c["class"], c[by]))
+    key, name = c[by][order], c["class"][order]
     first = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
     order = order[first]  # each class at its first position
-    order = order[np.lexsort((c["class"][order], c["line"][order], c["doc_id"][order], c["key"][order]))]
+    order = order[np.lexsort((c["class"][order], c["line"][order], c["doc_id"][order], c[by][order]))]
     c = {n: x[order].astype(np.int64) if n in ("size", "place") else x[order] for n, x in c.items()}
-    key, found = c["key"], []
+    key, found = c[by], []
     cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
     sizes = np.repeat(np.diff(cuts), np.diff(cuts))
     small = sizes <= SMALL
@@ -226,7 +363,7 @@ def _table(c: dict[str, np.ndarray], how: Lines, limit: int | None) -> tuple[np.
         found.append((i[fit] + d, i[fit], apart[fit]))
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         if b - a > SMALL:
-            for j in (np.flatnonzero(c["asked"][a + 1 : b]) + a + 1).tolist():
+            for j in (np.flatnonzero(c["asked"][a + 1 : b]) + a + 1).tolist() if "asked" in c else range(a + 1, b):
                 fit, apart = _fits(c, slice(a, j), slice(j, j + 1), how)
                 i = np.flatnonzero(fit)
                 found.append((np.full(len(i), j), i + a, apart[i]))
@@ -247,9 +384,12 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Lines,
     import pyarrow as pa
 
     named = pairs.select(F.col("later").alias("class")).union(pairs.select(F.col("earlier").alias("class"))).distinct()
-    wanted = named.join(classes, "class").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line", "class"))).alias("wanted"))
+    wanted = named.join(classes, "class").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line", "class"))).alias("wanted"), F.count("*").alias("n"))
+    wanted = common.written(wanted, "wanted")
+    lines = wanted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    wanted = F.broadcast(wanted.drop("n")) if lines <= how.sent_lines else wanted.drop("n")
 
-    def lines(batches):
+    def own(batches):
         for batch in batches:
             wanted, names, found = batch.column(1).to_pylist(), [], []
             for rows, sets in _sets(batch, 0):
@@ -264,7 +404,7 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Lines,
                             found.append(sets.words[sets.start[at] : sets.start[at] + sets.size[at]].tobytes())
             yield pa.RecordBatch.from_pydict({"class": pa.array(names, pa.int64()), "words": pa.array(found, pa.binary())})
 
-    sets = _texts(docs, text).join(wanted, "doc_id").select("text", "wanted").mapInArrow(lines, "class long, words binary")
+    sets = _texts(docs, text).join(wanted, "doc_id").select("text", "wanted").mapInArrow(own, "class long, words binary")
     sets = common.written(sets.dropDuplicates(["class"]), "sets")
     both = pairs.join(sets.select(F.col("class").alias("later"), F.col("words").alias("x")), "later")
     both = both.join(sets.select(F.col("class").alias("earlier"), F.col("words").alias("y")), "earlier").select("later", "earlier", "x", "y")
@@ -298,8 +438,12 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
     top = common.most_frequent(counts, "lines", how.frequent).toPandas().sort_values(["lines", "word"], ascending=[False, True])  # bounded
     frequent = top["word"].to_numpy(np.int64).view(np.uint64)
     by_hash = np.argsort(frequent)
-    rank = np.arange(len(frequent), 0, -1)[by_hash]  # the most frequent last
-    listed = _listed(docs, frequent[by_hash], rank, how, text)
+    rank = np.arange(len(frequent) + 1, 1, -1)[by_hash]  # the most frequent last
+    lowest = int(top["lines"].min()) if len(top) else 1
+    largest = counts.filter(F.col("lines") < lowest) if len(top) else counts
+    rest = largest.agg(F.coalesce(F.max("lines"), F.lit(1))).first()[0]
+    ranks = Ranks(frequent[by_hash], rank, top["lines"].to_numpy(np.int64)[by_hash], rest, _held(counts, how.held_bits))
+    listed = _listed(docs, ranks, how, text)
     pairs = common.written(candidates(listed, how, None).groupBy("later", "earlier").agg(F.max("more").alias("more")), "pairs")
     found = common.written(verified(docs, pairs, classes, how, text), "found")
     open_classes = pairs.groupBy("later").agg(F.max("more").alias("more")).filter("more").join(found.select("later").distinct(), "later", "left_anti")
