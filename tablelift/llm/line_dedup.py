@@ -22,7 +22,7 @@ class Lines:
     percent: int = 80
     frequent: int = 200_000  # words whose exact rank is sent to all tasks; all others are rarer and come before them, by hash
     at_once: int = 16  # candidates of a line under one word that are verified in the first round; a second round has the rest
-    block_rows: int = 20_000
+    block_rows: int = 4_000
     held_bits: int = 26  # bits, 8 MB, that tell words of one line from others
     sent_lines: int = 500_000  # up to so many lines to verify, their places are sent to all tasks; beyond it texts are joined with them
 
@@ -114,42 +114,38 @@ def _texts(docs: DataFrame, text: str) -> DataFrame:
     return docs.filter(F.col("doc_id").isNotNull() & F.col(text).isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
 
 
-def _by_class(batches):
-    """(class, doc_id, line, size) of every line with words."""
-    import pyarrow as pa
-
-    for batch in batches:
-        ids = batch.column(0).to_numpy()
-        for rows, sets in _sets(batch, 1):
-            columns = (sets.classes(), ids[rows.start + sets.doc[sets.full]], sets.number[sets.full], sets.size[sets.full])
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["class", "doc_id", "line", "size"])
-
-
-def _counted(batches):
-    """(word, lines that hold it), summed up for some millions of words at a time."""
+def _read(batches):
+    """(class, doc_id, line, number of words) of every line with words, and (word, null, null, lines that hold it), summed up for some
+    millions of words at a time."""
     import pyarrow as pa
 
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64())
 
-    def merged():
-        words, at = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
-        return words, np.bincount(at, np.concatenate([c for _, c in held])).astype(np.int64)
+    def out(columns):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) if c is not None else pa.nulls(len(columns[0]), k) for c, k in zip(columns, kinds, strict=True)], names=["name", "doc_id", "line", "n"])
 
-    def out():
-        words, count = merged()
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(count)], names=["word", "lines"])
+    def counts():
+        words, of = np.concatenate([w for w, _ in held]), np.concatenate([c for _, c in held])
+        order = np.argsort(words)
+        words, of = words[order], of[order]
+        first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        return words[first], np.add.reduceat(of, first)
 
     for batch in batches:
-        for _, sets in _sets(batch, 1):
-            held.append(np.unique(sets.words, return_counts=True))
+        ids = batch.column(0).to_numpy()
+        for rows, sets in _sets(batch, 1):
+            yield out((sets.classes(), ids[rows.start + sets.doc[sets.full]], sets.number[sets.full], sets.size[sets.full]))
+            if len(sets.words):
+                held.append(np.unique(sets.words, return_counts=True))
             if sum(len(w) for w, _ in held) > 4_000_000:
-                held[:] = [merged()]
+                held[:] = [counts()]
                 if len(held[0][0]) > 2_000_000:
-                    yield out()
+                    words, lines = held.pop()
+                    yield out((words.view(np.int64), None, None, lines))
     if held:
-        yield out()
+        words, lines = counts()
+        yield out((words.view(np.int64), None, None, lines))
 
 
 class Ranks:
@@ -254,13 +250,18 @@ def _listed(docs: DataFrame, ranks: Ranks, how: Lines, text: str) -> DataFrame:
     return _texts(docs, text).mapInArrow(run, ROW)
 
 
-def _met(rows: DataFrame, key: str, how: Lines, limit: int | None, through: bool) -> DataFrame:
-    """(later, earlier, more) of the candidates among all rows of a key; ``through`` lets heavy rows pass, as ``row``."""
+def _met(rows: DataFrame, key: str, how: Lines, limit: int | None) -> DataFrame:
+    """(later, earlier, more, row) of the candidates among all rows of a key. ``row`` holds rows that have to meet again: heavy ones, which pass,
+    and those of lines with more than ``limit`` candidates under the key and of these candidates, each once."""
     import pyarrow as pa
 
     kinds = {"l": pa.int64(), "i": pa.int32(), "b": pa.bool_()}
     fields = [(n, kinds[k[0]]) for n, k in (c.split() for c in ROW.split(", "))]
-    nothing = pa.struct(fields)
+
+    def again(columns):
+        row = pa.StructArray.from_arrays([c.cast(k) for c, (_, k) in zip(columns, fields, strict=True)], fields=list(pa.struct(fields)))
+        none = pa.nulls(len(row), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, pa.nulls(len(row), pa.bool_()), row], names=["later", "earlier", "more", "row"])
 
     def run(batches):
         import pyarrow.compute as pc
@@ -269,114 +270,136 @@ def _met(rows: DataFrame, key: str, how: Lines, limit: int | None, through: bool
 
         def light():
             for batch in batches:
-                if through:
-                    heavy = batch.filter(batch.column("heavy"))
-                    if heavy.num_rows:
-                        kept.append(heavy.select([n for n, _ in fields]))
-                    batch = batch.filter(pc.invert(batch.column("heavy")))
-                yield batch
-
-        def passed():
-            while kept:
-                batch = kept.pop()
-                row = pa.StructArray.from_arrays([c.cast(k) for c, (_, k) in zip(batch.columns, fields, strict=True)], fields=list(nothing))
-                none = pa.nulls(len(row), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(row), pa.bool_()), row], names=["later", "earlier", "more", "row"])
+                heavy = batch.filter(batch.column("heavy"))
+                if heavy.num_rows:
+                    kept.append(heavy.select([n for n, _ in fields]))
+                yield batch.filter(pc.invert(batch.column("heavy")))
 
         for table in by_key(light(), key):
+            while kept:
+                yield again(kept.pop().columns)
             c = {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names if n != "heavy"}
-            later, earlier, more = _table({n: x.view(np.uint64) if n in ("low", "high") else x for n, x in c.items()}, key, how, limit)
-            found = [pa.array(later, pa.int64()), pa.array(earlier, pa.int64()), pa.array(more, pa.bool_()), pa.nulls(len(later), nothing)]
-            yield pa.RecordBatch.from_arrays(found, names=["later", "earlier", "more", "row"])
-            yield from passed()
-        yield from passed()
+            c = {n: x.view(np.uint64) if n in ("low", "high") else x for n, x in c.items()}
+            for later, earlier, more, left in _table(c, key, how, limit):
+                found = [pa.array(later, pa.int64()), pa.array(earlier, pa.int64()), pa.array(more, pa.bool_()), pa.nulls(len(later), pa.struct(fields))]
+                yield pa.RecordBatch.from_arrays(found, names=["later", "earlier", "more", "row"])
+                if len(left):
+                    columns = [c[key if n == "word" else n][left] for n, _ in fields[:-1]]
+                    columns = [pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in columns]
+                    yield again([*columns, pa.array(np.zeros(len(left), bool))])
+        while kept:
+            yield again(kept.pop().columns)
 
     return rows.mapInArrow(run, f"later long, earlier long, more boolean, row struct<{ROW.replace(' ', ':').replace(',:', ',')}>")
 
 
-def candidates(listed: DataFrame, how: Lines, only: DataFrame | None) -> DataFrame:
-    """(later, earlier, more): lines that pass all filters under some word, as classes, the later first. In the first round (``only`` is
-    None) at most ``at_once`` per line and word, those of the closest bitmaps, and ``more`` says that others are left.
+def candidates(listed: DataFrame, how: Lines) -> tuple[DataFrame, DataFrame]:
+    """(later, earlier, more): lines that pass all filters under some word, as classes, the later first; at most ``at_once`` per line and word, those
+    of the closest bitmaps, and ``more`` says that others are left. The second frame has the rows among which these others are found.
 
     The rows of a word meet in one task if no more than ``block_rows`` lines hold it. Those of other words are spread over all tasks, which
     let them pass; they are counted, reduced to one row a class, and meet in blocks, pair of blocks by pair of blocks.
     """
-    limit = how.at_once if only is None else None
-    if only is not None:
-        asked = common.sent_if_small(only.select("class", F.lit(True).alias("asked")), 16)
-        listed = listed.join(asked, "class", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
-        words = common.written(listed.filter("asked").select("word").distinct(), "asked")
-        listed = listed.join(common.sent_if_small(words, 8), "word")
-    else:
-        listed = listed.withColumn("asked", F.lit(True))
-    if only is None:
-        listed = listed.drop("asked")
     at = F.when(F.col("heavy"), F.xxhash64("word", "class")).otherwise(F.col("word"))
-    met = common.written(_met(listed.repartition(at).sortWithinPartitions("word"), "word", how, limit, True), "met")
-    heavy = met.filter("row is not null").select("row.*")
+    met = common.written(_met(listed.repartition(at).sortWithinPartitions("word"), "word", how, how.at_once), "met")
+    heavy = met.filter("row.heavy").select("row.*")
     heavy = heavy.groupBy("word", "class").agg(F.min_by(F.struct("size", "place", "doc_id", "line", "low", "high"), F.struct("doc_id", "line")).alias("r"))
     heavy = common.written(heavy.select("word", "class", "r.*"), "heavy")
     sizes = common.written(heavy.groupBy("word").agg(F.count("*").alias("rows")).filter("rows > 1"), "sizes")
     spread = heavy.join(sizes, "word")
-    if only is not None:
-        spread = spread.join(asked, "class", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
-    spread = spread.withColumn("blocks", F.ceil(F.col("rows") / F.lit(how.block_rows)).cast("int")).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    spread = spread.withColumn("blocks", F.ceil(F.col("rows") / F.lit(how.block_rows // 2)).cast("int")).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pair = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
-    spread = spread.withColumn("key", F.xxhash64("word", pair)).drop("word", "rows", "blocks", "block", "other")
-    blocks = _met(spread.repartition("key").sortWithinPartitions("key"), "key", how, limit, False)
-    return met.filter("row is null").drop("row").unionByName(blocks.drop("row"))
+    spread = spread.withColumn("key", F.xxhash64("word", pair)).withColumn("heavy", F.lit(False)).drop("word", "rows", "blocks", "block", "other")
+    blocks = common.written(_met(spread.repartition("key").sortWithinPartitions("key"), "key", how, how.at_once), "blocks")
+    both = met.unionByName(blocks)
+    return both.filter("row is null").drop("row"), both.filter("not row.heavy").select("row.*")
 
 
-SMALL = 48
+def others(rows: DataFrame, how: Lines, only: DataFrame) -> DataFrame:
+    """(later, earlier): all candidates of the classes ``only`` among ``rows``, which met before."""
+    asked = common.sent_if_small(only.select("class", F.lit(True).alias("asked")), 16)
+    rows = rows.join(asked, "class", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+    words = common.written(rows.filter("asked").select("word").distinct(), "asked")
+    rows = rows.join(common.sent_if_small(words, 8), "word")
+    return _met(rows.repartition("word").sortWithinPartitions("word"), "word", how, None).select("later", "earlier")
 
 
-def _fits(c: dict[str, np.ndarray], i, j, how: Lines) -> tuple[np.ndarray, np.ndarray]:
-    """Whether lines i and j may be as similar as asked, i before j and j asked for; and how far apart their bitmaps are."""
-    n, m, p, q = c["size"][i], c["size"][j], c["place"][i], c["place"][j]
-    need = how.overlap(n, m)
-    fit = (100 * n >= how.percent * m) & (100 * m >= how.percent * n) & (np.minimum(n - p, m - q) + np.minimum(p, q) >= need)
-    apart = np.bitwise_count(c["low"][i] ^ c["low"][j]).astype(np.int64) + np.bitwise_count(c["high"][i] ^ c["high"][j])
-    fit &= (n + m - apart) // 2 >= need
-    if "asked" in c:
-        fit &= c["asked"][j]
-    return fit & ((c["doc_id"][i] != c["doc_id"][j]) | (c["line"][i] != c["line"][j])), apart
+PAIRS = 1_000_000  # compared at a time
 
 
-def _table(c: dict[str, np.ndarray], by: str, how: Lines, limit: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The candidates under all words of a table: later and earlier classes, and whether the later one has others under the word."""
+def _closest(j: np.ndarray, i: np.ndarray, apart: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the pairs by j and distance, and whether each is one of the first ``limit`` of its j."""
+    order = np.lexsort((i, apart, j))
+    starts = np.flatnonzero(np.concatenate([[True], j[order][1:] != j[order][:-1]]))
+    return order, np.arange(len(j)) - np.repeat(starts, np.diff(np.append(starts, len(j)))) < limit
+
+
+def _table(c: dict[str, np.ndarray], by: str, how: Lines, limit: int | None):
+    """The candidates under all words of a table, for some lines after the other: later and earlier classes, whether the later one has others
+    under the word, and the rows of such lines and of their candidates. Lines of a word are in order of size, so that each is compared only with
+    those before it that are long enough."""
     order = np.lexsort((c["line"], c["doc_id"], c["class"], c[by]))
     key, name = c[by][order], c["class"][order]
-    first = np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])
-    order = order[first]  # each class at its first position
-    order = order[np.lexsort((c["class"][order], c["line"][order], c["doc_id"][order], c[by][order]))]
-    c = {n: x[order].astype(np.int64) if n in ("size", "place") else x[order] for n, x in c.items()}
-    key, found = c[by], []
-    cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-    sizes = np.repeat(np.diff(cuts), np.diff(cuts))
-    small = sizes <= SMALL
-    for d in range(1, min(SMALL, len(key))):  # words with few lines: all of the table at once, at one distance after the other
-        i = np.flatnonzero((key[d:] == key[:-d]) & small[d:])
-        if not len(i):
-            break
-        fit, apart = _fits(c, i, i + d, how)
-        found.append((i[fit] + d, i[fit], apart[fit]))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        if b - a > SMALL:
-            for j in (np.flatnonzero(c["asked"][a + 1 : b]) + a + 1).tolist() if "asked" in c else range(a + 1, b):
-                fit, apart = _fits(c, slice(a, j), slice(j, j + 1), how)
-                i = np.flatnonzero(fit)
-                found.append((np.full(len(i), j), i + a, apart[i]))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
-    j, i, apart = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((i, apart, j))
-    j, i = j[order], i[order]
-    starts = np.flatnonzero(np.concatenate([[True], j[1:] != j[:-1]])) if len(j) else np.empty(0, np.int64)
-    turn = np.arange(len(j)) - np.repeat(starts, np.diff(np.append(starts, len(j))))
-    count = np.repeat(np.diff(np.append(starts, len(j))), np.diff(np.append(starts, len(j))))
-    keep = turn < (limit or len(j) + 1)
-    return c["class"][j[keep]], c["class"][i[keep]], (count > (limit or len(j) + 1))[keep]
+    order = order[np.concatenate([[True], (key[1:] != key[:-1]) | (name[1:] != name[:-1])])]  # each class at its first position
+    turn = np.empty(len(c[by]), np.int64)
+    turn[np.lexsort((c["class"], c["line"], c["doc_id"]))] = np.arange(len(turn))
+    # in order of position; of one position (an id that occurs twice), neither is before the other
+    order = order[np.lexsort((turn[order], c["size"][order], c[by][order]))]
+    turn, key, name = turn[order], c[by][order], c["class"][order]
+    doc, line, low, high = (c[n][order] for n in ("doc_id", "line", "low", "high"))
+    size, place = c["size"][order].astype(np.int64), c["place"][order].astype(np.int64)
+    asked = c["asked"][order] if "asked" in c else None
+    _, group = np.unique(key, return_inverse=True)
+    width = int(size.max()) + 1
+    least = -(-how.percent * size // 100)
+    start = np.searchsorted(group * width + size, group * width + least)  # the first line that is long enough
+    count = np.arange(len(key)) - start
+    total = np.cumsum(count)
+    lo = 0
+    while lo < len(key):
+        # all pairs of the lines of a word are looked at together, so that a line's candidates are complete
+        hi = int(np.searchsorted(total, (total[lo - 1] if lo else 0) + PAIRS, "right"))
+        hi = max(int(np.searchsorted(group, group[min(hi, len(key) - 1)])), lo) if hi < len(key) else hi
+        hi = hi if hi > lo else int(np.searchsorted(group, group[lo], "right"))
+        held = [np.empty(0, np.int64)] * 3  # later, earlier, distance
+        again = np.zeros(len(key), bool)
+        at = lo
+        while at < hi:
+            to = min(max(int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")), at + 1), hi)
+            n = count[at:to]
+            j = np.repeat(np.arange(at, to), n)
+            i = np.arange(len(j)) + np.repeat(start[at:to] - (np.cumsum(n) - n), n)
+            both = size[i] + size[j]
+            need = how.overlap(both, 0)
+            apart = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
+            fit = np.flatnonzero(both - apart >= 2 * need)
+            i, j, need, apart = i[fit], j[fit], need[fit], apart[fit]
+            p, q = place[i], place[j]
+            fit = (np.minimum(size[i] - p, size[j] - q) + np.minimum(p, q) >= need) & ((doc[i] != doc[j]) | (line[i] != line[j]))
+            i, j, apart = i[fit], j[fit], apart[fit]
+            after = turn[i] > turn[j]
+            i, j = np.where(after, j, i), np.where(after, i, j)
+            if asked is not None:
+                fit = asked[j]
+                i, j, apart = i[fit], j[fit], apart[fit]
+            at = to
+            if limit is None:
+                yield name[j], name[i], np.zeros(len(j), bool), order[:0]
+                continue
+            held = [np.concatenate(x) for x in zip(held, (j, i, apart), strict=True)]
+            if len(held[0]) > 4 * PAIRS:  # one more than the limit stays, to tell that there are others
+                by_line, close = _closest(*held, limit + 1)
+                again[held[1][by_line[~close]]] = True
+                held = [x[by_line[close]] for x in held]
+        lo = hi
+        if len(held[0]):
+            by_line, close = _closest(*held, limit)
+            j, i = held[0][by_line], held[1][by_line]
+            open_lines = np.zeros(len(key), bool)
+            open_lines[j[~close]] = True
+            again[i[open_lines[j]]] = True
+            yield name[j[close]], name[i[close]], open_lines[j[close]], order[np.flatnonzero(again | open_lines)]
 
 
 def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Lines, text: str) -> DataFrame:
@@ -430,10 +453,11 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
     Rows that repeat an id hold lines at the same positions, which are not before each other; their removed lines are one list. Null ids
     take no part. Lines with equal word sets are told by 64-bit hashes, as are words. An empty table gives no row.
     """
-    lines = common.written(_texts(docs, text).mapInArrow(_by_class, "class long, doc_id long, line int, size int"), "lines")
+    read = common.written(_texts(docs, text).mapInArrow(_read, "name long, doc_id long, line int, n long"), "read")
+    lines = read.filter("doc_id is not null").select(F.col("name").alias("class"), "doc_id", "line")
     classes = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first")).select("class", "first.doc_id", "first.line")
     classes = common.written(classes, "classes")
-    counts = _texts(docs, text).mapInArrow(_counted, "word long, lines long").groupBy("word").agg(F.sum("lines").alias("lines"))
+    counts = read.filter("doc_id is null").groupBy(F.col("name").alias("word")).agg(F.sum("n").alias("lines"))
     counts = common.written(counts.filter("lines > 1"), "words")
     top = common.most_frequent(counts, "lines", how.frequent).toPandas().sort_values(["lines", "word"], ascending=[False, True])  # bounded
     frequent = top["word"].to_numpy(np.int64).view(np.uint64)
@@ -444,12 +468,13 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
     rest = largest.agg(F.coalesce(F.max("lines"), F.lit(1))).first()[0]
     ranks = Ranks(frequent[by_hash], rank, top["lines"].to_numpy(np.int64)[by_hash], rest, _held(counts, how.held_bits))
     listed = _listed(docs, ranks, how, text)
-    pairs = common.written(candidates(listed, how, None).groupBy("later", "earlier").agg(F.max("more").alias("more")), "pairs")
+    met, left = candidates(listed, how)
+    pairs = common.written(met.groupBy("later", "earlier").agg(F.max("more").alias("more")), "pairs")
     found = common.written(verified(docs, pairs, classes, how, text), "found")
     open_classes = pairs.groupBy("later").agg(F.max("more").alias("more")).filter("more").join(found.select("later").distinct(), "later", "left_anti")
     open_classes = common.written(open_classes.select(F.col("later").alias("class")), "open")
     if not open_classes.isEmpty():
-        rest = common.written(candidates(listed, how, open_classes).select("later", "earlier").distinct().join(pairs, ["later", "earlier"], "left_anti"), "pairs")
+        rest = common.written(others(left, how, open_classes).distinct().join(pairs, ["later", "earlier"], "left_anti"), "pairs")
         found = found.unionByName(common.written(verified(docs, rest, classes, how, text), "found"))
     gone = found.select(F.col("later").alias("class"), F.lit(True).alias("gone")).distinct()
     decided = classes.select("class", F.struct("doc_id", "line").alias("first")).join(gone, "class", "left")
