@@ -102,10 +102,13 @@ class Sets:
         return mix64(total + self.size[self.full].astype(np.uint64)).view(np.int64)
 
 
+STEP = 1_000_000  # bytes of text hashed at once; the arrays of a step take some sixty times as much
+
+
 def _sets(batch, column: int):
-    """(rows of the batch, their Sets), a few megabytes of text at a time."""
+    """(rows of the batch, their Sets), a step of texts at a time."""
     texts = batch.column(column).to_pylist()
-    for lo, hi in parts(texts):
+    for lo, hi in parts(texts, STEP):
         yield range(lo, hi), Sets(texts[lo:hi])
 
 
@@ -138,9 +141,9 @@ def _read(batches):
             yield out((sets.classes(), ids[rows.start + sets.doc[sets.full]], sets.number[sets.full], sets.size[sets.full]))
             if len(sets.words):
                 held.append(np.unique(sets.words, return_counts=True))
-            if sum(len(w) for w, _ in held) > 4_000_000:
+            if sum(len(w) for w, _ in held) > 2_000_000:
                 held[:] = [counts()]
-                if len(held[0][0]) > 2_000_000:
+                if len(held[0][0]) > 1_000_000:
                     words, lines = held.pop()
                     yield out((words.view(np.int64), None, None, lines))
     if held:
@@ -228,7 +231,7 @@ def _listed(docs: DataFrame, ranks: Ranks, how: Lines, text: str) -> DataFrame:
                     if x not in done or (d, n) < done[x]:
                         done[x] = (d, n)
                         fresh[i] = True
-                if len(done) > 500_000:
+                if len(done) > 300_000:
                     done.clear()
                 bit = np.uint64(1) << (sets.words & np.uint64(63))
                 upper = (sets.words & np.uint64(64)) > 0
@@ -325,7 +328,7 @@ def others(rows: DataFrame, how: Lines, only: DataFrame) -> DataFrame:
     return _met(rows.repartition("word").sortWithinPartitions("word"), "word", how, None).select("later", "earlier")
 
 
-PAIRS = 1_000_000  # compared at a time
+PAIRS = 250_000  # compared at a time
 
 
 def _closest(j: np.ndarray, i: np.ndarray, apart: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -388,7 +391,7 @@ def _table(c: dict[str, np.ndarray], by: str, how: Lines, limit: int | None):
                 yield name[j], name[i], np.zeros(len(j), bool), order[:0]
                 continue
             held = [np.concatenate(x) for x in zip(held, (j, i, apart), strict=True)]
-            if len(held[0]) > 4 * PAIRS:  # one more than the limit stays, to tell that there are others
+            if len(held[0]) > 8 * PAIRS:  # one more than the limit stays, to tell that there are others
                 by_line, close = _closest(*held, limit + 1)
                 again[held[1][by_line[~close]]] = True
                 held = [x[by_line[close]] for x in held]
