@@ -208,17 +208,60 @@ def _held(counts: DataFrame, bits: int) -> np.ndarray:
 
 
 ROW = "word long, class long, size int, place int, doc_id long, line int, low long, high long, heavy boolean"
+COLUMNS = {n: np.dtype({"long": "<i8", "int": "<i4", "boolean": "?"}[k]) for n, k in (c.split() for c in ROW.split(", "))}
+ROW_BYTES = sum(k.itemsize for k in COLUMNS.values())
+HELD_ROWS = 200_000  # listed rows that a task holds, some 11 MB, before it deals them out
 
 
-def _listed(docs: DataFrame, ranks: Ranks, how: Lines, text: str) -> DataFrame:
-    """A row per listed word of every distinct line of a task: word, class, size, place of the word, position, and a bitmap of 128
-    bits, each the parity of the words that fall on it; ``heavy`` says that more than ``block_rows`` lines may hold the word. Words that no other
+def _packed(columns: dict[str, np.ndarray], buckets: int):
+    """(bucket, rows): the listed rows of each bucket as the bytes of one column after the other. Rows of a light word share a bucket; those of
+    heavy ones are spread by class."""
+    import pyarrow as pa
+
+    by = mix64(np.where(columns["heavy"], columns["class"] ^ columns["word"], columns["word"])) % np.uint64(buckets)
+    order = np.argsort(by, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], by[order][1:] != by[order][:-1]]))
+    cuts = [*starts.tolist(), len(order)]
+    sides = [columns[n][order].astype(k, copy=False) for n, k in COLUMNS.items()]
+    blocks = [b"".join([x[lo:hi].tobytes() for x in sides]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(by[order][starts].astype(np.int32)), pa.array(blocks, pa.binary())], names=["bucket", "rows"])
+
+
+def _unpacked(batches):
+    """The listed rows of bucket after bucket, from packed batches sorted by bucket."""
+    held: list[bytes] = []
+    last = None
+
+    def columns():
+        out = {n: [] for n in COLUMNS}
+        for block in held:
+            n, at = len(block) // ROW_BYTES, 0
+            for c, k in COLUMNS.items():
+                out[c].append(np.frombuffer(block, k, n, at))
+                at += n * k.itemsize
+        held.clear()
+        return {c: np.concatenate(x) for c, x in out.items()}
+
+    for batch in batches:
+        for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if held and bucket != last:
+                yield columns()
+            held.append(block.as_py())
+            last = bucket
+    if held:
+        yield columns()
+
+
+def _listed(docs: DataFrame, ranks: Ranks, how: Lines, text: str, buckets: int) -> DataFrame:
+    """(bucket, rows) with a row per listed word of every distinct line of a task: word, class, size, place of the word, position, and a bitmap of
+    128 bits, each the parity of the words that fall on it; ``heavy`` says that more than ``block_rows`` lines may hold the word. Words that no other
     line has take their places, but are not listed. Rows may come in any order: a line is listed again wherever it stands before
     the position listed so far, so its least listed position is its first one in the table."""
-    import pyarrow as pa
 
     def run(batches):
         done: dict[int, tuple[int, int]] = {}  # class -> least position listed
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for rows, sets in _sets(batch, 1):
@@ -247,15 +290,23 @@ def _listed(docs: DataFrame, ranks: Ranks, how: Lines, text: str) -> DataFrame:
                 line = np.searchsorted(sets.full, own)
                 columns = (words[by].view(np.int64), name[line], sets.size[own], place[at], ids[rows.start + sets.doc[own]], sets.number[own])
                 columns += (low.view(np.int64)[line], high.view(np.int64)[line], lines[by] > how.block_rows)
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in ROW.split(", ")])
+                if len(own):
+                    held.append(tuple(c.astype(k, copy=False) for c, k in zip(columns, COLUMNS.values(), strict=True)))
+                    size += len(own)
+                if size >= HELD_ROWS:
+                    yield _packed(dict(zip(COLUMNS, map(np.concatenate, zip(*held, strict=True)), strict=True)), buckets)
+                    held.clear()
+                    size = 0
+        if held:
+            yield _packed(dict(zip(COLUMNS, map(np.concatenate, zip(*held, strict=True)), strict=True)), buckets)
 
-    return _texts(docs, text).mapInArrow(run, ROW)
+    return _texts(docs, text).mapInArrow(run, "bucket int, rows binary")
 
 
 def _met(rows: DataFrame, key: str, how: Lines, limit: int | None) -> DataFrame:
-    """(later, earlier, more, row) of the candidates among all rows of a key. ``row`` holds rows that have to meet again: heavy ones, which pass,
-    and those of lines with more than ``limit`` candidates under the key and of these candidates, each once."""
+    """(later, earlier, more, row) of the candidates among all rows of a key; ``rows`` are sorted by it, or by bucket if they are packed. ``row`` holds
+    rows that have to meet again: heavy ones, which pass, and those of lines with more than ``limit`` candidates under the key and of these
+    candidates, each once."""
     import pyarrow as pa
 
     kinds = {"l": pa.int64(), "i": pa.int32(), "b": pa.bool_()}
@@ -266,23 +317,25 @@ def _met(rows: DataFrame, key: str, how: Lines, limit: int | None) -> DataFrame:
         none = pa.nulls(len(row), pa.int64())
         return pa.RecordBatch.from_arrays([none, none, pa.nulls(len(row), pa.bool_()), row], names=["later", "earlier", "more", "row"])
 
-    def run(batches):
-        import pyarrow.compute as pc
-
-        kept = []
+    packed = "bucket" in rows.columns
 
-        def light():
-            for batch in batches:
-                heavy = batch.filter(batch.column("heavy"))
-                if heavy.num_rows:
-                    kept.append(heavy.select([n for n, _ in fields]))
-                yield batch.filter(pc.invert(batch.column("heavy")))
+    def tables(batches):
+        if packed:
+            yield from _unpacked(batches)
+            return
+        for table in by_key(batches, key):
+            yield {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names}
 
-        for table in by_key(light(), key):
-            while kept:
-                yield again(kept.pop().columns)
-            c = {n: table.column(n).to_numpy(zero_copy_only=False) for n in table.column_names if n != "heavy"}
+    def run(batches):
+        for c in tables(batches):
+            heavy = c.pop("heavy")
+            if heavy.any():
+                at = np.flatnonzero(heavy)
+                yield again([*(pa.array(c[n][at]) for n, _ in fields[:-1]), pa.array(heavy[at])])
+                c = {n: x[~heavy] for n, x in c.items()}
             c = {n: x.view(np.uint64) if n in ("low", "high") else x for n, x in c.items()}
+            if not len(c[key]):
+                continue
             for later, earlier, more, left in _table(c, key, how, limit):
                 found = [pa.array(later, pa.int64()), pa.array(earlier, pa.int64()), pa.array(more, pa.bool_()), pa.nulls(len(later), pa.struct(fields))]
                 yield pa.RecordBatch.from_arrays(found, names=["later", "earlier", "more", "row"])
@@ -290,8 +343,6 @@ def _met(rows: DataFrame, key: str, how: Lines, limit: int | None) -> DataFrame:
                     columns = [c[key if n == "word" else n][left] for n, _ in fields[:-1]]
                     columns = [pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in columns]
                     yield again([*columns, pa.array(np.zeros(len(left), bool))])
-        while kept:
-            yield again(kept.pop().columns)
 
     return rows.mapInArrow(run, f"later long, earlier long, more boolean, row struct<{ROW.replace(' ', ':').replace(',:', ',')}>")
 
@@ -300,11 +351,10 @@ def candidates(listed: DataFrame, how: Lines) -> tuple[DataFrame, DataFrame]:
     """(later, earlier, more): lines that pass all filters under some word, as classes, the later first; at most ``at_once`` per line and word, those
     of the closest bitmaps, and ``more`` says that others are left. The second frame has the rows among which these others are found.
 
-    The rows of a word meet in one task if no more than ``block_rows`` lines hold it. Those of other words are spread over all tasks, which
+    The rows of a word meet in one bucket if no more than ``block_rows`` lines hold it. Those of other words are spread over all buckets, which
     let them pass; they are counted, reduced to one row a class, and meet in blocks, pair of blocks by pair of blocks.
     """
-    at = F.when(F.col("heavy"), F.xxhash64("word", "class")).otherwise(F.col("word"))
-    met = common.written(_met(listed.repartition(at).sortWithinPartitions("word"), "word", how, how.at_once), "met")
+    met = common.written(_met(listed.repartition("bucket").sortWithinPartitions("bucket"), "word", how, how.at_once), "met")
     heavy = met.filter("row.heavy").select("row.*")
     heavy = heavy.groupBy("word", "class").agg(F.min_by(F.struct("size", "place", "doc_id", "line", "low", "high"), F.struct("doc_id", "line")).alias("r"))
     heavy = common.written(heavy.select("word", "class", "r.*"), "heavy")
@@ -448,6 +498,10 @@ def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, how: Lines,
     return both.mapInArrow(check, "later long, earlier long")
 
 
+BUCKETS = 1_000  # at least, so that tasks get even shares
+BUCKET_WORDS = 1_000_000  # of all lines, in a bucket of a large table
+
+
 def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, removed (numbers of its removed lines, from 0, in order).
 
@@ -458,7 +512,7 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
     """
     read = common.written(_texts(docs, text).mapInArrow(_read, "name long, doc_id long, line int, n long"), "read")
     lines = read.filter("doc_id is not null").select(F.col("name").alias("class"), "doc_id", "line")
-    classes = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first")).select("class", "first.doc_id", "first.line")
+    classes = lines.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("lines")).select("class", "first.doc_id", "first.line", "lines")
     classes = common.written(classes, "classes")
     counts = read.filter("doc_id is null").groupBy(F.col("name").alias("word")).agg(F.sum("n").alias("lines"))
     counts = common.written(counts.filter("lines > 1"), "words")
@@ -470,7 +524,8 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
     largest = counts.filter(F.col("lines") < lowest) if len(top) else counts
     rest = largest.agg(F.coalesce(F.max("lines"), F.lit(1))).first()[0]
     ranks = Ranks(frequent[by_hash], rank, top["lines"].to_numpy(np.int64)[by_hash], rest, _held(counts, how.held_bits))
-    listed = _listed(docs, ranks, how, text)
+    spoken = counts.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]  # a fifth of them is listed, or little more
+    listed = _listed(docs, ranks, how, text, max(BUCKETS, spoken // BUCKET_WORDS))
     met, left = candidates(listed, how)
     pairs = common.written(met.groupBy("later", "earlier").agg(F.max("more").alias("more")), "pairs")
     found = common.written(verified(docs, pairs, classes, how, text), "found")
@@ -480,11 +535,12 @@ def removed_lines(docs: DataFrame, how: Lines = Lines(), text: str = "text") ->
         rest = common.written(others(left, how, open_classes).distinct().join(pairs, ["later", "earlier"], "left_anti"), "pairs")
         found = found.unionByName(common.written(verified(docs, rest, classes, how, text), "found"))
     gone = found.select(F.col("later").alias("class"), F.lit(True).alias("gone")).distinct()
-    decided = classes.select("class", F.struct("doc_id", "line").alias("first")).join(gone, "class", "left")
+    decided = classes.select("class", F.struct("doc_id", "line").alias("first"), "lines").join(gone, "class", "left")
+    decided = decided.filter("gone or lines > 1").drop("lines")  # the only line of a class is its first
     flagged = lines.join(common.written(decided, "decided"), "class")
     flagged = flagged.filter(F.coalesce("gone", F.lit(False)) | (F.struct("doc_id", "line") != F.col("first")))
     flagged = flagged.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
-    total = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).alias("n_lines"))
+    total = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1, F.lit(0)).alias("n_lines"))
     out = total.join(flagged.withColumnRenamed("doc_id", "own"), F.col("doc_id") == F.col("own"), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return out.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))

@@ -136,6 +136,26 @@ def test_line_dedup_of_unsorted_rows(spark):
         assert {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(docs.coalesce(1).sortWithinPartitions(order)).collect()} == wanted
 
 
+def test_listed_words_are_dealt_in_packed_buckets(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, "\n".join(" ".join(f"w{x}" for x in rng.integers(0, 300, 12)) for _ in range(20))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    words = np.sort(np.array([], np.uint64))
+    how, none = line_dedup.Lines(), np.array([], np.int64)
+    for rest, heavy in ((10, False), (how.block_rows + 1, True)):
+        ranks = line_dedup.Ranks(words, none, none, rest, np.full(8, 255, np.uint8))  # any word may be held by ``rest`` lines
+        found = line_dedup._listed(docs, ranks, how, "text", 8).orderBy("bucket").toArrow()
+        assert found.num_rows <= 16  # a row per task and bucket, where it was one per listed word
+        tables = list(line_dedup._unpacked(found.to_batches(max_chunksize=3)))
+        assert len(tables) == 8 and all((t["heavy"] == heavy).all() for t in tables)
+        got = Counter((w, c) for t in tables for w, c in zip(t["word"].tolist(), t["class"].tolist(), strict=True))
+        sets = line_dedup.Sets([t.encode() for _, t in rows])
+        assert sum(got.values()) == sum(how.prefix(int(n)) for n in sets.size) and max(got.values()) == 1
+        assert {c for _, c in got} == set(sets.classes().tolist())
+        places = Counter(w for t in tables for w in set(t["word"].tolist()))
+        assert (max(places.values()) > 1) == heavy  # rows of a light word meet in one bucket
+
+
 def test_embeddings_equal_all_pairs(spark):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((40, 48))
