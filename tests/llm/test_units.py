@@ -116,6 +116,23 @@ def test_confirmed_finds_the_components_of_all_pairs():
     assert parts(near_dedup.confirmed(list(range(len(sets))), sets, 80)) == parts(pairs)
 
 
+def test_model_probabilities_do_not_leave_the_range():
+    shape = lm_scoring.Shape(steps=1, classes=8, batch=8)
+    file = lm_scoring.public_tokenizers.path(lm_scoring.SUBWORDS)
+    coder, texts = lm_scoring.subwords(file), [b"the cat sat on the mat", b"dogs run far away", b""]
+    assert [coder.unpacked(coder.packed(t.split())).tolist() for t in texts] == [coder.ids(t.split()).tolist() for t in texts]
+    model = lm_scoring.train(texts, None, shape, file)
+    x, y, _ = model.windows([coder.ids(t.split()) for t in texts])
+    wanted = model.log_prob(x, y)
+    for more in (300, -300):  # on all choices alike, so the probabilities stay
+        model.p["bias"] += np.float32(more)
+        model.p["next"] += np.float32(more)
+        assert np.allclose(model.log_prob(x, y), wanted, atol=1e-3)
+        assert all(np.isfinite(g).all() for g in model.gradients(x, y).values())
+        model.p["bias"] -= np.float32(more)
+        model.p["next"] -= np.float32(more)
+
+
 def test_model_gradients_and_probabilities():
     shape = lm_scoring.Shape(steps=3, classes=8, batch=8)
     file = lm_scoring.public_tokenizers.path(lm_scoring.SUBWORDS)
