@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import copy
+
 import numpy as np
 import pytest
 
@@ -159,3 +161,76 @@ def test_model_gradients_and_probabilities():
     logs = model.log_prob(seen, every)[:, 3]
     logs[model.other] += np.log(max(1, model.vocabulary - model.other))
     assert abs(np.exp(logs).sum() - 1) < 1e-9
+
+
+def test_rows_are_summed_by_their_places_however_often_these_occur():
+    rng = np.random.default_rng(8)
+    for at, size in ((rng.integers(0, 700, 3000), 900), (np.full(500, 3), 5), (np.minimum(rng.geometric(0.05, (40, 25)), 60) - 1, 60), (np.array([2]), 4)):
+        values = rng.standard_normal((at.size, 7))
+        wanted = np.zeros((size, 7))
+        np.add.at(wanted, at.ravel(), values)
+        sums = lm_scoring._Sums(at, size)
+        assert np.allclose(sums.of(values), wanted)
+        moved = rng.permutation(at.size)
+        held = np.zeros_like(values)
+        held[moved] = values
+        assert np.allclose(sums.through(moved).of(held), wanted)
+
+
+def test_words_of_many_texts_are_split_and_encoded_as_one_by_one():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    letters = [" ", "\n", "\x0b", "\x1c", "\u00a0", "\u2003", "\u200b", "A", "b", "'s", "1", ".", "é", "中", "🙂", "\u0301", "\0"]
+    letters = [t.encode() for t in letters] + [b"\xff"]
+    texts = [b"".join(letters[i] for i in rng.integers(0, len(letters), rng.integers(0, 30))) for _ in range(3000)] + [b"", b" ", b"W" * 900 + b" x"]
+    for kind in (pa.binary(), pa.large_binary()):
+        words, which, sizes = lm_scoring._split(pa.array([b"not in view", *texts], kind).slice(1))
+        names, ends = words.to_pylist(), np.cumsum(sizes)
+        flat = [names[i] for i in which]
+        assert [flat[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)] == [t.lower().split() for t in texts]
+    assert [lm_scoring._split(pa.array([b"", b" "], pa.binary()))[i].tolist() for i in (1, 2)] == [[], [0, 0]]
+    file = lm_scoring.public_tokenizers.path(lm_scoring.SUBWORDS)
+    coder, calls = lm_scoring.Subwords(file, entries=100), []
+    wanted = [coder.alone(w) for w in names]
+    plain = coder.encode
+    coder.encode = lambda t: calls.append(t) or plain(t)
+    assert coder.each(names) == wanted and coder.each(names[::-1]) == wanted[::-1] and len(coder) <= 100
+    calls.clear()
+    many = [b"word%d" % i for i in range(4000)]
+    assert b"".join(coder.each(many)) == lm_scoring.subwords(file).packed(many)
+    assert len(calls) == 1
+
+
+def test_learning_is_adam_on_the_rows_in_view():
+    shape = lm_scoring.Shape(classes=4, batch=4)
+    file = lm_scoring.public_tokenizers.path(lm_scoring.SUBWORDS)
+    texts = [b"the cat sat on the mat again and again and ran away " * 6, b"dogs run far away from the cat", b""] * 3
+    start = lm_scoring.train(texts[:1], None, shape, file)
+    model, coder = copy.copy(start), lm_scoring.subwords(file)
+    x, y, _ = start.windows([coder.ids(t.split()) for t in texts])
+    before = {k: v.copy() for k, v in start.p.items()}
+    model.learn(x, y, 2.0, 0.25, 0.25)
+    assert all((start.p[k] == v).all() for k, v in before.items())  # the model that it came from stays
+
+    plain, order = copy.copy(start), np.random.default_rng(5).permutation(len(x))
+    plain.p = {k: v.astype(np.float64) for k, v in before.items()}
+    m, s = ({k: np.zeros_like(v) for k, v in plain.p.items()} for _ in range(2))
+    steps = -(-2 * len(x) // shape.batch)
+    for step in range(1, steps + 1):
+        pick = order[np.arange((step - 1) * shape.batch, step * shape.batch) % len(x)]
+        rate = shape.rate * min(1, step / 20) * (1 - 0.25 - 0.25 * step / (steps + 1)) ** 0.5
+        for k, g in plain.gradients(x[pick], y[pick]).items():
+            at = np.unique(x[pick]) if k in lm_scoring.BY_INPUT else slice(None)
+            m[k][at] = 0.9 * m[k][at] + 0.1 * g[at]
+            s[k][at] = 0.99 * s[k][at] + 0.01 * g[at] ** 2
+            move = m[k][at] / (1 - 0.9**step) / (np.sqrt(s[k][at] / (1 - 0.99**step)) + 1e-8)
+            plain.p[k][at] -= rate * (0.2 if k in ("next", "bias") else 1) * move
+    wanted = plain.log_prob(x, y)
+    assert np.abs(model.log_prob(x, y) - wanted).max() < 0.01 and np.abs(start.log_prob(x, y) - wanted).max() > 0.1
+    # a class of more targets than are taken at a time, and windows of many blocks
+    tables, more = lm_scoring.Tables(plain), lm_scoring.Tables(plain)
+    more.limit = 3
+    for a, b in zip(tables.gradients(x, y, tables.rows, plain.pad), more.gradients(x, y, more.rows, plain.pad), strict=True):
+        assert np.allclose(a, b, atol=1e-12)
+    assert np.allclose(more.log_prob(np.tile(x, (30, 1)), np.tile(y, (30, 1))), np.tile(wanted, (30, 1)))
